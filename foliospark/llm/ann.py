@@ -10,7 +10,7 @@ footrule (at least ``least``) for exact reranking in double precision.
 
 The index is dealt into shards by row, not by vector, so a common vector
 spreads evenly.  Query blocks visit every shard; each shard returns its best
-``k`` only.  Pivots are drawn from a sample of at most ``SAMPLE`` vectors (a
+``k`` only.  Pivots are drawn from a sample of about ``SAMPLE`` vectors (a
 documented bound); every vector is indexed.
 """
 
@@ -41,8 +41,9 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
 
 
 def pick_pivots(vectors: DataFrame, count: int, seed: int = 7) -> np.ndarray:
-    """Up to ``count`` distinct vectors, scaled to length one, from a hash-ordered sample of at most SAMPLE rows."""
-    rows = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()
+    """Up to ``count`` distinct vectors, scaled to length one, from about SAMPLE rows picked by hash of their id."""
+    share = SAMPLE / max(1, vectors.count())
+    rows = vectors.filter(F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(1 << 30)) < share * (1 << 30)).collect()
     if not rows:
         return np.zeros((0, 0))
     found = np.unique(np.array([r.embedding for r in rows]), axis=0)

@@ -3,8 +3,8 @@
 Byte-level BPE never merges across pre-tokens, and the pre-token pattern is
 memoryless: from any pre-token boundary on, the cuts depend only on what
 follows.  A document's tree holds, over leaves of up to ``LEAF`` pre-tokens,
-sums of characters and tokens.  An edit re-encodes from the pre-token before
-it (its match may now end elsewhere) up to the first new boundary behind the
+sums of characters and tokens.  An edit re-encodes from the pre-tokens just
+before it (their matches may now end elsewhere) up to the first new boundary behind the
 edit that is also an old one; everything else keeps its counts, and the sums
 above the touched leaves are brought up to date.
 """
@@ -107,10 +107,12 @@ class SegmentTree:
             return
         old_end, shift = start + delete, len(insert) - delete
         text = self.text = self.text[:start] + insert + self.text[old_end:]
-        first, before = self._leaf_at(max(start - 1, 0))
+        # A run of white space is cut by what follows the run, one character beyond its own match.
+        safe = max(start - 2, 0)
+        first, before = self._leaf_at(safe)
         lengths, tokens = self.leaves[first]
         ends = before + np.cumsum(lengths)
-        keep = int(np.searchsorted(ends, max(start - 1, 0), side="right"))  # pre-tokens wholly before start - 1
+        keep = int(np.searchsorted(ends, safe, side="right"))  # pre-tokens that the edit cannot reach
         at = before + int(lengths[:keep].sum())
         head = lengths[:keep], tokens[:keep]
         # Old boundaries behind the edit, leaf by leaf.

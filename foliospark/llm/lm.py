@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from .common import Scratch
@@ -38,7 +38,7 @@ TOP = 900
 SHARE = 1 / 200_000
 DIM = 24
 NOISE = 24
-BATCH = 2048
+BATCH = 4096
 WARM_DOCS = 400
 WARM_TOKENS = 300_000
 FLUSH = 400_000
@@ -159,7 +159,7 @@ class Vocabulary:
     """The broadcast part: frequent words with counts and classes."""
 
     def __init__(self, rows, top: int):
-        rows = sorted(rows, key=lambda x: (-x.c, x.word))
+        rows = sorted(rows, key=lambda x: (-x.c, x.word)) or [Row(word=END, shape=shape(END), c=0)]
         self.words = [bytes(x.word) for x in rows]
         self.counts = np.array([x.c for x in rows], dtype=np.int64)
         self.top = min(top, len(rows))
@@ -208,9 +208,11 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(train: DataFrame, vocabulary: Vocabulary, unigram: np.ndarray, scratch: Scratch) -> LogBilinear:
-    """Warm start on at most WARM_DOCS documents in hash order and WARM_TOKENS tokens, then one averaged pass over all of ``train`` (id, text)."""
+    """Warm start on about WARM_DOCS documents picked by hash and at most WARM_TOKENS tokens, then one averaged pass over all of ``train`` (id, text)."""
     model = LogBilinear(unigram)
-    sample = train.filter(F.length("text") < 4 * WARM_TOKENS).orderBy(F.xxhash64("id"), "id").select("text").limit(WARM_DOCS).collect()
+    # One end token closes each training document; a hash below this share picks about WARM_DOCS of them.
+    share = WARM_DOCS / max(1, int(vocabulary.counts[vocabulary.end]))
+    sample = train.filter((F.length("text") < WARM_TOKENS) & (F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1 << 30)) < share * (1 << 30))).select("text").collect()
     codes, rng = Codes(vocabulary.words), np.random.default_rng(0)
     rows = [context_rows(vocabulary.encode(bytes(x.text), codes)[2], vocabulary.end) for x in sample]
     if not rows:
@@ -244,6 +246,7 @@ def _score(vocabulary: Vocabulary, tables, class_log: np.ndarray):
                 far, near = rows[:, 0], rows[:, 1]
                 ln = near_t[near, classes] + far_t[far, classes] - lnz[far, near]
                 known = got >= 0
+                n_known.append(int((vocabulary.counts[got[known]] > 0).sum()))
                 logs = float(log_c1[got[known]].sum())
                 # What class_log and the tail's counts add stands for the words of shape classes.
                 inside = float(log_c1[got[known & (classes >= vocabulary.top)]].sum())
@@ -251,7 +254,6 @@ def _score(vocabulary: Vocabulary, tables, class_log: np.ndarray):
                 base.append(logs)
                 tail = Counter([toks[i] for i in np.flatnonzero(~known).tolist()])
                 n_tokens.append(len(toks))
-                n_known.append(int(known.sum()))
                 hashes.append(np.fromiter((hashed(w, 42) for w in tail), dtype=np.uint64, count=len(tail)).view(np.int64))
                 counts.append(list(tail.values()))
             yield pa.RecordBatch.from_arrays(
@@ -289,7 +291,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
         n_shape[x["shape"]], v_shape[x["shape"]] = x.n, x.v
     for w, c in zip(vocabulary.words[: vocabulary.top], vocabulary.counts):
         n_shape[shape(w)] -= c
-        v_shape[shape(w)] -= 1
+        v_shape[shape(w)] -= c > 0
     # A class that the training side never shows still gets one pseudo-count.
     unigram = np.concatenate([vocabulary.counts[: vocabulary.top], n_shape]) + 1.0
     class_log = np.concatenate([np.zeros(vocabulary.top), np.log10(n_shape + v_shape + 1)])
