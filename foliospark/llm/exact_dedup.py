@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, shuffle_partitions, task_id
@@ -136,20 +136,22 @@ def suspect_fingerprints(fps: DataFrame, scratch: Scratch, owners: int) -> DataF
     return home.mapInArrow(_suspects(owners), "fp long").distinct()
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: Column | None = None) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when identical without [\\x20\\x09-\\x0D]; null counts as
     empty.  Of equal texts the one with most code points stays, then the
     smallest id (null ids last); of repeated rows exactly one stays.  An empty
-    table gives an empty result; extra columns are not read.
+    table gives an empty result; extra columns are not read.  ``carry`` is a
+    Column of the input that comes back as ``carried``.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "exact-dedup")
     text = F.coalesce(docs[text_col], F.lit(""))
-    seen = docs.select(docs[id_col].cast("long").alias("doc_id"), F.length(text).alias("n_cp"), normalised(text).alias("norm"))
+    extra = [] if carry is None else ["carried"]
+    seen = docs.select(docs[id_col].cast("long").alias("doc_id"), F.length(text).alias("n_cp"), normalised(text).alias("norm"), *([] if carry is None else [carry.alias("carried")]))
     slim = scratch.save(
-        seen.select("doc_id", "n_cp", F.sha2("norm", 256).alias("text_sha256"), F.xxhash64("norm").alias("fp"), F.monotonically_increasing_id().alias("uid")), "slim"
+        seen.select("doc_id", "n_cp", F.sha2("norm", 256).alias("text_sha256"), F.xxhash64("norm").alias("fp"), F.monotonically_increasing_id().alias("uid"), *extra), "slim"
     )
     owners = max(shuffle_partitions(spark), -(-slim.count() // OWNER_ROWS))
     suspects = scratch.save(suspect_fingerprints(slim, scratch, owners), "suspects")
@@ -182,4 +184,5 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
         (F.col("best_uid").isNull() | (F.col("best_uid") == F.col("uid"))).alias("kept"),
         "text_sha256",
+        *extra,
     )

@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, signed
@@ -53,15 +53,19 @@ def _fingerprints(width: int):
         for batch in batches:
             # bytes.lower() and bytes.split() know ASCII only: A-Z and [\x20\x09-\x0D].
             found = [fingerprint(t.lower().split(), width) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(signed(np.array(found, dtype=np.uint64)))], names=["doc_id", "fp"])
+            columns = [batch.column(0), pa.array(signed(np.array(found, dtype=np.uint64))), *batch.columns[2:]]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "fp", "carried"][: len(columns)])
 
     return run
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
-    """doc_id and fp (the fingerprint's bits as a signed long) of every row; null text counts as empty."""
-    picked = docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).cast("binary").alias("text"))
-    return picked.mapInArrow(_fingerprints(width), "doc_id long, fp long")
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, carry: Column | None = None) -> DataFrame:
+    """doc_id and fp (the fingerprint's bits as a signed long) of every row, and ``carry`` as ``carried``; null text counts as empty."""
+    picked = docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).cast("binary").alias("text"), *([] if carry is None else [carry.alias("carried")]))
+    schema = "doc_id long, fp long"
+    if carry is not None:
+        schema += f", carried {picked.schema['carried'].dataType.simpleString()}"
+    return picked.mapInArrow(_fingerprints(width), schema)
 
 
 def gray_rank(word):
@@ -211,20 +215,21 @@ def near_edges(words: DataFrame, scratch: Scratch, limit: int = 2, hot: int = HO
     return dealt.select(*keys, "fp").mapInArrow(_search(limit), "a long, b long")
 
 
-def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, limit: int = 2) -> DataFrame:
+def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, limit: int = 2, carry: Column | None = None) -> DataFrame:
     """One row per input row: doc_id, fingerprint (16 hex digits), component_id (smallest id reachable).
 
     Null and empty texts have fingerprint zero and link like any other.
     Repeated rows give repeated results; null ids count as absent when the
-    smallest id is taken (null only if a component has no other).
+    smallest id is taken (null only if a component has no other).  ``carry``
+    is a Column of the input that comes back as ``carried``.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "simhash")
-    marked = scratch.save(fingerprints(docs, id_col, text_col, width), "marked")
+    marked = scratch.save(fingerprints(docs, id_col, text_col, width, carry), "marked")
     words = scratch.save(marked.groupBy("fp").agg(F.min("doc_id").alias("low")), "words")
     edges = scratch.save(near_edges(words.select("fp"), scratch, limit), "edges")
     roots = connected_components(edges, scratch)
     named = words.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     lows = named.groupBy("root").agg(F.min("low").alias("component_id"))
     index = scratch.save(named.join(lows, "root").select("fp", "component_id"), "index")
-    return marked.join(index, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return marked.join(index, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", *([] if carry is None else ["carried"]))
