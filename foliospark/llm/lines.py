@@ -31,6 +31,7 @@ SIMILARITY = 0.8
 MIN_DOCS = 5
 HOT = 2000
 SALTS = 64
+SPREAD = 16
 FIELD = b"<*>"
 DIGIT = re.compile(rb"[0-9]")
 
@@ -186,8 +187,12 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     present = parsed.select("uid", F.explode(F.array_distinct("h")).alias("h")).filter("h <> 0")
     named = scratch.save(present.join(renamed, "h", "left").select("uid", "h", F.coalesce("root", "h").alias("root")), "named")
     recurring = named.select("uid", "root").distinct().groupBy("root").count().filter(F.col("count") >= min_docs).select("root")
-    dropped = named.join(recurring, "root", "left_semi").groupBy("uid").agg(F.collect_set("h").alias("dropped"))
-    out = parsed.select("uid", "doc_id", "text", "h").join(dropped, "uid", "left")
+    # A very common line meets its template in several tasks.
+    spread = recurring.select("root", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("salt"))
+    hit = named.withColumn("salt", F.pmod(F.col("uid"), F.lit(SPREAD)).cast("int")).join(spread, ["root", "salt"], "left_semi")
+    dropped = hit.groupBy("uid").agg(F.collect_set("h").alias("dropped"))
+    # Most documents lose some line, so the smaller side is no candidate for a broadcast.
+    out = parsed.select("uid", "doc_id", "text", "h").join(dropped.hint("merge"), "uid", "left")
     zipped = F.zip_with(F.split("text", "\n", -1), "h", lambda line, h: F.struct(line.alias("line"), h.alias("h")))
     stays = F.filter(zipped, lambda x: ~F.array_contains("dropped", x["h"]))
     lines = F.when(F.col("dropped").isNull(), F.col("text")).otherwise(F.array_join(F.transform(stays, lambda x: x["line"]), "\n"))
