@@ -221,7 +221,10 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     template = scratch.save(counts.join(sizes, "host").filter(F.col("n") >= F.col("pages") * min_share).select("host", "h"), "template")
     around = parsed.select("uid", "host", F.explode(F.array_distinct(F.flatten("blocks.path"))).alias("h"))
     dropped = around.join(template, ["host", "h"]).groupBy("uid").agg(F.collect_set("h").alias("dropped"))
+    bare = F.size(F.flatten("blocks.path")) == 0
+    columns = ["uid", "page_id", "url", "blocks"]
+    # Pages without any deletable subtree around their text, the usual case, are not shuffled.
+    plain = parsed.filter(bare).select(*columns, F.lit(None).cast("array<long>").alias("dropped"))
+    joined = parsed.filter(~bare).select(*columns).join(dropped, "uid", "left").select(*columns, "dropped")
     kept = F.expr("transform(filter(blocks, b -> dropped is null or not arrays_overlap(b.path, dropped)), b -> b.text)")
-    text = F.array_join(kept, "\n")
-    out = parsed.select("uid", "page_id", "url", "blocks").join(dropped, "uid", "left")
-    return out.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+    return plain.union(joined).select("page_id", "url", F.array_join(kept, "\n").alias("text")).withColumn("n_chars", F.length("text").cast("long"))
