@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 #: Characters that no file name may hold, and device names of one operating system.
 RESERVED = r'[<>:"/\\|?*\x00-\x1f]'
@@ -119,7 +120,7 @@ def raw_links(html: Column) -> Column:
     return F.filter(found, lambda v: (v != "") & ~v.rlike(r"(?i)^(?:#|mailto:|tel:|javascript:|data:)"))
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(ArrayType(StringType()))
 def resolve_links(base: pd.Series, links: pd.Series) -> pd.Series:
     """Absolute links without fragments, distinct in order; relative resolution has no native form."""
     from urllib.parse import urldefrag, urljoin
