@@ -180,15 +180,25 @@ def risk_reasons(contained: Column, uncertain: Column, sensitive: Column) -> Col
     return F.array_compact(F.array(F.when(contained, "mixed-container"), F.when(uncertain, "low-confidence"), F.when(sensitive, "sensitive-title")))
 
 
+# Ordered classes of workbooks by parts of the URL or of the file name.
+WORKBOOKS = (
+    ("url", ("chartpack", "/publications/quarterly-bulletins/", "/research-exchange/staff-insights/", "/financial-conditions-of-credit-unions/"), "research_supporting_data"),
+    ("url", ("reporting-template", "reporting_template", "return-template", "/reporting-requirements/", "/statistical-reporting-requirements/"), "regulatory_reporting_template"),
+    ("name", ("application", "questionnaire", "sign-off", "submission-form", "-form.", "_form."), "application_or_form"),
+    ("url", ("/forms", "beneficial-ownership-form", "self-reporting", "insider-list"), "application_or_form"),
+    ("url", ("taxonomy", "validation", "business-rules", "known-issues", "dpm_dictionary", "dpm-dictionary", "schema_excel", "data-quality-checks"), "regulatory_taxonomy_or_validation"),
+    ("url", ("outsourcing-register", "/resolution/bifr/", "daofi-mcr"), "regulatory_reporting_template"),
+    ("url", ("covered-bond-programmes", "asset-covered-securities", "net-short-positions", "/regulation/psd2/article-"), "official_list_or_disclosure"),
+    ("url", ("/statistics/data-and-analysis/", "/statistics/interest-rates-exchange-rates/", "/statistics/statistical-publications/", "/statistics/frontier-statistics/", "/financial-system/access-to-cash/", "public-data", "publishing-dashboard", "levels-of-compliance", "securities-lending-isins"), "published_data"),
+    ("name", ("template", "return", "schedule"), "regulatory_reporting_template"),
+)
+
+
 def workbook_category(url: Column) -> Column:
-    """Ordered URL classes of workbooks."""
-    u, name = F.lower(url), F.lower(F.substring_index(url, "/", -1))
-    return (
-        F.when(contains_any(u, ("reporting-template", "reporting_template", "return-template", "/reporting-requirements/", "/statistical-reporting-requirements/")), "regulatory_reporting_template")
-        .when(contains_any(name, ("application", "questionnaire", "sign-off", "submission-form", "-form.", "_form.")) | u.contains("/forms"), "application_or_form")
-        .when(contains_any(u, ("beneficial-ownership-form", "self-reporting", "insider-list")), "application_or_form")
-        .when(contains_any(u, ("outsourcing-register", "/resolution/bifr/", "daofi-mcr")), "regulatory_reporting_template")
-        .when(contains_any(u, ("/statistics/", "/data-and-analysis/")), "published_data")
-        .when(contains_any(name, ("template", "return", "schedule")), "regulatory_reporting_template")
-        .otherwise("other_workbook")
-    )
+    """Class of a workbook; the first that holds."""
+    whole = F.lower(url)
+    parts = {"url": whole, "name": F.substring_index(F.substring_index(whole, "/", -1), "?", 1)}
+    out = F.when(F.lit(False), "")
+    for where, words, label in WORKBOOKS:
+        out = out.when(contains_any(parts[where], words), label)
+    return out.otherwise("other_workbook")

@@ -12,10 +12,12 @@ from foliospark.functions import urls as U
 from foliospark.functions import values as V
 from foliospark.operators import aggregates as A
 from foliospark.operators import compare as C
+from foliospark.operators import documents as D
 from foliospark.operators import ingest as I
 from foliospark.operators import personal_data as P
 from foliospark.operators import provenance as R
 from foliospark.operators import sequences as S
+from foliospark.operators import structured as SD
 from foliospark.plans import fts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -587,6 +589,64 @@ def union_by_name(spark, d):
     return C.union_by_name([t(spark, d, "documents").filter("lang = 'en'").select("doc_id", "source"), t(spark, d, "labels").select("doc_id", "toxic")], "corpus", ["en", "labels"])
 
 
+# ---- documents and published tables -------------------------------------------
+
+DATED_URL = "CASE WHEN doc_id % 3 = 0 THEN 'https://h.example/a/published-' || (doc_id % 33) || '-june-20' || (10 + doc_id % 15) || '.pdf' WHEN doc_id % 3 = 1 THEN 'https://h.example/a/report_' || doc_id || '.pdf' ELSE 'https://h.example/a/published_5_nomonth_2011.pdf' END"
+
+
+@query(f"""WITH x AS (SELECT doc_id, {DATED_URL} AS url, CASE WHEN doc_id % 2 = 0 THEN 'D:' || (1980 + doc_id % 50) || '0101' END AS stamp FROM documents),
+y AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 AND doc_id % 33 BETWEEN 1 AND 30 THEN '20' || (10 + doc_id % 15) || '-06-' || lpad(CAST(doc_id % 33 AS VARCHAR), 2, '0') END AS published_at, CASE WHEN doc_id % 2 = 0 AND 1980 + doc_id % 50 BETWEEN 1990 AND 2024 THEN 1980 + doc_id % 50 END AS py FROM x)
+SELECT doc_id, published_at, coalesce(CAST(left(published_at, 4) AS BIGINT), py) AS analysis_year, CASE WHEN published_at IS NOT NULL THEN 'source-url-explicit-published-date' WHEN py IS NOT NULL THEN 'pdf-creation-date-proxy' END AS analysis_year_basis FROM y""")
+def temporal_metadata(spark, d):
+    rows = t(spark, d, "documents").selectExpr("doc_id", f"{DATED_URL} as url", "case when doc_id % 2 = 0 then concat('D:', 1980 + doc_id % 50, '0101') end as stamp", "cast(null as array<string>) as referrers")
+    return D.temporal(rows, "url", "stamp", "referrers", "2024-12-31").select("doc_id", "published_at", F.col("analysis_year").cast("long").alias("analysis_year"), "analysis_year_basis")
+
+
+@query("SELECT source, array_to_string(list_sort(list(DISTINCT lang)), ',') AS urls, min(doc_id) FILTER (doc_id % 4 = 0) AS last_modified FROM documents GROUP BY source")
+def source_metadata(spark, d):
+    rows = t(spark, d, "documents").withColumn("refs", F.array("lang")).withColumn("modified", F.when(F.col("doc_id") % 4 == 0, F.col("doc_id")))
+    return D.source_metadata(rows, "source", "lang", "refs", "modified", "doc_id").select("source", F.array_join("urls", ",").alias("urls"), "last_modified")
+
+
+@query("SELECT doc_id, lang, 'new' AS origin FROM documents WHERE doc_id % 2 = 0 UNION ALL SELECT doc_id, 'old', 'old' FROM documents WHERE doc_id % 3 = 0 AND doc_id % 2 <> 0")
+def ledger_merge(spark, d):
+    docs = t(spark, d, "documents").select("doc_id", "lang")
+    return D.merge_ledger(docs.filter("doc_id % 2 = 0").withColumn("origin", F.lit("new")), docs.filter("doc_id % 3 = 0").select("doc_id", F.lit("old").alias("lang"), F.lit("old").alias("origin")), ["doc_id"])
+
+
+@query("""WITH g AS (SELECT year(l_shipdate) AS y, round(coalesce(sum(l_extendedprice) FILTER (l_returnflag IN ('A', 'R') AND l_quantity > 5), 0.0), 2) AS known, count(*) FILTER (l_returnflag IN ('A', 'R')) AS observations,
+ count(*) FILTER (l_returnflag IN ('A', 'R') AND l_quantity <= 5) AS suppressed, round(max(CASE WHEN l_returnflag = 'N' AND l_quantity > 5 THEN l_extendedprice END), 2) AS published_N FROM lineitem GROUP BY 1) SELECT * FROM g""")
+def component_totals(spark, d):
+    rows = _suppressed(spark, d)
+    out = SD.component_totals(rows, ["y"], "l_returnflag", "known_price", ["A", "R"], ["N"])
+    return out.select("y", F.round("known", 2).alias("known"), "observations", "suppressed", F.round("published_N", 2).alias("published_N"))
+
+
+@query("SELECT f AS l_returnflag, s AS l_linestatus FROM (SELECT unnest(['A', 'N', 'R', 'X']) AS f), (SELECT unnest(['F', 'O', 'Z']) AS s) WHERE (f, s) NOT IN (SELECT (l_returnflag, l_linestatus) FROM lineitem)")
+def missing_cells(spark, d):
+    return SD.missing_cells(t(spark, d, "lineitem").select("l_returnflag", "l_linestatus"), {"l_returnflag": ["A", "N", "R", "X"], "l_linestatus": ["F", "O", "Z"]})
+
+
+@query("""SELECT o_orderstatus, round(sum(o_totalprice) FILTER (year(o_orderdate) = 1998), 2) AS now, round(sum(o_totalprice) FILTER (year(o_orderdate) = 1997), 2) AS before,
+ round((sum(o_totalprice) FILTER (year(o_orderdate) = 1998) / sum(o_totalprice) FILTER (year(o_orderdate) = 1997) - 1) * 100, 4) AS change_pct FROM orders WHERE year(o_orderdate) IN (1997, 1998) GROUP BY 1""")
+def two_periods(spark, d):
+    rows = t(spark, d, "orders").withColumn("y", F.year("o_orderdate").cast("string"))
+    out = SD.two_periods(rows, ["o_orderstatus"], "y", "o_totalprice", "1998", "1997", strict=True)
+    return out.select("o_orderstatus", *[F.round(c, n).alias(c) for c, n in (("now", 2), ("before", 2), ("change_pct", 4))])
+
+
+@query("SELECT event_type, ts, unnest(['event_id', 'user_id']) AS metric, unnest([event_id, user_id]) AS value FROM (SELECT event_type, max(ts) AS ts, arg_max(event_id, (ts, event_id)) AS event_id, arg_max(user_id, (ts, event_id)) AS user_id FROM events GROUP BY 1)")
+def latest_snapshot(spark, d):
+    return SD.latest_snapshot(t(spark, d, "events"), "event_type", "ts", ["event_id", "user_id"])
+
+
+@query("""WITH x AS (SELECT page_id, lower(url) || CASE WHEN page_id % 4 = 0 THEN '/forms' WHEN page_id % 4 = 1 THEN '/annual-return.xls' WHEN page_id % 4 = 2 THEN '/taxonomy/a.xls' ELSE '' END AS u FROM pages)
+SELECT CASE WHEN page_id % 4 = 0 THEN 'application_or_form' WHEN page_id % 4 = 1 AND NOT contains(u, '?') THEN 'regulatory_reporting_template' WHEN page_id % 4 = 2 THEN 'regulatory_taxonomy_or_validation' WHEN contains(string_split(string_split(u, '/')[-1], '?')[1], 'return') THEN 'regulatory_reporting_template' ELSE 'other_workbook' END AS category, count(*) AS n FROM x GROUP BY 1""")
+def workbook_categories(spark, d):
+    tail = F.when(F.col("page_id") % 4 == 0, "/forms").when(F.col("page_id") % 4 == 1, "/annual-return.xls").when(F.col("page_id") % 4 == 2, "/taxonomy/a.xls").otherwise("")
+    return t(spark, d, "pages").groupBy(R.workbook_category(F.concat("url", tail)).alias("category")).agg(F.count("*").alias("n"))
+
+
 # ---- ingest -----------------------------------------------------------------
 
 
