@@ -86,14 +86,26 @@ def histogram_of_reasons(df: DataFrame, reasons: Column) -> DataFrame:
     return df.select(F.explode(reasons).alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
 
 
-def nearest_rank_percentiles(df: DataFrame, value: str, fractions: dict[str, float]) -> DataFrame:
-    """Values at rank round_half_even((n - 1) * f), found by range-partitioned ranks rather than one sorted array."""
-    n = df.filter(F.col(value).isNotNull()).agg(F.count("*").alias("n"))
-    histogram = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("c"))
-    # Distinct values are ranked; each carries the number of rows up to it.
-    ranked = histogram.withColumn("upto", F.sum("c").over(Window.orderBy(value))).join(F.broadcast(n))
-    picks = [F.min(F.when(F.col("upto") > F.bround((F.col("n") - 1) * F.lit(f), 0), F.col(value))).alias(name) for name, f in fractions.items()]
-    return ranked.agg(*picks)
+def nearest_rank_percentiles(df: DataFrame, value: str, fractions: dict[str, float], slack: float = 0.005) -> DataFrame:
+    """Exact values at rank round_half_even((n - 1) * f), without sorting the column.
+
+    A mergeable sketch brackets each rank; one pass counts what lies below the
+    bracket and the distinct values inside it, and only those are ranked.
+    """
+    known = df.filter(F.col(value).isNotNull()).select(F.col(value).alias("v"))
+    names = list(fractions)
+    edges = [F.struct(F.percentile_approx("v", max(0.0, f - slack), 10_000).alias("lo"), F.percentile_approx("v", min(1.0, f + slack), 10_000).alias("hi")).alias(n) for n, f in fractions.items()]
+    bounds = known.agg(F.count("*").alias("n"), *edges)
+    # One row of bounds, then at most a band of distinct values for each fraction.
+    tagged = known.join(F.broadcast(bounds)).select(
+        "v", "n", F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.lit(fractions[n]).alias("f"), F.col(f"{n}.lo").alias("lo"), F.col(f"{n}.hi").alias("hi")) for n in names])).alias("b")
+    )
+    # Everything below a bracket is one group.
+    cell = F.when(F.col("v") < F.col("b.lo"), F.lit(None)).otherwise(F.col("v"))
+    counts = tagged.filter(F.col("v") <= F.col("b.hi")).groupBy("b.name", "b.f", "n", cell.alias("cell")).agg(F.count("*").alias("c"))
+    upto = counts.withColumn("upto", F.sum("c").over(Window.partitionBy("name").orderBy(F.col("cell").asc_nulls_first())))
+    hit = upto.filter(F.col("cell").isNotNull() & (F.col("upto") > F.bround((F.col("n") - 1) * F.col("f"), 0)))
+    return hit.agg(*[F.min(F.when(F.col("name") == n, F.col("cell"))).alias(n) for n in names])
 
 
 def value_cross_tab(df: DataFrame, label: str, counts: list[str]) -> DataFrame:

@@ -203,11 +203,10 @@ def persistence(hits: DataFrame, documents: DataFrame, document: str, voice: str
     return out.withColumn("ratio", ratio).withColumn("score", F.col("engagements_0") * F.col("years_0")).drop("_all0", "_all1")
 
 
-def best_page_per_document(ranked: DataFrame, document: str, order: list, limit: int | None = None) -> DataFrame:
-    """First page of each document in rank order, with a dense rank from 1; the first ``limit`` documents."""
+def best_page_per_document(ranked: DataFrame, document: str, order: list, limit: int) -> DataFrame:
+    """First page of each document in rank order; of those the first ``limit`` documents, ranked from 1."""
     one = ranked.withColumn("_n", F.row_number().over(Window.partitionBy(document).orderBy(*order))).filter("_n = 1").drop("_n")
-    if limit is not None:
-        one = one.orderBy(*order).limit(limit)  # each partition sends its best rows only
+    one = one.orderBy(*order).limit(limit)  # each partition sends its best rows only
     return one.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
 
 
