@@ -6,7 +6,8 @@ first ``length`` pivots.  The footrule distance between two such lists (an
 absent pivot counts as position ``length``) is a constant minus twice
 ``sum over shared pivots of min(weight, weight)``, so a search adds up postings
 of the query's pivots and takes the ``fraction`` of a shard with the smallest
-footrule (at least ``least``) for exact reranking in double precision.
+footrule (at least ``least``) for exact reranking in double precision.  All
+vectors whose lists are almost the query's are reranked too, however many.
 
 The index is dealt into shards by row, not by vector, so a common vector
 spreads evenly.  Query blocks visit every shard; each shard returns its best
@@ -29,6 +30,10 @@ from .common import Scratch
 SAMPLE = 4096
 SHARD_ROWS = 8192
 BLOCK_ROWS = 512
+#: Cosine from which a sampled vector is too near to a pivot to become one.
+APART = 0.9
+#: Share of the largest posting sum from which a vector is reranked in any case: members of a dense group.
+ALIKE = 0.85
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -47,8 +52,17 @@ def pick_pivots(vectors: DataFrame, count: int, seed: int = 7) -> np.ndarray:
     if not rows:
         return np.zeros((0, 0))
     found = np.unique(np.array([r.embedding for r in rows]), axis=0)
-    found = found[np.random.default_rng(seed).permutation(len(found))[:count]]
-    return found / np.linalg.norm(found, axis=1, keepdims=True)
+    found = found[np.random.default_rng(seed).permutation(len(found))]
+    found = found / np.linalg.norm(found, axis=1, keepdims=True)
+    # A dense group gets one pivot, or its copies would fill the lists of all vectors near it.
+    near, chosen = np.full(len(found), -1.0), []
+    for i in range(len(found)):
+        if near[i] < APART:
+            chosen.append(i)
+            near = np.maximum(near, found @ found[i])
+            if len(chosen) == count:
+                break
+    return found[chosen]
 
 
 def weights(x: np.ndarray, pivots: np.ndarray, length: int) -> np.ndarray:
@@ -107,6 +121,9 @@ def search_shard(q_ids, q_uids, q_vecs, q_w, ids, uids, vecs, postings, k: int,
             edge = np.partition(acc, len(ids) - take)[len(ids) - take]
             over = np.flatnonzero(acc > edge)
             chosen = np.concatenate([over, np.flatnonzero(acc == edge)[: take - len(over)]])
+            full = ALIKE * int(q_w[i].sum(dtype=np.int64))
+            if edge >= full:
+                chosen = np.flatnonzero(acc >= full)
         else:
             chosen = np.arange(len(ids))
         chosen = chosen[uids[chosen] != q_uids[i]]
