@@ -103,6 +103,32 @@ def blob_key(sha: Column, suffix: Column, fallback: Column) -> Column:
     return F.concat(F.substring(sha, 1, 2), F.lit("/"), F.substring(sha, 3, 2), F.lit("/"), sha, tail)
 
 
+#: Extensions under which a source format may be stored, in the order they are tried.
+EXTENSIONS = {"PDF": [".pdf"], "DOCX": [".docx", ".doc"], "DOC": [".doc", ".docx"], "PPTX": [".pptx"], "XLSX": [".xlsx", ".xls"], "XLS": [".xls", ".xlsx"], "ZIP": [".zip"], "CSV": [".csv"], "XML": [".xml"]}
+
+
+def extension_candidates(source_format: Column) -> Column:
+    """Extensions to try for a format, in order; an unknown format gives its own name."""
+    known = F.create_map(*[x for k, v in EXTENSIONS.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
+    return F.coalesce(known[F.upper(source_format)], F.array(F.concat(F.lit("."), F.lower(source_format))))
+
+
+def first_existing(df: DataFrame, sha: str, source_format: str, listing: DataFrame, key: str) -> DataFrame:
+    """Adds ``resolved``: the first candidate blob key that the listing holds, or NULL."""
+    tried = df.select(sha, F.posexplode(extension_candidates(F.col(source_format))).alias("_at", "_ext")).distinct()
+    keyed = tried.withColumn("_key", blob_key(F.col(sha), F.col("_ext"), F.lit("bin")))
+    found = keyed.join(listing.select(F.col(key).alias("_key")).distinct(), "_key", "left_semi").groupBy(sha).agg(F.min_by("_key", "_at").alias("resolved"))
+    return df.join(found, sha, "left")
+
+
+def blob_url(base: str, key: Column) -> Column:
+    return F.concat(F.lit(base.rstrip("/") + "/"), key)
+
+
+def portable_path(value: Column) -> Column:
+    return F.replace(value, F.lit("\\"), F.lit("/"))
+
+
 def decode_xml(value: Column) -> Column:
     for name, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&amp;", "&")):
         value = F.replace(value, F.lit(name), F.lit(char))

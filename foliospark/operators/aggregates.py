@@ -82,6 +82,12 @@ def accuracy(pairs: DataFrame, gold: str, predicted: str, least: float) -> DataF
     return pairs.agg(F.count("*").alias("gold"), F.count_if(right).alias("correct")).withColumn("accuracy", F.round(F.col("correct") / F.col("gold"), 4)).withColumn("passed", F.col("correct") / F.col("gold") >= least)
 
 
+def by_confidence(pairs: DataFrame, gold: str, predicted: str, confidence: str) -> DataFrame:
+    """Right and wrong predictions at each confidence; a missing prediction is wrong."""
+    right = F.coalesce(F.col(gold) == F.col(predicted), F.lit(False))
+    return pairs.groupBy(confidence).agg(F.count_if(right).alias("correct"), F.count_if(~right).alias("wrong"))
+
+
 def histogram_of_reasons(df: DataFrame, reasons: Column) -> DataFrame:
     return df.select(F.explode(reasons).alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
 

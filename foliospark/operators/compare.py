@@ -48,6 +48,19 @@ def violations(*named: tuple[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("invariant"), "n") for name, df in named])
 
 
+def listing_faults(catalogue: DataFrame, listing: DataFrame, path: str, size: str, digest: str) -> DataFrame:
+    """Counts of catalogued paths that a listing lacks or holds with another size or hash, and of paths nobody catalogued."""
+    a = catalogue.select(path, F.col(size).alias("_s"), F.col(digest).alias("_d"), F.lit(True).alias("_a"))
+    b = listing.select(path, F.col(size).alias("_t"), F.col(digest).alias("_e"), F.lit(True).alias("_b"))
+    both = F.col("_a") & F.col("_b")
+    return a.join(b, path, "full").agg(
+        F.count_if(F.col("_b").isNull()).alias("missing"),
+        F.count_if(F.col("_a").isNull()).alias("uncatalogued"),
+        F.count_if(both & ~F.col("_s").eqNullSafe(F.col("_t"))).alias("size_differs"),
+        F.count_if(both & ~F.col("_d").eqNullSafe(F.col("_e"))).alias("hash_differs"),
+    )
+
+
 def uneven_clusters(df: DataFrame, cluster: str, size: str) -> DataFrame:
     """Clusters whose stored size is not their row count."""
     return df.groupBy(cluster).agg(F.count("*").alias("n"), F.min(size).alias("lo"), F.max(size).alias("hi")).filter((F.col("n") != F.col("lo")) | (F.col("lo") != F.col("hi")))

@@ -159,3 +159,39 @@ def test_compare_and_ingest(spark):
     good = spark.createDataFrame([("d", "u1"), ("e", "u2"), ("e", "u3")], "alias string, url string")
     fixed = I.repair_aliases(spark.createDataFrame([("d",), ("e",)], "alias string"), good, "alias", "url")
     assert {r.alias: r.repaired for r in fixed.collect()} == {"d": "u1", "e": None}
+
+
+def test_candidates_listing_and_confidence(spark):
+    docs = spark.createDataFrame([("aabb", "DOCX"), ("ccdd", "odd"), ("eeff", "PDF")], "sha string, kind string")
+    listing = spark.createDataFrame([("aa/bb/aabb.doc",), ("cc/dd/ccdd.odd",)], "key string")
+    got = {r.sha: r.resolved for r in U.first_existing(docs, "sha", "kind", listing, "key").collect()}
+    assert got == {"aabb": "aa/bb/aabb.doc", "ccdd": "cc/dd/ccdd.odd", "eeff": None}
+    a = spark.createDataFrame([("p", 1, "x"), ("q", 2, "y"), ("r", 3, "z")], "path string, size long, sha string")
+    b = spark.createDataFrame([("p", 1, "x"), ("q", 9, "w"), ("s", 3, "z")], "path string, size long, sha string")
+    r = C.listing_faults(a, b, "path", "size", "sha").first()
+    assert (r.missing, r.uncatalogued, r.size_differs, r.hash_differs) == (1, 1, 1, 1)
+    pairs = spark.createDataFrame([("a", "a", "high"), ("a", "b", "high"), ("a", None, "low")], "g string, p string, c string")
+    assert {r.c: (r.correct, r.wrong) for r in A.by_confidence(pairs, "g", "p", "c").collect()} == {"high": (1, 1), "low": (0, 1)}
+
+
+def test_documents(spark):
+    from foliospark.operators import documents as D
+
+    df = spark.createDataFrame([("https://h/x.pdf", "D:20110101", ["https://h/published-3-may-2012", "https://h/q"]), ("https://h/published_31_june_2012", "D:1980", None)], "u string, p string, r array<string>")
+    got = [(r.published_at, r.analysis_year, r.analysis_year_basis) for r in D.temporal(df, "u", "p", "r", "2024-01-01").collect()]
+    assert got == [("2012-05-03", 2012, "referrer-url-explicit-published-date"), (None, None, None)]
+    pages = spark.createDataFrame([("m", 1, "mixed"), ("m", 2, "mixed"), ("s", 1, "stakeholder"), ("o", 1, "x")], "sha string, n long, voice string")
+    over = spark.createDataFrame([("m", 1, 1, "v"), ("o", 1, 2, "a"), ("o", 1, 1, "b")], "sha string, start_page long, end_page long, voice string")
+    rows = {(r.sha, r.n): (r.final_voice, r.fault) for r in D.page_voice(pages, over, "sha", "n", "voice").collect()}
+    assert rows[("m", 1)] == ("v", None) and rows[("m", 2)] == ("mixed", "uncovered-page") and rows[("s", 1)] == ("stakeholder", None) and rows[("o", 1)][1] == "overlapping-overrides"
+    good, bad = D.valid_overrides(spark.createDataFrame([("a", ""), ("zz", "low")], "authorship string, confidence string"), {"authorship": ["a", "b"], "confidence": ["low", "high"]}, {"confidence": F.lit("high")})
+    assert [tuple(r) for r in good.collect()] == [("a", "high")] and bad.first().outside_domain == ["authorship"]
+    meta = spark.createDataFrame([({"a": "1", "b": "2"},)], "m map<string,string>")
+    r = D.update_front_matter(meta, "m", {"a": F.lit("3")}).first()
+    assert r.updated == {"a": "3", "b": "2"} and r.changed
+    with pytest.raises(Exception, match="canonical key"):
+        D.update_front_matter(meta, "m", {"zz": F.lit("3")}).collect()
+    near = spark.createDataFrame([("https://h/docs/default-source/a.pdf", "s1"), ("https://h/x/docs/default-source/a.pdf", "s2")], "u string, sha string")
+    assert [(r.sha, r.aliases) for r in D.nested_aliases(near, "u", "sha").collect()] == [("s1", ["https://h/x/docs/default-source/a.pdf"])]
+    t = spark.createDataFrame([(" ", "Pdf", "# H", "https://h/a-b.pdf"), (None, "", "# Contents", "https://h/a-b.pdf"), (None, None, "# Heading", "https://h/a")], "m string, p string, t string, u string")
+    assert [r.t for r in t.select(D.title(*map(F.col, "mptu")).alias("t")).collect()] == ["Pdf", "a b", "Heading"]
