@@ -49,9 +49,14 @@ def _signed(h: int) -> int:
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per document: hash and leaf of each line, and its token hashes (0: no line that can be a template)."""
+    """Per document: hash and leaf of each line (0: no line that can be a template), and its token hashes.
+
+    A task writes the token hashes of a line once as a rule, so copies of a
+    common line need not travel.
+    """
     h = xxhash.xxh64_intdigest
     short: dict[bytes, int] = {}
+    written: set[int] = set()
     for batch in batches:
         hashes, leaves, vectors = [], [], []
         for text in batch.column(1).to_pylist():
@@ -61,10 +66,15 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if not toks:
                     hs.append(0)
                     ls.append(0)
-                    vs.append(b"")
+                    vs.append(None)
                     continue
                 hs.append(_signed(h(b" ".join(toks), 3) or 1))
                 ls.append(_signed(h(b"%d " % len(toks) + b" ".join(toks[:DEPTH]), 5)))
+                if hs[-1] in written:
+                    vs.append(None)
+                    continue
+                if len(written) < 1_000_000:
+                    written.add(hs[-1])
                 v = []
                 for t in toks:
                     x = short.get(t)
@@ -174,10 +184,14 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     parsed = picked.mapInArrow(_parse, "doc_id long, text string, h array<long>, leaf array<long>, vec array<binary>")
     parsed = scratch.save(parsed.withColumn("uid", F.monotonically_increasing_id()), "parsed")
 
-    each = parsed.select(F.explode(F.arrays_zip("leaf", "h", "vec")).alias("x")).select("x.leaf", "x.h", "x.vec").filter("h <> 0")
+    each = parsed.select(F.explode(F.arrays_zip("leaf", "h", "vec")).alias("x")).select("x.leaf", "x.h", "x.vec").filter("vec is not null")
     sizes = parsed.select(F.explode(F.arrays_zip("leaf", "h")).alias("x")).select("x.leaf", "x.h").filter("h <> 0").distinct().groupBy("leaf").count()
     shared = scratch.save(sizes.filter("count > 1"), "shared")
-    crowded = each.join(shared, "leaf")
+    # Most lines are alone in their leaf: a bitmap of 2**22 bits at any size lets nearly all of them stay where they are.
+    word, bit = F.shiftrightunsigned("leaf", 48), F.expr("shiftleft(1L, cast(shiftright(leaf, 42) & 63 as int))")
+    bitmap = shared.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("mask"))
+    likely = each.withColumn("word", word).join(F.broadcast(bitmap), "word").filter(F.col("mask").bitwiseAND(bit) != 0)
+    crowded = likely.select("leaf", "h", "vec").join(shared, "leaf")
     salt = F.when(F.col("count") > HOT, F.pmod(F.col("h"), F.lit(SALTS))).otherwise(0).cast("long")
     local = scratch.save(_grow(crowded, salt, similarity), "local")
     again = local.filter("h = root").select("leaf", "h", "vec").join(shared.filter(F.col("count") > HOT).select("leaf"), "leaf", "left_semi")
