@@ -31,6 +31,7 @@ class Scratch:
 
     Writing a table cuts the lineage: a lost executor costs its running tasks
     only, since every finished step can be read again from shared storage.
+    Opening one also bounds the session's Arrow batches, as rows may be long.
     """
 
     def __init__(self, spark: SparkSession, tag: str):
@@ -39,13 +40,12 @@ class Scratch:
         for key, value in (
             ("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES)),
             ("spark.sql.execution.arrow.maxRecordsPerBatch", "2000"),
-            ("spark.sql.parquet.compression.codec", "zstd"),
         ):
             spark.conf.set(key, value)
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
