@@ -148,26 +148,50 @@ def with_norms(pages: DataFrame, text: str = "text", title: str | None = None) -
     return out.withColumn("title_norm", normalised(F.coalesce(F.col(title), F.lit(""))) if title else F.lit("  "))
 
 
-def bm25(pages: DataFrame, query: str, title_weight: float = 1.0, k1: float = 1.2, b: float = 0.75) -> DataFrame:
-    """Matching rows of ``with_norms`` output with ``score``; lower is better.
+def bm25_many(pages: DataFrame, queries: dict[str, str], keep: list[str], title_weight: float = 1.0, k1: float = 1.2, b: float = 0.75) -> DataFrame:
+    """One row for each (query, matching row) of ``with_norms`` output: the kept columns, ``query`` and ``score``; lower is better.
 
-    One aggregation gives the row count, the mean length and each phrase's row
-    count; it is a single row and is broadcast back.
+    All queries share one pass for the statistics (row count, mean length, rows
+    of each distinct phrase: a single row, broadcast back) and one for scores.
     """
-    phrases = terms(parse(query))
-    counted = pages
-    for i, p in enumerate(phrases):
-        counted = counted.withColumn(f"_f{i}", F.lit(float(title_weight)) * phrase_count(F.col("title_norm"), p) + phrase_count(F.col("text_norm"), p))
-    counted = counted.withColumn("_len", tokens_of(F.col("title_norm")) + tokens_of(F.col("text_norm")))
-    stats = counted.agg(F.count("*").alias("_n"), F.avg("_len").alias("_avg"), *[F.count_if(F.col(f"_f{i}") > 0).alias(f"_n{i}") for i in range(len(phrases))])
-    joined = counted.filter(matches(query, F.col("title_norm"), F.col("text_norm"))).join(F.broadcast(stats))
-    score = F.lit(0.0)
-    for i in range(len(phrases)):
-        raw = F.ln((F.col("_n") - F.col(f"_n{i}") + 0.5) / (F.col(f"_n{i}") + 0.5))
-        idf = F.when(raw <= 0, 1e-6).otherwise(raw)
-        f = F.col(f"_f{i}")
-        score = score + idf * f * (k1 + 1) / (f + k1 * (1 - b + b * F.col("_len") / F.col("_avg")))
-    return joined.withColumn("score", -score).select(*pages.columns, "score")
+    trees = {name: parse(q) for name, q in queries.items()}
+    phrases = list(dict.fromkeys(p for tree in trees.values() for p in terms(tree)))
+    at = {p: i for i, p in enumerate(phrases)}
+    title, text = F.col("title_norm"), F.col("text_norm")
+    counted = pages.select(
+        *keep, "title_norm", "text_norm", (tokens_of(title) + tokens_of(text)).alias("_len"), *[(F.lit(float(title_weight)) * phrase_count(title, p) + phrase_count(text, p)).alias(f"_f{i}") for p, i in at.items()]
+    )
+    stats = counted.agg(F.count("*").alias("_n"), F.avg("_len").alias("_avg"), *[F.count_if(F.col(f"_f{i}") > 0).alias(f"_n{i}") for i in at.values()])
+
+    def score(tree) -> Column:
+        total = F.lit(0.0)
+        for p in terms(tree):
+            i = at[p]
+            raw = F.ln((F.col("_n") - F.col(f"_n{i}") + 0.5) / (F.col(f"_n{i}") + 0.5))
+            f = F.col(f"_f{i}")
+            total = total + F.when(raw <= 0, 1e-6).otherwise(raw) * f * (k1 + 1) / (f + k1 * (1 - b + b * F.col("_len") / F.col("_avg")))
+        return -total
+
+    any_match = reduce(Column.__or__, [matches(q, title, text) for q in queries.values()])
+    joined = counted.filter(any_match).join(F.broadcast(stats))
+    hits = F.array_compact(F.array(*[F.when(matches(queries[n], title, text), F.struct(F.lit(n).alias("query"), score(tree).alias("score"))) for n, tree in trees.items()]))
+    return joined.select(*keep, F.explode(hits).alias("_h")).select(*keep, "_h.query", "_h.score")
+
+
+def bm25(pages: DataFrame, query: str, title_weight: float = 1.0) -> DataFrame:
+    """Matching rows of ``with_norms`` output with ``score``."""
+    kept = [c for c in pages.columns if c not in ("title_norm", "text_norm")]
+    return bm25_many(pages, {"q": query}, kept, title_weight).drop("query")
+
+
+def evidence(pages: DataFrame, topics: dict[str, str], signal: str, document: str, order: list[str], keep: list[str], top: int = 15, title_weight: float = 1.5) -> DataFrame:
+    """For each topic the best page of the ``top`` best documents, by relevance and again among pages that also show a signal."""
+    queries = {f"{n}|relevance": q for n, q in topics.items()} | {f"{n}|signal": f"({q}) AND ({signal})" for n, q in topics.items()}
+    # Ranks by bounded windows: row_number() <= n is cut to n rows a task before the shuffle.
+    scored = bm25_many(pages, queries, keep, title_weight).withColumn("score", F.round("score", 6))
+    best = scored.withColumn("_p", F.row_number().over(Window.partitionBy("query", document).orderBy("score", *order))).filter("_p = 1").drop("_p")
+    ranked = best.withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy("score", document))).filter(F.col("rank") <= top)
+    return ranked.withColumn("topic", F.substring_index("query", "|", 1)).withColumn("ranking", F.substring_index("query", "|", -1)).drop("query")
 
 
 def scan(pages: DataFrame, queries: dict[str, str], keep: list[str]) -> DataFrame:
@@ -212,11 +236,10 @@ def best_page_per_document(ranked: DataFrame, document: str, order: list, limit:
 
 def bundle(pages: DataFrame, queries: list[str], k: int, key: list[str]) -> DataFrame:
     """Top k rows of each query by BM25; a row that several queries return belongs to the first."""
-    found = None
-    for i, q in enumerate(queries):
-        top = bm25(pages, q).orderBy(F.round("score", 6), *key).limit(k).select(*key, F.lit(i).alias("query_index"), F.round("score", 6).alias("score"))
-        found = top if found is None else found.unionByName(top)
-    return found.groupBy(*key).agg(F.min("query_index").alias("query_index"), F.min_by("score", "query_index").alias("score"))
+    scored = bm25_many(pages, {str(i): q for i, q in enumerate(queries)}, key).withColumn("score", F.round("score", 6))
+    top = scored.withColumn("_n", F.row_number().over(Window.partitionBy("query").orderBy("score", *key))).filter(F.col("_n") <= k)
+    top = top.select(*key, F.col("query").cast("int").alias("query_index"), "score")
+    return top.groupBy(*key).agg(F.min("query_index").alias("query_index"), F.min_by("score", "query_index").alias("score"))
 
 
 def snippet(phrases: list[str], width: int = 36, marks: tuple[str, str] = ("[", "]"), dots: str = " ... "):

@@ -265,6 +265,31 @@ def bundle_first_wins(spark, d):
     return fts.bundle(_line_pages(spark, d), ["and", "the"], 30, ["doc_id", "page_number"])
 
 
+EVIDENCE = {"a": ("of", ["of"]), "b": ('"of the"', ["of the"])}
+
+
+def sql_evidence() -> str:
+    parts, out = [], []
+    for n, (_, phrases) in EVIDENCE.items():
+        for kind, extra in (("relevance", []), ("signal", ["and"])):
+            both = list(dict.fromkeys(phrases + extra))
+            tag = f"{n}_{kind}"
+            one = sql_bm25(LINE_SOURCE, "doc_id, page_number", both, " AND ".join(has(p) for p in both))
+            for word in ("src", "cnt", "scored"):
+                one = one.replace(word, f"{word}_{tag}")
+            one = one.replace("\nst AS", f"\nst_{tag} AS").replace(", st WHERE", f", st_{tag} WHERE")
+            parts.append(one)
+            out.append(f"SELECT doc_id, page_number, score, row_number() OVER (ORDER BY score, doc_id) AS rank, '{n}' AS topic, '{kind}' AS ranking FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score, page_number) AS k FROM scored_{tag}) WHERE k = 1 QUALIFY rank <= 15")
+    return f"WITH {', '.join(parts)} SELECT doc_id, CAST(page_number AS BIGINT) AS page_number, score, rank, topic, ranking FROM ({' UNION ALL '.join(f'({x})' for x in out)})"
+
+
+@query(sql_evidence())
+def evidence_candidates(spark, d):
+    topics = {n: q for n, (q, _) in EVIDENCE.items()}
+    out = fts.evidence(_line_pages(spark, d), topics, "and", "doc_id", ["page_number"], ["doc_id", "page_number"])
+    return out.select("doc_id", "page_number", "score", F.col("rank").cast("long").alias("rank"), "topic", "ranking")
+
+
 @query()
 def snippet_rows(spark, d):
     hits = fts.with_norms(t(spark, d, "documents")).filter(fts.matches('"of the"', F.col("text_norm")))
