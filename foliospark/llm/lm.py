@@ -38,7 +38,7 @@ TOP = 900
 SHARE = 1 / 200_000
 DIM = 24
 NOISE = 24
-BATCH = 4096
+BATCH = 2048
 WARM_DOCS = 400
 WARM_TOKENS = 300_000
 FLUSH = 400_000
@@ -93,6 +93,14 @@ class Codes(dict):
         return code
 
 
+def _sums(index: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct indices and the sums of their rows; 16-bit keys sort by radix."""
+    order = np.argsort(index.astype(np.uint16), kind="stable")
+    ranked = index[order]
+    starts = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
+    return ranked[starts], np.add.reduceat(values[order], starts, axis=0)
+
+
 class LogBilinear:
     """Class vectors ``r``, two context matrices ``c1`` (nearer word) and ``c2``, bias ``b``."""
 
@@ -119,23 +127,26 @@ class LogBilinear:
         r, c1, c2, b = self.params
         far, near, word = rows[:, 0], rows[:, 1], rows[:, 2]
         noise = np.searchsorted(self.cut, rng.random(NOISE)).clip(0, len(b) - 1)
-        rn, rf, rw, rz = r[near], r[far], r[word], r[noise]
-        q = rn @ c1 + rf @ c2
-        up = 1 / (1 + np.exp(np.clip((q * rw).sum(1) + b[word] - self.lnkq[word], -30, 30)))  # 1 - sigma
-        down = -1 / (1 + np.exp(-np.clip(q @ rz.T + b[noise] - self.lnkq[noise], -30, 30)))  # -sigma
-        dq = up[:, None] * rw + down @ rz
-        index = np.concatenate([word, noise, near, far])
-        grads = np.concatenate([up[:, None] * q, down.T @ q, dq @ c1.T, dq @ c2.T])
-        order = np.argsort(index, kind="stable")
-        sorted_index = index[order]
-        starts = np.flatnonzero(np.append(True, sorted_index[1:] != sorted_index[:-1]))
-        touched, g = sorted_index[starts], np.add.reduceat(grads[order], starts, axis=0)
+        rw, rz = r[word], r[noise]
+        # Classes are few: products by the context matrices are taken once a class, not once a row.
+        q = (r @ c1)[near] + (r @ c2)[far]
+        up = 1 / (1 + np.exp(np.clip(np.einsum("ij,ij->i", q, rw) + b[word] - self.lnkq[word], -30, 30)))  # 1 - sigma
+        down = -1 / (1 + np.exp(-np.clip(q @ rz.T + (b[noise] - self.lnkq[noise]), -30, 30)))  # -sigma
+        dq = down @ rz
+        dq += up[:, None] * rw
+        near_at, near_sum = _sums(near, dq)
+        far_at, far_sum = _sums(far, dq)
+        word_at, word_sum = _sums(word, up[:, None] * q)
+        g = np.zeros_like(r)
+        g[near_at] += near_sum @ c1.T
+        g[far_at] += far_sum @ c2.T
+        g[word_at] += word_sum
+        np.add.at(g, noise, down.T @ q)
         gb = np.bincount(word, weights=up, minlength=len(b)) + np.bincount(noise, weights=down.sum(0), minlength=len(b))
-        scale = 1 / len(rows)
-        for i, part, grad in ((0, touched, g), (1, slice(None), rn.T @ dq), (2, slice(None), rf.T @ dq), (3, slice(None), gb.astype(np.float32))):
-            grad = grad * np.float32(scale)
-            self.squares[i][part] += grad * grad
-            self.params[i][part] += np.float32(rate) * grad / np.sqrt(self.squares[i][part])
+        for i, grad in enumerate((g, r[near_at].T @ near_sum, r[far_at].T @ far_sum, gb.astype(np.float32))):
+            grad = grad * np.float32(1 / len(rows))
+            self.squares[i] += grad * grad
+            self.params[i] += np.float32(rate) * grad / np.sqrt(self.squares[i])
 
     def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(near, far, lnz): ln p(w | far, near) = near[near, w] + far[far, w] - lnz[far, near]; the bias is inside near."""
@@ -184,11 +195,11 @@ def _train(model: LogBilinear, vocabulary: Vocabulary):
                 size += len(held[-1])
                 if size >= 32 * BATCH:
                     rows = np.concatenate(held)
-                    own.train(rows[rng.permutation(len(rows))], rng, 0.02)
+                    own.train(rows[rng.permutation(len(rows))], rng, 0.1)
                     seen, held, size = seen + size, [], 0
         if held:
             rows = np.concatenate(held)
-            own.train(rows[rng.permutation(len(rows))], rng, 0.02)
+            own.train(rows[rng.permutation(len(rows))], rng, 0.1)
             seen += size
         if seen:
             flat = np.concatenate([p.ravel() for p in own.params]).astype(np.float64) * seen
@@ -219,7 +230,7 @@ def fit(train: DataFrame, vocabulary: Vocabulary, unigram: np.ndarray, scratch:
         return model
     rows = np.concatenate(rows)[:WARM_TOKENS]
     for _ in range(6):
-        model.train(rows[rng.permutation(len(rows))], rng, 0.1)
+        model.train(rows[rng.permutation(len(rows))], rng, 0.3)
     parts = scratch.save(train.select("text").mapInArrow(_train(model, vocabulary), "seen long, flat binary"), "parts")
     # Copies are added up in a few tasks, so the driver gets a fixed number of sums.
     merged = parts.coalesce(8).mapInArrow(_merge, "seen long, flat binary").collect()
