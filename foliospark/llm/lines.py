@@ -191,7 +191,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     word, bit = F.shiftrightunsigned("leaf", 48), F.expr("shiftleft(1L, cast(shiftright(leaf, 42) & 63 as int))")
     bitmap = shared.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("mask"))
     likely = each.withColumn("word", word).join(F.broadcast(bitmap), "word").filter(F.col("mask").bitwiseAND(bit) != 0)
-    crowded = likely.select("leaf", "h", "vec").join(shared, "leaf")
+    # A common line comes from many tasks; one row of it goes on.
+    crowded = likely.select("leaf", "h", "vec").dropDuplicates(["leaf", "h"]).join(shared, "leaf")
     salt = F.when(F.col("count") > HOT, F.pmod(F.col("h"), F.lit(SALTS))).otherwise(0).cast("long")
     local = scratch.save(_grow(crowded, salt, similarity), "local")
     again = local.filter("h = root").select("leaf", "h", "vec").join(shared.filter(F.col("count") > HOT).select("leaf"), "leaf", "left_semi")
