@@ -165,7 +165,7 @@ def first_wins_dedupe(spark, d):
 s AS (SELECT *, count(*) OVER (PARTITION BY user_id) AS n FROM c)
 SELECT user_id, event_type, event_id, CASE WHEN n = 1 THEN 'only-candidate' ELSE 'explicit-preference' END AS selection_basis, n - 1 AS alternates FROM s WHERE n = 1 OR event_type = CASE WHEN user_id % 2 = 0 THEN 'click' ELSE 'view' END""")
 def preference_dedupe(spark, d):
-    rows = t(spark, d, "events").filter("user_id < 200 or event_type = 'error'").groupBy("user_id", "event_type").agg(F.min("event_id").alias("event_id"))
+    rows = t(spark, d, "events").groupBy("user_id", "event_type").agg(F.min("event_id").alias("event_id"))
     preferred = rows.select("user_id").distinct().withColumn("preferred", F.when(F.col("user_id") % 2 == 0, "click").otherwise("view"))
     return S.preference_dedupe(rows, "user_id", "event_type", preferred).select("user_id", "event_type", "event_id", "selection_basis", "alternates")
 

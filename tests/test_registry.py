@@ -53,3 +53,12 @@ def test_one_scan_for_many_queries(spark):
         plan = registry._hits(spark, DATA)._jdf.queryExecution().executedPlan().toString()
         assert plan.count("FileScan parquet") == 1
         assert "embedding" not in plan
+
+
+def test_preference_dedupe_reads_all_events(spark, tmp_path):
+    """Users of any id take part, not only those below 200."""
+    rows = [(1, 300, "click"), (2, 300, "view"), (3, 300, "click"), (4, 301, "view"), (5, 301, "error"), (6, 302, "signup"), (7, 303, "click"), (8, 303, "error"), (9, 4, "click")]
+    spark.createDataFrame(rows, "event_id long, user_id long, event_type string").write.parquet(str(tmp_path / "events.parquet"))
+    got = sorted(tuple(r) for r in registry.QUERIES["preference_dedupe"](spark, str(tmp_path)).collect())
+    only, chosen = "only-candidate", "explicit-preference"
+    assert got == [(4, "click", 9, only, 0), (300, "click", 1, chosen, 1), (301, "view", 4, chosen, 1), (302, "signup", 6, only, 0)]
