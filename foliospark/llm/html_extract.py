@@ -43,6 +43,7 @@ CONTENT = frozenset("content main article entry post story body text page wrappe
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar toolbar".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[/a-zA-Z][^<>]*>?|[^<]+|<", re.S)
+RAW_END = {t: re.compile(rf"</{t}(?:[\s/][^>]*)?>|</{t}[\s/][^>]*\Z", re.I) for t in RAW}
 ATTR = re.compile(r"(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?", re.I)
 WORD = re.compile(r"[A-Za-z][a-z]*")
 
@@ -113,20 +114,16 @@ def parse(html: str) -> tuple[list[int], list[tuple[str, list[int], bool]]]:
                     for b in blocks[e.first :]:
                         b[1].append(h)
 
-    skip = None
-    for m in TOKEN.finditer(html):
+    at = 0
+    while at < len(html):
+        m = TOKEN.match(html, at)
+        at = m.end()
         tag = m[2]
         if tag is None:
-            if skip is None and html[m.start()] != "<":
+            if html[m.start()] != "<" or m[0] == "<":
                 buffer.append(m[0])
-            elif skip is None and m[0] == "<":
-                buffer.append("<")
             continue
         tag = tag.lower()
-        if skip is not None:
-            if m[1] and tag == skip:
-                skip = None
-            continue
         if m[1]:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == tag:
@@ -145,8 +142,10 @@ def parse(html: str) -> tuple[list[int], list[tuple[str, list[int], bool]]]:
         if tag in VOID:
             continue
         if tag in RAW:
+            # The body is no markup: only its own closing tag ends it.
             if not m[3].endswith("/"):
-                skip = tag
+                end = RAW_END[tag].search(html, at)
+                at = end.end() if end else len(html)
             continue
         if tag in CLOSES_P or tag in SELF_CLOSING:
             for i in range(len(stack) - 1, 0, -1):

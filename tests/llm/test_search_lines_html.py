@@ -162,3 +162,10 @@ def test_site_templates_are_counted_per_host(spark):
 
 def test_html_empty(spark):
     assert html_extract.extract(spark.createDataFrame([], PAGES)).count() == 0
+
+
+@pytest.mark.parametrize("body", ["for(i=0;i<n;i++){}", "<!-- not closed", 'w("<p a=\'>x</scripted>")', "a<b", ""])
+def test_html_script_bodies_end_at_their_own_tag(spark, body):
+    rows = [("https://h/1", f"<p>Before</p><script>{body}</script><p>Text</p><STYLE>{body}</Style ><p>Last</p>"), ("https://h/2", f"<p>Before</p><script>{body}")]
+    got = texts(spark, rows)
+    assert [got[i].text for i in (0, 1)] == ["Before\nText\nLast", "Before"]
