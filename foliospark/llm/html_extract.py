@@ -5,8 +5,10 @@ the element subtrees around it.  Spark counts each subtree hash per host (once
 a page, combined before the shuffle, so a dominant host costs no more than its
 distinct subtrees) and subtrees that recur across many pages of a host are
 deleted.  Elements whose meaning is stated (navigation, forms, scripts, ...)
-are deleted without counting.  Paragraph-like elements of a marked article are
-exempt from counting: authors may repeat themselves.
+are deleted without counting.  All other text, beside a marked article as well
+as in it, is decided by the counts.  Only the article itself, its paragraphs and
+headings, and single items or cells of its lists and tables are exempt: authors
+may repeat themselves.  A list, table, quotation or figure that recurs whole goes.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ BLOCK = frozenset("address article aside blockquote body center dd details dialo
 CLOSES_P = BLOCK - frozenset("html body td th tr tbody thead tfoot caption".split())
 SELF_CLOSING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = frozenset("ul ol dl table td th article main section div body html aside nav footer header form blockquote".split())
-EXEMPT = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol pre blockquote b i em strong a span u code td th tr table tbody thead dl dt dd figure figcaption article main body html".split())
+EXEMPT = frozenset("p h1 h2 h3 h4 h5 h6 li b i em strong a span u code td th tr tbody thead dt dd figcaption".split())
 FURNITURE = frozenset(
     "nav navbar navigation menu sidebar ad ads advert adverts advertisement advertising banner cookie cookies consent notice notices newsletter subscribe signup promo promotion sponsored popup modal overlay share sharing social related recommended breadcrumb breadcrumbs pagination pager comment comments disqus respond footer header masthead toolbar login search widget".split()
 )
@@ -78,8 +80,8 @@ class _Open:
         self.parts = [tag.encode()]
 
 
-def parse(html: str) -> tuple[list[int], list[tuple[str, list[int], bool]]]:
-    """(hashes of the page's subtrees, blocks); a block is (text, hashes of the deletable subtrees around it, in an article?)."""
+def parse(html: str) -> tuple[list[int], list[tuple[str, list[int]]]]:
+    """(hashes of the page's subtrees, blocks); a block is (text, hashes of the deletable subtrees around it)."""
     stack = [_Open("#root", False, False, 0, True)]
     subtrees: set[int] = set()
     blocks: list[list] = []
@@ -97,7 +99,7 @@ def parse(html: str) -> tuple[list[int], list[tuple[str, list[int], bool]]]:
                         break
                 top.parts.append(text.encode("utf-8", "surrogatepass"))
                 if not stack[-1].dropped:
-                    blocks.append([text, [], stack[-1].inside])
+                    blocks.append([text, []])
 
     def close() -> None:
         e = stack[-1]
@@ -169,16 +171,14 @@ def parse(html: str) -> tuple[list[int], list[tuple[str, list[int], bool]]]:
     return list(subtrees), _finished(blocks)
 
 
-def _finished(blocks: list[list]) -> list[tuple[str, list[int], bool]]:
-    """Blocks with character references decoded and white space settled again; of a marked article, nothing outside it."""
-    marked = any(b[2] for b in blocks)
+def _finished(blocks: list[list]) -> list[tuple[str, list[int]]]:
+    """Blocks with character references decoded and white space settled again."""
     out = []
-    for text, path, inside in blocks:
-        if inside or not marked:
-            if "&" in text:
-                text = " ".join(unescape(text).split())
-            if text:
-                out.append((text, path, inside))
+    for text, path in blocks:
+        if "&" in text:
+            text = " ".join(unescape(text).split())
+        if text:
+            out.append((text, path))
     return out
 
 
@@ -197,7 +197,7 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             subtrees, blocks = parse(html)
             hosts.append(host_of(url))
             trees.append(subtrees)
-            found.append([{"text": t, "path": p} for t, p, _ in blocks])
+            found.append([{"text": t, "path": p} for t, p in blocks])
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(hosts, pa.string()), pa.array(trees, pa.list_(pa.int64())), pa.array(found, blocks_type)], names=["page_id", "url", "host", "subtrees", "blocks"]
         )

@@ -169,3 +169,11 @@ def test_html_script_bodies_end_at_their_own_tag(spark, body):
     rows = [("https://h/1", f"<p>Before</p><script>{body}</script><p>Text</p><STYLE>{body}</Style ><p>Last</p>"), ("https://h/2", f"<p>Before</p><script>{body}")]
     got = texts(spark, rows)
     assert [got[i].text for i in (0, 1)] == ["Before\nText\nLast", "Before"]
+
+
+def test_html_counts_decide_beside_and_inside_articles(spark):
+    page = lambda i: f"<article><h1>Title</h1><p>own {i}</p><ul><li>link {i}<li>more</ul><ul><li>See also</ul></article><div>part two of {i}</div><div>Our shop</div>"
+    rows = [("https://big/x", page(i)) for i in range(20)] + [("https://small/x", page(i)) for i in range(3)]
+    got = texts(spark, rows)
+    assert all(got[i].text == f"Title\nown {i}\nlink {i}\nmore\npart two of {i}" for i in range(20))
+    assert all(got[20 + i].text == f"Title\nown {i}\nlink {i}\nmore\nSee also\npart two of {i}\nOur shop" for i in range(3))
