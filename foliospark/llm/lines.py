@@ -8,8 +8,11 @@ blocks of positions: of ``allowed + 1`` blocks at least one must be equal, so
 none is missed and a leaf costs about one look-up for each block of each line.
 
 Lines are taken in hash order, so the templates do not depend on partitions.
-Leaves with one line need no tree; a leaf of more than ``HOT`` lines is first
-parsed in ``SALTS`` parts, whose templates are then parsed together.
+Leaves with one line need no tree.  A leaf of more than ``HOT`` lines is parsed
+in rounds over stretches of the hash order, each twice as long as all before:
+in ``SALTS`` parts, lines near an earlier template's first line are set aside;
+the rest is parsed by one task and gives the stretch's templates.  At last every
+line picks its template among all earlier ones, as if the leaf were parsed whole.
 Templates on ``min_docs`` documents or more are dropped from all of them.
 """
 
@@ -92,8 +95,11 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def parse_leaf(names: np.ndarray, vectors: list[bytes], similarity: float) -> np.ndarray:
-    """The name of the template's first line for each line of one leaf; names ascending."""
+def parse_leaf(names: np.ndarray, vectors: list[bytes], similarity: float, heads_only: np.ndarray | None = None) -> np.ndarray:
+    """The name of the template's first line for each line of one leaf; names ascending.
+
+    With ``heads_only`` the marked lines are the first lines of templates and no other line becomes one.
+    """
     n = len(vectors[0]) // 2
     allowed = int(np.floor(n * (1 - similarity) + 1e-9))
     out = names.copy()
@@ -105,11 +111,12 @@ def parse_leaf(names: np.ndarray, vectors: list[bytes], similarity: float) -> np
     firsts: list[np.ndarray] = []
     heads: list[int] = []
     for i, v in enumerate(vectors):
+        head = heads_only is not None and heads_only[i]
         keys = [(j, v[a:b]) for j, (a, b) in enumerate(spans)]
         x = np.frombuffer(v, dtype="<u2")
         seen: set[int] = set()
         best, least = -1, allowed + 1
-        for k in keys:
+        for k in () if head else keys:
             for t in found.get(k, ()):
                 if t not in seen:
                     seen.add(t)
@@ -118,7 +125,7 @@ def parse_leaf(names: np.ndarray, vectors: list[bytes], similarity: float) -> np
                         best, least = t, differ
         if best >= 0:
             out[i] = names[heads[best]]
-        else:
+        elif head or heads_only is None:
             t = len(firsts)
             firsts.append(x)
             heads.append(i)
@@ -127,9 +134,9 @@ def parse_leaf(names: np.ndarray, vectors: list[bytes], similarity: float) -> np
     return out
 
 
-def _templates(similarity: float):
-    def emit(leaf, salt, h, vecs):
-        """Rows in order of (leaf, salt, h)."""
+def _templates(similarity: float, given: bool):
+    def emit(leaf, salt, h, head, vecs):
+        """Rows in order of (leaf, salt, h); rows marked as heads, if given, are not put out."""
         change = np.flatnonzero((leaf[1:] != leaf[:-1]) | (salt[1:] != salt[:-1])) + 1
         starts, ends = np.append(0, change), np.append(change, len(h))
         out = [[], [], [], []]
@@ -137,8 +144,10 @@ def _templates(similarity: float):
             first = np.append(True, h[s + 1 : e] != h[s : e - 1])
             at = np.flatnonzero(first) + s
             own = h[at]
-            roots = parse_leaf(own, [vecs[i] for i in at], similarity) if len(at) > 1 else own
+            roots = parse_leaf(own, [vecs[i] for i in at], similarity, head[at] if given else None) if len(at) > 1 else own
             for i, a, r in zip(at, own, roots):
+                if head[i]:
+                    continue
                 out[0].append(leaf[i])
                 out[1].append(a)
                 out[2].append(r)
@@ -150,7 +159,7 @@ def _templates(similarity: float):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            part = [np.asarray(batch.column(i)) for i in range(3)] + [np.array(batch.column(3).to_pylist(), dtype=object)]
+            part = [np.asarray(batch.column(i)) for i in range(4)] + [np.array(batch.column(4).to_pylist(), dtype=object)]
             if held is not None:
                 part = [np.concatenate([a, b]) for a, b in zip(held, part)]
             last = np.flatnonzero((part[0] != part[0][-1]) | (part[1] != part[1][-1]))
@@ -167,9 +176,31 @@ def _templates(similarity: float):
 TEMPLATE = "leaf long, h long, root long, vec binary"
 
 
-def _grow(lines: DataFrame, salt, similarity: float) -> DataFrame:
-    dealt = lines.withColumn("salt", salt).repartition("leaf", "salt").sortWithinPartitions("leaf", "salt", "h")
-    return dealt.select("leaf", "salt", "h", "vec").mapInArrow(_templates(similarity), TEMPLATE)
+def _grow(lines: DataFrame, similarity: float, heads: DataFrame | None = None) -> DataFrame:
+    """Root of each line (leaf, h, vec); ``heads`` are all first lines of templates if given, else lines become them."""
+    salt = F.lit(0) if heads is None else F.pmod(F.col("h"), F.lit(SALTS))
+    dealt = lines.select("leaf", salt.cast("long").alias("salt"), "h", F.lit(0).cast("long").alias("head"), "vec")
+    if heads is not None:
+        salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
+        dealt = dealt.union(heads.select("leaf", salts.alias("salt"), "h", F.lit(1).cast("long").alias("head"), "vec"))
+    dealt = dealt.repartition("leaf", "salt").sortWithinPartitions("leaf", "salt", "h")
+    return dealt.mapInArrow(_templates(similarity, heads is not None), TEMPLATE)
+
+
+def _grow_hot(crowded: DataFrame, most: int, similarity: float, scratch: Scratch) -> DataFrame:
+    """h and root of the lines in leaves of more than HOT lines, the same as _grow gives for whole leaves."""
+    place = (F.col("h") / F.lit(2.0**64) + 0.5) * F.col("count") / F.lit(float(HOT))
+    level = F.when(place < 1, 0).otherwise(F.floor(F.log2(place)) + 1).cast("int")
+    hot = scratch.save(crowded.filter(F.col("count") > HOT).select("leaf", "h", "vec", level.alias("level")), "hot")
+    heads = None
+    for k in range(int(np.floor(np.log2(most / HOT))) + 2):
+        rest = hot.filter(F.col("level") == k).select("leaf", "h", "vec")
+        if heads is not None:
+            rest = scratch.save(_grow(rest, similarity, heads).filter("h = root").select("leaf", "h", "vec"), f"rest{k}")
+        new = scratch.save(_grow(rest, similarity).filter("h = root").select("leaf", "h", "vec"), f"heads{k}")
+        heads = new if heads is None else heads.union(new)
+    others = hot.join(heads.select("leaf", "h"), ["leaf", "h"], "left_anti").select("leaf", "h", "vec")
+    return scratch.save(_grow(others, similarity, heads).select("h", "root"), "hotroots")
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, similarity: float = SIMILARITY) -> DataFrame:
@@ -193,11 +224,11 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     likely = each.withColumn("word", word).join(F.broadcast(bitmap), "word").filter(F.col("mask").bitwiseAND(bit) != 0)
     # A common line comes from many tasks; one row of it goes on.
     crowded = likely.select("leaf", "h", "vec").dropDuplicates(["leaf", "h"]).join(shared, "leaf")
-    salt = F.when(F.col("count") > HOT, F.pmod(F.col("h"), F.lit(SALTS))).otherwise(0).cast("long")
-    local = scratch.save(_grow(crowded, salt, similarity), "local")
-    again = local.filter("h = root").select("leaf", "h", "vec").join(shared.filter(F.col("count") > HOT).select("leaf"), "leaf", "left_semi")
-    final = scratch.save(_grow(again, F.lit(0).cast("long"), similarity).select(F.col("h").alias("root"), F.col("root").alias("top")), "final")
-    renamed = local.select("h", "root").join(final, "root", "left").select("h", F.coalesce("top", "root").alias("root")).filter("h <> root")
+    local = scratch.save(_grow(crowded.filter(F.col("count") <= HOT), similarity).select("h", "root"), "local")
+    most = shared.agg(F.max("count")).first()[0] or 0
+    if most > HOT:
+        local = local.union(_grow_hot(crowded, most, similarity, scratch))
+    renamed = local.filter("h <> root")
 
     present = parsed.select("uid", F.explode(F.array_distinct("h")).alias("h")).filter("h <> 0")
     named = scratch.save(present.join(renamed, "h", "left").select("uid", "h", F.coalesce("root", "h").alias("root")), "named")

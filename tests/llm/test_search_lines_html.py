@@ -129,6 +129,20 @@ def test_lines_empty(spark):
     assert lines.line_dedup(spark.createDataFrame([], LINES)).count() == 0
 
 
+def test_line_dedup_is_the_same_at_any_leaf_size(spark, monkeypatch):
+    """Borderline lines: many are near a line that is near a template, but not near the template."""
+    rng = random.Random(4)
+    near = ["a b c " + " ".join(rng.choice(["x", "x", "x", "y", "z"]) for _ in range(12)) for _ in range(400)]
+    df = spark.createDataFrame([(i, "\n".join(near[i * 4 : i * 4 + 4])) for i in range(100)], "doc_id long, text string").repartition(5)
+    got = {}
+    for hot in (2000, 100, 20):
+        monkeypatch.setattr(lines, "HOT", hot)
+        monkeypatch.setattr(lines, "SALTS", 4)
+        got[hot] = sorted((r.doc_id, r.n_dropped, r.text) for r in lines.line_dedup(df).collect())
+    assert 40 < sum(r[1] for r in got[2000]) < 360
+    assert got[2000] == got[100] == got[20]
+
+
 PAGES = "page_id long, url string, html string, host string, uid long, blocks string"
 ARTICLE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body class="with-sidebar">
 <header><h2>Site</h2></header><nav><ul><li><a href=/a>Menu</a></ul></nav><div class="cookie-notice">We use cookies</div>
