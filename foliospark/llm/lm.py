@@ -226,14 +226,15 @@ def fit(train: DataFrame, vocabulary: Vocabulary, unigram: np.ndarray, scratch:
     sample = train.filter((F.length("text") < WARM_TOKENS) & (F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1 << 30)) < share * (1 << 30))).select("text").collect()
     codes, rng = Codes(vocabulary.words), np.random.default_rng(0)
     rows = [context_rows(vocabulary.encode(bytes(x.text), codes)[2], vocabulary.end) for x in sample]
-    if not rows:
-        return model
-    rows = np.concatenate(rows)[:WARM_TOKENS]
-    for _ in range(6):
-        model.train(rows[rng.permutation(len(rows))], rng, 0.3)
+    if rows:
+        rows = np.concatenate(rows)[:WARM_TOKENS]
+        for _ in range(6):
+            model.train(rows[rng.permutation(len(rows))], rng, 0.3)
     parts = scratch.save(train.select("text").mapInArrow(_train(model, vocabulary), "seen long, flat binary"), "parts")
     # Copies are added up in a few tasks, so the driver gets a fixed number of sums.
     merged = parts.coalesce(8).mapInArrow(_merge, "seen long, flat binary").collect()
+    if not merged:
+        return model
     mean = sum(np.frombuffer(bytes(x.flat), dtype="<f8") for x in merged) / sum(x.seen for x in merged)
     at = 0
     for i, p in enumerate(model.params):

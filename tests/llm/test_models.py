@@ -73,6 +73,21 @@ def test_lm_without_training_rows(spark):
     assert lm.score(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_lm_trains_on_long_texts_alone(docs, monkeypatch):
+    """Texts too long for the warm start still train the model."""
+    seen, fit = {}, lm.fit
+
+    def kept(train, vocabulary, unigram, scratch):
+        seen["start"], seen["model"] = lm.LogBilinear(unigram), fit(train, vocabulary, unigram, scratch)
+        return seen["model"]
+
+    monkeypatch.setattr(lm, "WARM_TOKENS", 0)
+    monkeypatch.setattr(lm, "fit", kept)
+    got = lm.score(docs).collect()
+    assert any((a != b).any() for a, b in zip(seen["start"].params, seen["model"].params))
+    assert got and all(math.isfinite(r.score) and r.score <= 0 for r in got)
+
+
 def kn_reference(train_texts, text):
     """Interpolated modified Kneser-Ney by dictionaries, for one text."""
     from collections import Counter
