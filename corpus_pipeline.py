@@ -35,12 +35,12 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The row with the smallest id of each SimHash component; rows of components without any id stay."""
+    """One row of each SimHash component: that with the smallest id, null ids last."""
     marked = Scratch(spark, "stage-near").save(docs.withColumn(ROW, F.monotonically_increasing_id()), "marked")
     found = simhash.simhash_components(marked, carry=marked[ROW])
-    first = found.filter("component_id is not null and doc_id = component_id").groupBy("component_id").agg(F.min("carried").alias(ROW)).select(ROW)
-    alone = found.filter("component_id is null").select(F.col("carried").alias(ROW))
-    return marked.join(first.union(alone), ROW, "left_semi").select(*docs.columns)
+    # Components are told apart by their root: two of them may have the same smallest id.
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", F.col("carried").alias(ROW))).alias("best"))
+    return marked.join(first.select(f"best.{ROW}"), ROW, "left_semi").select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
