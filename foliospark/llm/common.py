@@ -15,12 +15,18 @@ ARROW_BATCH_BYTES = 8 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: the session's checkpoint folder, or (only if none is set) a new local one."""
+    """The folder all executors share: the session's checkpoint folder.
+
+    Where none is set a new local folder is made in local mode only, as executors
+    of a cluster would each see a folder of their own; there it is an error.
+    """
     found = spark.sparkContext._jsc.sc().getCheckpointDir()
     if found.isDefined():
         return found.get()
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="foliospark-")
     spark.sparkContext.setCheckpointDir(named)
     return spark.sparkContext._jsc.sc().getCheckpointDir().get()
