@@ -7,13 +7,16 @@
    those that the sender itself holds twice.
 3. Owners merge their messages and return to each sender a bitmap of the
    fingerprints that exist twice anywhere.
-4. Senders decode the bitmaps into suspects.  Only suspects' texts are
-   shuffled, and equality is decided on their bytes (the text is the grouping
-   key, combined before the shuffle, so a hot text costs one row per task).
+4. Senders decode the bitmaps into suspects.  Only suspects' rows are grouped
+   and only their texts shuffled; equality is decided on their bytes (the text
+   is the grouping key, combined before the shuffle, so a hot text costs one row
+   per task).  All other rows are alone and go out as they stand.
 
 Nothing of corpus size reaches the driver.  The suspects' prefix bitmap that
-prunes the second scan has a fixed size (2**22 bits); saturation makes it
-prune less, never lose a row.
+tells the two kinds of rows apart has a fixed size (2**22 bits); saturation
+sends more rows through the exact joins, never loses one.  Senders and owners
+each hold about ``OWNER_ROWS`` fingerprints, so their messages number
+(rows / OWNER_ROWS) squared and stay large.
 """
 
 from __future__ import annotations
@@ -29,8 +32,8 @@ from pyspark.sql import functions as F
 from .common import Scratch, shuffle_partitions, task_id
 
 SPACES = (" ", "\t", "\n", "\v", "\f", "\r")
-#: Aimed number of fingerprints that one owner merges.
-OWNER_ROWS = 500_000
+#: Aimed number of fingerprints that one sender codes and one owner merges.
+OWNER_ROWS = 4_000_000
 
 
 def normalised(text):
@@ -153,18 +156,26 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     slim = scratch.save(
         seen.select("doc_id", "n_cp", F.sha2("norm", 256).alias("text_sha256"), F.xxhash64("norm").alias("fp"), F.monotonically_increasing_id().alias("uid"), *extra), "slim"
     )
-    owners = max(shuffle_partitions(spark), -(-slim.count() // OWNER_ROWS))
-    suspects = scratch.save(suspect_fingerprints(slim, scratch, owners), "suspects")
+    rows = slim.count()
+    owners = max(shuffle_partitions(spark), -(-rows // OWNER_ROWS))
+    # Never more senders than owners: small files would send as many small messages.
+    suspects = scratch.save(suspect_fingerprints(slim.select("fp").coalesce(owners), scratch, owners), "suspects")
 
     # 2**16 words of 64 bits at most: a proven bound for the broadcast.
     bit = F.expr("shiftleft(1L, cast(shiftright(fp, 42) & 63 as int))")
-    word = F.shiftrightunsigned("fp", 48)
-    words = suspects.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("mask"))
-    hit = seen.select("norm").withColumn("fp", F.xxhash64("norm")).withColumn("word", word).join(F.broadcast(words), "word").filter(F.col("mask").bitwiseAND(bit) != 0)
+    words = F.broadcast(suspects.groupBy(F.shiftrightunsigned("fp", 48).alias("word")).agg(F.bit_or(bit).alias("mask")))
+
+    def marked(df: DataFrame) -> DataFrame:
+        found = df.withColumn("word", F.shiftrightunsigned("fp", 48)).join(words, "word", "left")
+        return found.withColumn("suspect", F.coalesce(F.col("mask").bitwiseAND(bit) != 0, F.lit(False))).drop("word", "mask")
+
+    hit = marked(seen.select("norm").withColumn("fp", F.xxhash64("norm"))).filter("suspect")
     verified = hit.groupBy("norm").agg(F.count("*").alias("same_bytes")).filter("same_bytes > 1").select(F.sha2("norm", 256).alias("text_sha256"), "same_bytes")
+    sorted_out = marked(slim)
+    doubtful = sorted_out.filter("suspect").drop("suspect")
 
     last = 2**63 - 1
-    best = slim.groupBy("text_sha256").agg(
+    best = doubtful.groupBy("text_sha256").agg(
         F.count("*").alias("group_size"),
         F.min(F.struct((-F.col("n_cp")).alias("len"), F.coalesce("doc_id", F.lit(last)).alias("ord"), "uid", "doc_id")).alias("best"),
     ).filter("group_size > 1")
@@ -177,8 +188,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         ),
         "groups",
     )
-    scratch.drop("messages", "suspects")
-    return slim.join(groups, "text_sha256", "left").select(
+    scratch.drop("messages")
+    grouped = doubtful.join(groups, "text_sha256", "left").select(
         "doc_id",
         F.when(F.col("best_uid").isNull(), F.col("doc_id")).otherwise(F.col("best_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
@@ -186,3 +197,5 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "text_sha256",
         *extra,
     )
+    alone = sorted_out.filter("not suspect").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256", *extra)
+    return alone.union(grouped)
