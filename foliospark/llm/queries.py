@@ -35,7 +35,7 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.simhash_components(table(spark, sf_dir, "documents"))
+    return simhash.simhash_components(table(spark, sf_dir, "documents")).drop("root")
 
 
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -118,17 +118,17 @@ def linked_stars(words: np.ndarray, limit: int = 2, block: int = 512) -> tuple[n
     n = len(words)
     root = np.arange(n)
 
-    def top(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
+    def settle() -> None:
+        while np.any(root[root] != root):
+            root[:] = root[root]
 
     def unite(a: np.ndarray, b: np.ndarray) -> None:
-        for x, y in zip(a.tolist(), b.tolist()):
-            x, y = top(x), top(y)
-            if x != y:
-                root[max(x, y)] = min(x, y)
+        while len(a):
+            x, y = root[a], root[b]
+            apart = x != y
+            a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+            np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+            settle()
 
     if n <= 64:
         a, b = np.nonzero(np.triu(np.bitwise_count(words[:, None] ^ words[None, :]) <= limit, 1))
@@ -139,9 +139,8 @@ def linked_stars(words: np.ndarray, limit: int = 2, block: int = 512) -> tuple[n
             a, b = index.search(words[at : at + block], limit)
             a = a + at
             unite(a[a < b], b[a < b])
-    roots = np.array([top(i) for i in range(n)])
-    moved = roots != np.arange(n)
-    return words[moved], words[roots[moved]]
+    moved = root != np.arange(n)
+    return words[moved], words[root[moved]]
 
 
 def _search(limit: int):
@@ -216,12 +215,15 @@ def near_edges(words: DataFrame, scratch: Scratch, limit: int = 2, hot: int = HO
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, limit: int = 2, carry: Column | None = None) -> DataFrame:
-    """One row per input row: doc_id, fingerprint (16 hex digits), component_id (smallest id reachable).
+    """One row per input row: doc_id, fingerprint (16 hex digits), component_id (smallest id reachable) and root.
 
+    ``root`` is the component's smallest fingerprint as a signed number: it names
+    the component where ids repeat, as two components may share their smallest id.
     Null and empty texts have fingerprint zero and link like any other.
     Repeated rows give repeated results; null ids count as absent when the
-    smallest id is taken (null only if a component has no other).  ``carry``
-    is a Column of the input that comes back as ``carried``.
+    smallest id is taken (null only if a component has no other).  An empty table
+    gives an empty result; extra columns are not read.  ``carry`` is a Column of
+    the input that comes back as ``carried``.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "simhash")
@@ -231,5 +233,5 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     roots = connected_components(edges, scratch)
     named = words.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     lows = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    index = scratch.save(named.join(lows, "root").select("fp", "component_id"), "index")
-    return marked.join(index, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", *([] if carry is None else ["carried"]))
+    index = scratch.save(named.join(lows, "root").select("fp", "root", "component_id"), "index")
+    return marked.join(index, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "root", *([] if carry is None else ["carried"]))

@@ -66,3 +66,16 @@ def test_packing_stage(stages):
 
 def test_run(spark, stages):
     assert corpus_pipeline.run(spark, DATA).count() > 0
+
+
+def test_near_stage_keeps_unlike_texts_of_repeated_ids(spark):
+    """Two unlike groups may have the same smallest id; neither may swallow the other."""
+    rows = [(7, "one text about apples and pears"), (7, "quite another tale of rivers and stones"), (8, "a third thing with nothing in common at all"), (9, "one text about apples and pears"), (None, "no id here")]
+    docs = spark.createDataFrame([(a, b, "en", "s", 0) for a, b in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(key(r)[:2] for r in corpus_pipeline.near_dedup(spark, docs, DATA).collect())
+    assert got == sorted((str(a), b) for a, b in rows if a != 9)
+
+
+def test_stages_on_nothing(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    assert all(f(spark, docs, DATA).count() == 0 for _, f in corpus_pipeline.STAGES)
