@@ -1,19 +1,23 @@
 """Line dedup with a log-template tree.
 
-A line's tokens with digits are variable fields.  The tree is fixed in depth:
-token count, then the first ``DEPTH`` tokens.  Inside a leaf, lines that agree
-in ``similarity`` of their positions with a template's first line join it, and
-positions in which members differ become variable too.  Candidates come from
-blocks of positions: of ``allowed + 1`` blocks at least one must be equal, so
-none is missed and a leaf costs about one look-up for each block of each line.
-
-Lines are taken in hash order, so the templates do not depend on partitions.
-Leaves with one line need no tree.  A leaf of more than ``HOT`` lines is parsed
-in rounds over stretches of the hash order, each twice as long as all before:
-in ``SALTS`` parts, lines near an earlier template's first line are set aside;
-the rest is parsed by one task and gives the stretch's templates.  At last every
-line picks its template among all earlier ones, as if the leaf were parsed whole.
-Templates on ``min_docs`` documents or more are dropped from all of them.
+A line's tokens with digits are fields from the start.  The tree is fixed in
+depth: token count, then the first ``DEPTH`` tokens.  Inside a leaf, what varies
+becomes a field too.  The support of a token at a position is the number of
+documents of all the leaf's distinct lines that have it there, and the template
+of a line is the line with its ``allowed`` least supported tokens as fields, the
+later one first among equals; ``allowed`` is the share ``1 - similarity`` of its
+positions, rounded down.  Lines of one template have the same constants with the
+same supports, so they give the same template, and two lines that share one agree
+in ``similarity`` of their positions at least.
+
+Supports are sums, so the templates depend neither on partitions nor on the
+order or number of a leaf's lines: every leaf, of two lines or of a billion, is
+handled by the same combinable groupings, and none lands in one task.
+
+Hashes have 64 bits and are compared within a leaf only; tokens are compared as
+they are.  Leaves on fewer than ``min_docs`` documents hold no recurring
+template and are put aside first, by a bitmap of fixed size (2**22 bits, false
+hits cost time only).
 """
 
 from __future__ import annotations
@@ -21,7 +25,6 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -32,8 +35,6 @@ from .common import Scratch
 DEPTH = 3
 SIMILARITY = 0.8
 MIN_DOCS = 5
-HOT = 2000
-SALTS = 64
 SPREAD = 16
 FIELD = b"<*>"
 DIGIT = re.compile(rb"[0-9]")
@@ -52,155 +53,63 @@ def _signed(h: int) -> int:
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per document: hash and leaf of each line (0: no line that can be a template), and its token hashes.
-
-    A task writes the token hashes of a line once as a rule, so copies of a
-    common line need not travel.
-    """
+    """Per document: hash and leaf of each distinct masked line, and for each line the number of its distinct one (-1: blank)."""
     h = xxhash.xxh64_intdigest
-    short: dict[bytes, int] = {}
-    written: set[int] = set()
     for batch in batches:
-        hashes, leaves, vectors = [], [], []
+        places, hashes, leaves = [], [], []
         for text in batch.column(1).to_pylist():
-            hs, ls, vs = [], [], []
+            at, seen, ls = [], {}, []
             for line in text.encode("utf-8", "surrogatepass").split(b"\n"):
                 toks = mask(line)
                 if not toks:
-                    hs.append(0)
-                    ls.append(0)
-                    vs.append(None)
-                    continue
-                hs.append(_signed(h(b" ".join(toks), 3) or 1))
-                ls.append(_signed(h(b"%d " % len(toks) + b" ".join(toks[:DEPTH]), 5)))
-                if hs[-1] in written:
-                    vs.append(None)
+                    at.append(-1)
                     continue
-                if len(written) < 1_000_000:
-                    written.add(hs[-1])
-                v = []
-                for t in toks:
-                    x = short.get(t)
-                    if x is None:
-                        x = h(t, 9) & 0xFFFF
-                        if len(short) < 500_000:
-                            short[t] = x
-                    v.append(x)
-                vs.append(np.array(v, dtype="<u2").tobytes())
-            hashes.append(hs)
+                name = _signed(h(b" ".join(toks), 3))
+                place = seen.get(name)
+                if place is None:
+                    place = seen[name] = len(seen)
+                    ls.append(_signed(h(b"%d " % len(toks) + b" ".join(toks[:DEPTH]), 5)))
+                at.append(place)
+            places.append(at)
+            hashes.append(list(seen))
             leaves.append(ls)
-            vectors.append(vs)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(hashes, pa.list_(pa.int64())), pa.array(leaves, pa.list_(pa.int64())), pa.array(vectors, pa.list_(pa.binary()))], names=["doc_id", "text", "h", "leaf", "vec"]
+            [batch.column(0), batch.column(1), pa.array(places, pa.list_(pa.int32())), pa.array(hashes, pa.list_(pa.int64())), pa.array(leaves, pa.list_(pa.int64()))], names=["doc_id", "text", "at", "h", "leaf"]
         )
 
 
-def parse_leaf(names: np.ndarray, vectors: list[bytes], similarity: float, heads_only: np.ndarray | None = None) -> np.ndarray:
-    """The name of the template's first line for each line of one leaf; names ascending.
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        toks = [mask(line.encode("utf-8", "surrogatepass")) for line in batch.column(3).to_pylist()]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(toks, pa.list_(pa.binary()))], names=["leaf", "h", "docs", "toks"])
 
-    With ``heads_only`` the marked lines are the first lines of templates and no other line becomes one.
-    """
-    n = len(vectors[0]) // 2
-    allowed = int(np.floor(n * (1 - similarity) + 1e-9))
-    out = names.copy()
-    if allowed == 0:
-        return out
-    cuts = np.linspace(0, n, allowed + 2).astype(int)
-    spans = [(2 * a, 2 * b) for a, b in zip(cuts[:-1], cuts[1:]) if b > a]
-    found: dict[tuple[int, bytes], list[int]] = {}
-    firsts: list[np.ndarray] = []
-    heads: list[int] = []
-    for i, v in enumerate(vectors):
-        head = heads_only is not None and heads_only[i]
-        keys = [(j, v[a:b]) for j, (a, b) in enumerate(spans)]
-        x = np.frombuffer(v, dtype="<u2")
-        seen: set[int] = set()
-        best, least = -1, allowed + 1
-        for k in () if head else keys:
-            for t in found.get(k, ()):
-                if t not in seen:
-                    seen.add(t)
-                    differ = int((firsts[t] != x).sum())
-                    if differ < least:
-                        best, least = t, differ
-        if best >= 0:
-            out[i] = names[heads[best]]
-        elif head or heads_only is None:
-            t = len(firsts)
-            firsts.append(x)
-            heads.append(i)
-            for k in keys:
-                found.setdefault(k, []).append(t)
-    return out
-
-
-def _templates(similarity: float, given: bool):
-    def emit(leaf, salt, h, head, vecs):
-        """Rows in order of (leaf, salt, h); rows marked as heads, if given, are not put out."""
-        change = np.flatnonzero((leaf[1:] != leaf[:-1]) | (salt[1:] != salt[:-1])) + 1
-        starts, ends = np.append(0, change), np.append(change, len(h))
-        out = [[], [], [], []]
-        for s, e in zip(starts, ends):
-            first = np.append(True, h[s + 1 : e] != h[s : e - 1])
-            at = np.flatnonzero(first) + s
-            own = h[at]
-            roots = parse_leaf(own, [vecs[i] for i in at], similarity, head[at] if given else None) if len(at) > 1 else own
-            for i, a, r in zip(at, own, roots):
-                if head[i]:
-                    continue
-                out[0].append(leaf[i])
-                out[1].append(a)
-                out[2].append(r)
-                out[3].append(vecs[i] if a == r else None)
-        return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.binary())], names=["leaf", "h", "root", "vec"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            part = [np.asarray(batch.column(i)) for i in range(4)] + [np.array(batch.column(4).to_pylist(), dtype=object)]
-            if held is not None:
-                part = [np.concatenate([a, b]) for a, b in zip(held, part)]
-            last = np.flatnonzero((part[0] != part[0][-1]) | (part[1] != part[1][-1]))
-            at = int(last[-1]) + 1 if len(last) else 0
-            if at:
-                yield emit(*(x[:at] for x in part))
-            held = [x[at:] for x in part]
-        if held is not None:
-            yield emit(*held)
-
-    return run
-
-
-TEMPLATE = "leaf long, h long, root long, vec binary"
-
-
-def _grow(lines: DataFrame, similarity: float, heads: DataFrame | None = None) -> DataFrame:
-    """Root of each line (leaf, h, vec); ``heads`` are all first lines of templates if given, else lines become them."""
-    salt = F.lit(0) if heads is None else F.pmod(F.col("h"), F.lit(SALTS))
-    dealt = lines.select("leaf", salt.cast("long").alias("salt"), "h", F.lit(0).cast("long").alias("head"), "vec")
-    if heads is not None:
-        salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
-        dealt = dealt.union(heads.select("leaf", salts.alias("salt"), "h", F.lit(1).cast("long").alias("head"), "vec"))
-    dealt = dealt.repartition("leaf", "salt").sortWithinPartitions("leaf", "salt", "h")
-    return dealt.mapInArrow(_templates(similarity, heads is not None), TEMPLATE)
-
-
-def _grow_hot(crowded: DataFrame, most: int, similarity: float, scratch: Scratch) -> DataFrame:
-    """h and root of the lines in leaves of more than HOT lines, the same as _grow gives for whole leaves."""
-    place = (F.col("h") / F.lit(2.0**64) + 0.5) * F.col("count") / F.lit(float(HOT))
-    level = F.when(place < 1, 0).otherwise(F.floor(F.log2(place)) + 1).cast("int")
-    hot = scratch.save(crowded.filter(F.col("count") > HOT).select("leaf", "h", "vec", level.alias("level")), "hot")
-    heads = None
-    for k in range(int(np.floor(np.log2(most / HOT))) + 2):
-        rest = hot.filter(F.col("level") == k).select("leaf", "h", "vec")
-        if heads is not None:
-            rest = scratch.save(_grow(rest, similarity, heads).filter("h = root").select("leaf", "h", "vec"), f"rest{k}")
-        new = scratch.save(_grow(rest, similarity).filter("h = root").select("leaf", "h", "vec"), f"heads{k}")
-        heads = new if heads is None else heads.union(new)
-    others = hot.join(heads.select("leaf", "h"), ["leaf", "h"], "left_anti").select("leaf", "h", "vec")
-    return scratch.save(_grow(others, similarity, heads).select("h", "root"), "hotroots")
+
+def _in_bitmap(rows: DataFrame, leaves: DataFrame) -> DataFrame:
+    """Rows whose leaf may be among ``leaves``; at most 2**16 words of 64 bits are broadcast."""
+    word, bit = F.shiftrightunsigned("leaf", 48), F.expr("shiftleft(1L, cast(shiftright(leaf, 42) & 63 as int))")
+    bitmap = leaves.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("mask"))
+    return rows.withColumn("word", word).join(F.broadcast(bitmap), "word").filter(F.col("mask").bitwiseAND(bit) != 0).drop("word", "mask")
+
+
+def templates(lines: DataFrame, similarity: float) -> DataFrame:
+    """leaf, h and root (the template's name inside the leaf) of distinct lines (leaf, h, docs, toks)."""
+    field = F.lit(FIELD)
+    each = lines.select("leaf", "h", "docs", F.posexplode("toks").alias("pos", "tok"))
+    known = each.filter(F.col("tok") != field)
+    # What only one line has is supported by that line's own documents.
+    support = known.groupBy("leaf", "pos", "tok").agg(F.sum("docs").alias("support"), F.count("*").alias("lines")).filter("lines > 1").drop("lines")
+    # A constant of a large leaf meets all its lines, so both sides are salted.
+    salt = F.pmod(F.col("h"), F.lit(SPREAD)).cast("int")
+    support = support.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    held = each.withColumn("salt", salt).join(support, ["leaf", "pos", "tok", "salt"], "left")
+    token = F.struct("pos", F.coalesce("support", "docs").alias("support"), "tok")
+    whole = held.groupBy("leaf", "h").agg(F.array_sort(F.collect_list(token)).alias("toks"))
+    rank = lambda t: F.struct(t["support"].alias("support"), (-t["pos"]).alias("place"))
+    ranks = F.array_sort(F.transform(F.filter("toks", lambda t: t["tok"] != field), rank))
+    allowed = F.least(F.floor(F.size("toks") * F.lit(1 - similarity) + 1e-9).cast("int"), F.size("ranks"))
+    whole = whole.withColumn("ranks", ranks).withColumn("edge", F.when(allowed > 0, F.get("ranks", allowed - 1)))
+    pattern = F.transform("toks", lambda t: F.when(F.coalesce(rank(t) <= F.col("edge"), F.lit(False)), field).otherwise(t["tok"]))
+    return whole.select("leaf", "h", F.xxhash64(pattern).alias("root"))
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, similarity: float = SIMILARITY) -> DataFrame:
@@ -208,39 +117,43 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Lines end at \\n; blank lines are never templates.  Null text counts as
     empty (one blank line).  A line that repeats inside one document counts
-    once for it; repeated rows count as documents of their own.
+    once for it; repeated rows count as documents of their own.  An empty table
+    gives an empty result; extra columns are not read.  Lines and texts of any
+    length are taken whole.
     """
     scratch = Scratch(docs.sparkSession, "lines")
     picked = docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
-    parsed = picked.mapInArrow(_parse, "doc_id long, text string, h array<long>, leaf array<long>, vec array<binary>")
+    parsed = picked.mapInArrow(_parse, "doc_id long, text string, at array<int>, h array<long>, leaf array<long>")
     parsed = scratch.save(parsed.withColumn("uid", F.monotonically_increasing_id()), "parsed")
 
-    each = parsed.select(F.explode(F.arrays_zip("leaf", "h", "vec")).alias("x")).select("x.leaf", "x.h", "x.vec").filter("vec is not null")
-    sizes = parsed.select(F.explode(F.arrays_zip("leaf", "h")).alias("x")).select("x.leaf", "x.h").filter("h <> 0").distinct().groupBy("leaf").count()
-    shared = scratch.save(sizes.filter("count > 1"), "shared")
-    # Most lines are alone in their leaf: a bitmap of 2**22 bits at any size lets nearly all of them stay where they are.
-    word, bit = F.shiftrightunsigned("leaf", 48), F.expr("shiftleft(1L, cast(shiftright(leaf, 42) & 63 as int))")
-    bitmap = shared.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("mask"))
-    likely = each.withColumn("word", word).join(F.broadcast(bitmap), "word").filter(F.col("mask").bitwiseAND(bit) != 0)
-    # A common line comes from many tasks; one row of it goes on.
-    crowded = likely.select("leaf", "h", "vec").dropDuplicates(["leaf", "h"]).join(shared, "leaf")
-    local = scratch.save(_grow(crowded.filter(F.col("count") <= HOT), similarity).select("h", "root"), "local")
-    most = shared.agg(F.max("count")).first()[0] or 0
-    if most > HOT:
-        local = local.union(_grow_hot(crowded, most, similarity, scratch))
-    renamed = local.filter("h <> root")
-
-    present = parsed.select("uid", F.explode(F.array_distinct("h")).alias("h")).filter("h <> 0")
-    named = scratch.save(present.join(renamed, "h", "left").select("uid", "h", F.coalesce("root", "h").alias("root")), "named")
-    recurring = named.select("uid", "root").distinct().groupBy("root").count().filter(F.col("count") >= min_docs).select("root")
-    # A very common line meets its template in several tasks.
-    spread = recurring.select("root", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("salt"))
-    hit = named.withColumn("salt", F.pmod(F.col("uid"), F.lit(SPREAD)).cast("int")).join(spread, ["root", "salt"], "left_semi")
+    busy = parsed.select(F.explode(F.array_distinct("leaf")).alias("leaf")).groupBy("leaf").count().filter(F.col("count") >= min_docs).select("leaf")
+    busy = scratch.save(busy, "busy")
+    present = _in_bitmap(parsed.select("uid", F.explode(F.arrays_zip("leaf", "h")).alias("x")).select("uid", "x.leaf", "x.h"), busy)
+    distinct = scratch.save(present.groupBy("leaf", "h").agg(F.count("*").alias("docs")).join(busy, "leaf", "left_semi"), "distinct")
+
+    # Only leaves with several lines have anything to generalise.
+    crowded = scratch.save(distinct.groupBy("leaf").count().filter("count > 1").select("leaf"), "crowded")
+    numbered = F.filter(F.zip_with(F.split("text", "\n", -1), "at", lambda line, at: F.struct(line.alias("line"), at.alias("at"))), lambda x: x["at"] >= 0)
+    placed = parsed.select("leaf", "h", F.explode(numbered).alias("x")).select(F.get("leaf", F.col("x.at")).alias("leaf"), F.get("h", F.col("x.at")).alias("h"), "x.line")
+    texts = _in_bitmap(placed, crowded).dropDuplicates(["leaf", "h"])
+    full = distinct.join(crowded, "leaf", "left_semi").join(texts, ["leaf", "h"]).select("leaf", "h", "docs", "line")
+    grown = templates(full.mapInArrow(_tokens, "leaf long, h long, docs long, toks array<binary>"), similarity)
+    single = distinct.join(crowded, "leaf", "left_anti").select("leaf", "h", F.col("h").alias("root"))
+    named = scratch.save(grown.union(single), "named")
+
+    carried = present.join(named, ["leaf", "h"]).select("uid", "leaf", "root").distinct()
+    recurring = carried.groupBy("leaf", "root").count().filter(F.col("count") >= min_docs).select("leaf", "root")
+    # A very common line is looked up in several tasks.
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("salt")
+    gone = scratch.save(named.join(recurring, ["leaf", "root"], "left_semi").select("leaf", "h"), "gone").select("leaf", "h", salts)
+    hit = present.withColumn("salt", F.pmod("uid", F.lit(SPREAD)).cast("int")).join(gone, ["leaf", "h", "salt"], "left_semi")
     dropped = hit.groupBy("uid").agg(F.collect_set("h").alias("dropped"))
     # Most documents lose some line, so the smaller side is no candidate for a broadcast.
-    out = parsed.select("uid", "doc_id", "text", "h").join(dropped.hint("merge"), "uid", "left")
-    zipped = F.zip_with(F.split("text", "\n", -1), "h", lambda line, h: F.struct(line.alias("line"), h.alias("h")))
-    stays = F.filter(zipped, lambda x: ~F.array_contains("dropped", x["h"]))
-    lines = F.when(F.col("dropped").isNull(), F.col("text")).otherwise(F.array_join(F.transform(stays, lambda x: x["line"]), "\n"))
-    gone = F.when(F.col("dropped").isNull(), 0).otherwise(F.size(F.filter("h", lambda x: F.array_contains("dropped", x))))
-    return out.select("doc_id", F.size("h").cast("long").alias("n_lines"), gone.cast("long").alias("n_dropped"), lines.alias("text"))
+    out = parsed.select("uid", "doc_id", "text", "at", "h").join(dropped.hint("merge"), "uid", "left")
+    lost = F.array_sort(F.filter(F.transform("h", lambda x, i: F.when(F.array_contains("dropped", x), i)), lambda i: i.isNotNull()))
+    out = out.withColumn("lost", F.when(F.col("dropped").isNotNull(), lost))
+    zipped = F.zip_with(F.split("text", "\n", -1), "at", lambda line, at: F.struct(line.alias("line"), at.alias("at")))
+    stays = F.filter(zipped, lambda x: ~F.array_contains("lost", x["at"]))
+    lines = F.when(F.col("lost").isNull(), F.col("text")).otherwise(F.array_join(F.transform(stays, lambda x: x["line"]), "\n"))
+    count = F.when(F.col("lost").isNull(), 0).otherwise(F.size(F.filter("at", lambda at: F.array_contains("lost", at))))
+    return out.select("doc_id", F.size("at").cast("long").alias("n_lines"), count.cast("long").alias("n_dropped"), lines.alias("text"))

@@ -1,6 +1,7 @@
 """Permutation index, line dedup and HTML extraction against plain Python."""
 
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -93,54 +94,76 @@ def line_rows():
     return rows + [(100, None), (101, ""), (102, "\n \n"), (None, "All rights reserved"), (103, "two docs only here"), (104, "two docs only here"), (105, "x " * 30_000)]
 
 
-@pytest.mark.parametrize("hot", [2000, 3])
-def test_line_dedup(spark, monkeypatch, hot):
-    monkeypatch.setattr(lines, "HOT", hot)
-    monkeypatch.setattr(lines, "SALTS", 4)
-    df = spark.createDataFrame([(a, b, 1, 2, 3, "clash") for a, b in line_rows()], LINES).repartition(7)
-    got = {(r.doc_id, r.n_lines, r.n_dropped, r.text) for r in lines.line_dedup(df).collect()}
-    want = set()
+def brute_lines(rows, min_docs=5, similarity=0.8):
+    """The template rule in plain Python."""
+    masked = [[tuple("<*>" if any(c in "0123456789" for c in t) else t for t in re.findall(r"[^\x20\x09-\x0D]+", line)) for line in (b or "").split("\n")] for _, b in rows]
+    docs, leaves = Counter(), {}
+    for doc in masked:
+        docs.update({m for m in doc if m})
+    for m in docs:
+        leaves.setdefault((len(m), m[:3]), []).append(m)
+    root = {}
+    for members in leaves.values():
+        support = Counter()
+        for m in members:
+            for at in enumerate(m):
+                support[at] += docs[m]
+        for m in members:
+            order = sorted((support[at, t], -at) for at, t in enumerate(m) if t != "<*>")
+            fields = {-at for _, at in order[: int(len(m) * (1 - similarity) + 1e-9)]} if len(members) > 1 else set()
+            root[m] = tuple("<*>" if at in fields else t for at, t in enumerate(m))
+    held = Counter(r for doc in masked for r in {root[m] for m in doc if m})
+    out = []
+    for (a, b), doc in zip(rows, masked):
+        kept = [x for x, m in zip((b or "").split("\n"), doc) if not m or held[root[m]] < min_docs]
+        out.append((str(a), len(doc), len(doc) - len(kept), "\n".join(kept)))
+    return sorted(out)
+
+
+def run_lines(spark, rows, parts):
+    df = spark.createDataFrame([(a, b, 1, 2, 3, "clash") for a, b in rows], LINES).repartition(parts)
+    return sorted((str(r.doc_id), r.n_lines, r.n_dropped, r.text) for r in lines.line_dedup(df).collect())
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_line_dedup(spark, parts):
+    got = run_lines(spark, line_rows(), parts)
+    want = []
     for a, b in line_rows():
         all_lines = (b or "").split("\n")
         kept = [x for x in all_lines if not x.startswith(("Posted by", "Read more", "All rights"))]
-        want.add((a, len(all_lines), len(all_lines) - len(kept), "\n".join(kept)))
-    assert got == want
-
-
-def test_parse_leaf_matches_scan():
-    """Blocked candidates give what comparing with every template gives."""
-    rng = random.Random(1)
-    rows = sorted({tuple(rng.choice([1, 1, 1, 2, 3]) for _ in range(20)) for _ in range(200)})
-    names = np.arange(len(rows))
-    got = lines.parse_leaf(names, [np.array(r, dtype="<u2").tobytes() for r in rows], 0.8)
-    heads, want = [], []
-    for i, r in enumerate(rows):
-        near = [(sum(a != b for a, b in zip(rows[h], r)), h) for h in heads]
-        best = min(near, default=(99, None))
-        if best[0] <= 4:
-            want.append(best[0])
-            assert sum(a != b for a, b in zip(rows[got[i]], r)) == best[0]
-        else:
-            heads.append(i)
-            assert got[i] == i
+        want.append((str(a), len(all_lines), len(all_lines) - len(kept), "\n".join(kept)))
+    assert got == sorted(want) == brute_lines(line_rows())
 
 
-def test_lines_empty(spark):
-    assert lines.line_dedup(spark.createDataFrame([], LINES)).count() == 0
+@pytest.mark.parametrize("spread", [1, 16])
+def test_line_dedup_matches_brute_force_on_borderline_lines(spark, monkeypatch, spread):
+    """One leaf in which most lines are near others; the same output however the leaf is dealt out."""
+    monkeypatch.setattr(lines, "SPREAD", spread)
+    rng = random.Random(4)
+    near = ["a b c " + " ".join(rng.choice("xxxxxxxxxxyz") for _ in range(12)) for _ in range(400)]
+    rows = [(i, "\n".join(near[i * 4 : i * 4 + 4])) for i in range(100)]
+    want = brute_lines(rows)
+    assert 40 < sum(r[2] for r in want) < 360
+    assert run_lines(spark, rows, 3) == run_lines(spark, rows, 9) == want
 
 
-def test_line_dedup_is_the_same_at_any_leaf_size(spark, monkeypatch):
-    """Borderline lines: many are near a line that is near a template, but not near the template."""
-    rng = random.Random(4)
-    near = ["a b c " + " ".join(rng.choice(["x", "x", "x", "y", "z"]) for _ in range(12)) for _ in range(400)]
-    df = spark.createDataFrame([(i, "\n".join(near[i * 4 : i * 4 + 4])) for i in range(100)], "doc_id long, text string").repartition(5)
-    got = {}
-    for hot in (2000, 100, 20):
-        monkeypatch.setattr(lines, "HOT", hot)
-        monkeypatch.setattr(lines, "SALTS", 4)
-        got[hot] = sorted((r.doc_id, r.n_dropped, r.text) for r in lines.line_dedup(df).collect())
-    assert 40 < sum(r[1] for r in got[2000]) < 360
-    assert got[2000] == got[100] == got[20]
+def test_positions_become_fields(spark):
+    """Values of a field go with their template, whether frequent or not."""
+    days = ["Monday"] * 6 + ["Tuesday"] * 2 + ["Friday"]
+    rows = [(i, f"the weekly letter of our small club came out on {d} as ever\nown line number one of {chr(97 + i) * 6} here today") for i, d in enumerate(days)]
+    assert all(r[2:] == (1, f"own line number one of {chr(97 + int(r[0])) * 6} here today") or r[2] == 2 for r in run_lines(spark, rows, 3))
+    assert run_lines(spark, rows, 3) == brute_lines(rows)
+
+
+def test_unlike_tokens_never_share_a_template(spark):
+    """Tokens that a short hash would mix up stay apart; four positions of ten may not vary."""
+    rows = [(i, "one two three " + " ".join(f"{w}{chr(97 + i)}" for w in ("wxea", "wxfa", "qqra", "ttsa")) + " four five six") for i in range(8)]
+    assert all(r[2] == 0 for r in run_lines(spark, rows, 3))
+
+
+def test_lines_empty(spark):
+    assert lines.line_dedup(spark.createDataFrame([], LINES)).count() == 0
 
 
 PAGES = "page_id long, url string, html string, host string, uid long, blocks string"
