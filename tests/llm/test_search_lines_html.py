@@ -67,12 +67,44 @@ def test_footrule_identity():
     """Summed posting minima order candidates exactly as the truncated footrule distance does."""
     rng = np.random.default_rng(3)
     x, pivots = rng.standard_normal((40, 8)), rng.standard_normal((20, 8))
-    w = ann.weights(x, pivots, 10).astype(int)
+    near = ann.nearest_pivots(x, pivots, 10)
     place = np.minimum(np.argsort(np.argsort(-(x @ pivots.T), axis=1, kind="stable"), axis=1), 10)
-    for i in range(40):
+    assert all((place[i, near[i]] == np.arange(10)).all() for i in range(40))
+    shared, full = ann.shared_weights(near[:7], near)
+    for i in range(7):
         footrule = np.abs(place - place[i]).sum(1)
-        shared = np.minimum(w, w[i]).sum(1)
-        assert len(set((footrule + 2 * shared).tolist())) == 1
+        assert len(set((footrule + 2 * shared[i].astype(int)).tolist())) == 1
+        assert shared[i, i] == full == 55
+
+
+def test_ann_reads_files_of_the_query_only():
+    """Rows that share no pivot with a query are never met, unless it meets too few."""
+    near = np.array([[0, 1], [2, 3], [4, 5], [1, 4]], dtype="<u2")
+    shared, _ = ann.shared_weights(near[:1], near)
+    assert shared.tolist() == [[3, 0, 0, 1]]
+    ids, vecs = np.arange(4), np.eye(4)
+    got = ann.search_shard(ids[:1], ids[:1], vecs[:1], near[:1], ids, ids, vecs, near, 2, 0.1, 1)
+    assert got[1].tolist() == [1, 2]
+
+
+def test_ann_recall_with_production_parameters(spark):
+    """Against brute force over a whole table of the driver."""
+    import os
+
+    path = "/root/testdata/sf0.1/embeddings.parquet"
+    if not os.path.isfile(path):
+        pytest.skip("no test tables here")
+    df = spark.read.parquet(path)
+    rows = sorted((r.vec_id, r.embedding) for r in df.collect())
+    ids, x = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], dtype=np.float64)
+    got = group(ann.search(df, lambda v: v % 20 == 0).collect())
+    hit = 0
+    for q in np.flatnonzero(ids % 20 == 0):
+        score = x @ x[q]
+        score[q] = -np.inf
+        edge = np.sort(score)[-20]
+        hit += sum(r.score >= edge - 1e-9 for r in got[ids[q]])
+    assert set(got) == {i for i in ids.tolist() if i % 20 == 0} and hit / (20 * len(got)) >= 0.9
 
 
 LINES = "doc_id long, text string, h long, leaf long, uid long, dropped string"
@@ -214,3 +246,49 @@ def test_html_counts_decide_beside_and_inside_articles(spark):
     got = texts(spark, rows)
     assert all(got[i].text == f"Title\nown {i}\nlink {i}\nmore\npart two of {i}" for i in range(20))
     assert all(got[20 + i].text == f"Title\nown {i}\nlink {i}\nmore\nSee also\npart two of {i}\nOur shop" for i in range(3))
+
+
+INLINE = [
+    ('<p>text <span class="ad">Buy now</span> more</p>', "text more"),
+    ('<p>a <select><option>x</select> b <button>Go</button> c <svg><text>t</text></svg> d</p>', "a b c d"),
+    ('<p>one <span hidden>two</span> three <a class="share" href=x>Tweet</a></p>', "one three"),
+    ('<article><p class="share-price">The price rose.</p><p class="notice">Gone</p></article>', "The price rose."),
+    ('<p data-hidden-for="x" title="hidden id ad">Shown <i data-class="ad">too</i></p>', "Shown too"),
+    ('<div><span class="ad">only</span></div><p>rest</p>', "rest"),
+]
+
+
+def test_html_inline_furniture(spark):
+    got = texts(spark, [("https://h/1", h) for h, _ in INLINE])
+    assert [got[i].text for i in range(len(INLINE))] == [want for _, want in INLINE]
+
+
+def brute_template(rows, min_pages=5, min_share=0.2):
+    """What the counts alone delete, in plain Python: blocks with a subtree around them that recurs on the host."""
+    parsed = [(html_extract.host_of(u), *html_extract.parse(h or "", False)) for u, h in rows]
+    pages, seen = Counter(host for host, *_ in parsed), Counter((host, t) for host, trees, _ in parsed for t in trees)
+    recurs = lambda host, t: seen[host, t] >= min_pages and seen[host, t] >= pages[host] * min_share
+    return ["\n".join(t for t, path, gone in blocks if not gone and not any(recurs(host, h) for h in path)) for host, _, blocks in parsed]
+
+
+def test_html_counts_alone_match_brute_force(spark):
+    """Without lists the counts delete menus, footers and notices that recur, and nothing else."""
+    page = lambda i: f"<head><title>T</title></head><nav><ul><li>Home<li>Shop {i}</ul></nav><div class=ad>Ad {i % 3}</div><article><p>Same words</p><p>own {i}</p></article><footer><p>Our firm</p></footer><script>x{i}</script>"
+    rows = [("https://big/x", page(i)) for i in range(30)] + [("https://small/x", page(i)) for i in range(3)] + [("https://big/x", None)]
+    got = texts(spark, rows, lists=False)
+    assert [got[i].text for i in range(len(rows))] == brute_template(rows)
+    assert got[0].text == "Shop 0\nSame words\nown 0" and "Home" in got[30].text and "Our firm" in got[30].text
+    df = spark.createDataFrame([(i, u, h, "clash", 1, "clash") for i, (u, h) in enumerate(rows)], PAGES)
+    n = html_extract.deletions(df).groupBy().sum("n_blocks", "by_counts", "by_lists", "by_both").first()
+    assert tuple(n) == (33 * 6, 30 * 3, 33 * 4, 30 * 3)
+
+
+def test_html_counts_on_real_pages(spark):
+    import os
+
+    if not os.path.isdir("/root/testdata/sf0.001"):
+        pytest.skip("no test tables here")
+    df = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    rows = [(r.page_id, r.url, r.html) for r in df.collect()]
+    got = {r.page_id: r.text for r in html_extract.extract(df, lists=False).collect()}
+    assert got == dict(zip((r[0] for r in rows), brute_template([r[1:] for r in rows])))
