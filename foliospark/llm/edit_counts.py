@@ -193,7 +193,10 @@ def count_edited(docs: DataFrame, edits, json_path: str, rank_path: str, id_col:
 
     ``edits`` is a Column of type ``EDITS``, applied in order, each to the text
     the one before left; null means none.  ``tree_col`` names trees kept by an
-    earlier call, else they are built; ``digest`` leaves text and tree null.  Null text counts as empty.  Strings of
+    earlier call (a null tree is built), else they are built; ``digest`` leaves
+    text and tree null.  Null text counts as empty, repeated rows give repeated
+    results, an empty table gives an empty one, and extra columns are not read.
+    Positions are clipped to the text; texts may have any length.  Strings of
     special tokens count as ordinary text, as pre-tokens cannot see them.
     """
     Scratch(docs.sparkSession, "edits")  # sets the Arrow batch size
@@ -201,3 +204,9 @@ def count_edited(docs: DataFrame, edits, json_path: str, rank_path: str, id_col:
     if tree_col:
         cols.append(docs[tree_col].alias("tree"))
     return docs.select(*cols).mapInArrow(_apply(json_path, rank_path, bool(tree_col), digest), RESULT)
+
+
+def keep_trees(docs: DataFrame, json_path: str, rank_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, text and tree of every row, written in the shared folder: what a later call of ``count_edited`` starts from."""
+    built = count_edited(docs, F.lit(None), json_path, rank_path, id_col, text_col).select("doc_id", "text", "tree")
+    return Scratch(docs.sparkSession, "trees").save(built, "trees")

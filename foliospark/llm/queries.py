@@ -66,12 +66,13 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three edits of every document: a deletion at a third, a replacement at the middle, an addition at the end."""
-    docs = table(spark, sf_dir, "documents")
-    size = F.coalesce(F.length("text"), F.lit(0)).cast("long")
+    """Three edits of every document (a deletion at a third, a replacement at the middle, an addition at the end), counted from kept trees."""
+    files = tokenizer_file("byte_bpe_50k.json"), tokenizer_file("byte_bpe_50k.tiktoken")
+    kept = edit_counts.keep_trees(table(spark, sf_dir, "documents"), *files)
+    size = F.length("text").cast("long")
     edit = lambda start, delete, insert: F.struct(start.cast("long").alias("start"), F.lit(delete).cast("long").alias("delete"), F.lit(insert).alias("insert"))
     edits = F.array(edit(F.floor(size / 3), 12, ""), edit(F.floor(size / 2), 5, " re-written in 2024"), edit(size + 1000, 0, "\nThe end."))
-    counted = edit_counts.count_edited(docs, edits, tokenizer_file("byte_bpe_50k.json"), tokenizer_file("byte_bpe_50k.tiktoken"), digest=True)
+    counted = edit_counts.count_edited(kept, edits, *files, tree_col="tree", digest=True)
     return counted.select("doc_id", "tokens_before", "tokens_after", "n_edits", "reencoded_chars", "n_chars")
 
 
