@@ -1,20 +1,27 @@
 """Log-bilinear language model trained with noise-contrastive estimation.
 
 Words are lower-cased (A-Z) runs of ``[^\\x20\\x09-\\x0D]``; one end token
-closes each text.  Word counts cover the whole training side.  The
-``TOP`` most frequent words are their own output class; every other word
-belongs to one of a few shape classes, and
-
-    p(w | h) = p(class(w) | h) * (c(w) + 1) / (N_class + V_class + 1)
-
-for words in shape classes, which sums to one over all known words and one
-unknown word for each shape class.  p(class | h) is log-bilinear: the two
-words before predict a vector ``r1 C1 + r2 C2``, scored against every class
-vector plus a bias.  Training is NCE in numpy: a warm start on a bounded
-sample, then one pass in which every partition of the training side trains a
-copy on all its tokens and the copies are averaged by tokens.  For scoring,
-two class-by-class matrix products give all bilinear terms, and batched
-products of all contexts give the exact normalisers.
+closes each text.  Word counts cover the whole training side.  Output is
+factored over classes: the ``TOP`` most frequent words are their own class, and
+the other frequent words, as many as have a share ``SHARE`` of the tokens, form
+families of up to ``FAMILY`` words of one shape and like frequency, so the number
+of classes grows with the vocabulary.  With q the vector that the two words before
+predict (``r1 C1 + r2 C2`` over class vectors),
+
+    p(w | h) = p(class(w) | h) * p(w | class(w), h)
+
+where both factors are log-bilinear in q: a softmax over all classes and one over
+the members of the family.  The rarer words of a shape are one member of its last
+family, shared out among them and one unknown word by ``(c + 1) / (N + V + 1)``, so
+all known words and an unknown one for each shape have probabilities that sum to
+one.  Training is NCE in numpy on both levels: a warm start on a bounded sample of
+spans, then one pass over all tokens.  For it documents become word codes, which are
+dealt by hash to one copy of the model for each ``COPY_TOKENS`` tokens; a copy takes
+its documents in hash order, and the copies are averaged by tokens, in a tree of
+merges.  So the model does not depend on partitions (but for the rounding of sums).  For
+scoring, two class-by-class matrix products give all bilinear terms between
+classes, batched products of all contexts give the exact normalisers, and batched
+products over each family's members give its normaliser for each token.
 
 Counts beyond the broadcast ones (at most ``1 / SHARE`` words can hold a share
 ``SHARE`` of the tokens) are joined by word hash.
@@ -40,7 +47,16 @@ DIM = 24
 NOISE = 24
 BATCH = 2048
 WARM_DOCS = 400
-WARM_TOKENS = 300_000
+#: Bytes of the span, at a place chosen by hash, that a document of the warm sample gives.
+WARM_SPAN = 4096
+FAMILY = 256
+FAMILY_NOISE = 16
+FAMILY_BATCH = 65_536
+FAMILY_RATE = 0.1
+FAMILY_FLOOR = 1e-4
+MERGE_WIDTH = 16
+#: Tokens that one copy of the model trains on, about.
+COPY_TOKENS = 2_000_000
 FLUSH = 400_000
 SHAPES = 4 * 2 * 3 + 1
 
@@ -102,9 +118,12 @@ def _sums(index: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 class LogBilinear:
-    """Class vectors ``r``, two context matrices ``c1`` (nearer word) and ``c2``, bias ``b``."""
+    """Class vectors ``r``, two context matrices ``c1`` (nearer word) and ``c2``, bias ``b``; member vectors ``m`` and bias ``mb``.
+
+    ``families`` are (class, first member, end) with the members' counts; members start at their unigram share.
+    """
 
-    def __init__(self, unigram: np.ndarray, dim: int = DIM, seed: int = 11):
+    def __init__(self, unigram: np.ndarray, families: list[tuple[int, int, int]] = [], member_counts: np.ndarray | None = None, dim: int = DIM, seed: int = 11):  # noqa: B006
         rng = np.random.default_rng(seed)
         n = len(unigram)
         self.noise = (unigram / unigram.sum()).astype(np.float64)
@@ -117,14 +136,56 @@ class LogBilinear:
         self.squares = [np.full_like(p, 0.01) for p in self.params]
         self.lnkq = np.log(NOISE * self.noise).astype(np.float32)
         self.cut = np.cumsum(self.noise)
+        self.families = families
+        share = np.zeros(0) if member_counts is None else member_counts + 1.0
+        for _, s, e in families:
+            share[s:e] /= share[s:e].sum()
+        self.share, self.starts = share, np.array([s for _, s, _ in families], dtype=np.int64)
+        self.params += [np.zeros((len(share), dim), dtype=np.float32), np.log(share).astype(np.float32)]
+        self.member_squares = np.full((len(share), 2), FAMILY_FLOOR, dtype=np.float32)
+        self.member_lnkq = np.log(FAMILY_NOISE * share).astype(np.float32)
 
     def train(self, stream: np.ndarray, rng: np.random.Generator, rate: float = 0.05) -> None:
-        """One NCE pass over (w2, w1, w) rows in mini-batches that share their noise words."""
+        """One NCE pass over (w2, w1, w) class rows in mini-batches that share their noise words; a fourth column names members (-1: none)."""
         for at in range(0, len(stream), BATCH):
             self._step(stream[at : at + BATCH], rng, rate)
+        if stream.shape[1] > 3:
+            for at in range(0, len(stream), FAMILY_BATCH):
+                self._family_step(stream[at : at + FAMILY_BATCH], rng, FAMILY_RATE)
+
+    def context(self, far: np.ndarray, near: np.ndarray) -> np.ndarray:
+        r, c1, c2 = self.params[:3]
+        return (r @ c1)[near] + (r @ c2)[far]
+
+    def _family_step(self, rows: np.ndarray, rng: np.random.Generator, rate: float) -> None:
+        """NCE inside families: the noise of a word are members of its own family."""
+        rows = rows[rows[:, 3] >= 0]
+        rows = rows[np.argsort(rows[:, 3], kind="stable")]
+        member = rows[:, 3]
+        m, mb = self.params[4:]
+        q = self.context(rows[:, 0], rows[:, 1])
+        cuts = np.searchsorted(member, np.append(self.starts, len(m)))
+        for f in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
+            a, b = cuts[f], cuts[f + 1]
+            _, s, e = self.families[f]
+            w, x = member[a:b], q[a:b]
+            noise = s + np.searchsorted(np.cumsum(self.share[s:e]), rng.random(FAMILY_NOISE)).clip(0, e - s - 1)
+            up = 1 / (1 + np.exp(np.clip(np.einsum("ij,ij->i", x, m[w]) + mb[w] - self.member_lnkq[w], -30, 30)))
+            down = -1 / (1 + np.exp(-np.clip(x @ m[noise].T + (mb[noise] - self.member_lnkq[noise]), -30, 30)))
+            first = np.flatnonzero(np.append(True, w[1:] != w[:-1]))
+            g, gb = np.zeros((e - s, x.shape[1]), dtype=np.float32), np.zeros(e - s, dtype=np.float32)
+            g[w[first] - s] = np.add.reduceat(up[:, None] * x, first, axis=0)
+            gb[w[first] - s] = np.add.reduceat(up, first)
+            np.add.at(g, noise - s, down.T @ x)
+            np.add.at(gb, noise - s, down.sum(0))
+            g, gb = g / np.float32(b - a), gb / np.float32(b - a)
+            self.member_squares[s:e, 0] += (g * g).mean(1)
+            self.member_squares[s:e, 1] += gb * gb
+            m[s:e] += np.float32(rate) * g / np.sqrt(self.member_squares[s:e, :1])
+            mb[s:e] += np.float32(rate) * gb / np.sqrt(self.member_squares[s:e, 1])
 
     def _step(self, rows: np.ndarray, rng: np.random.Generator, rate: float) -> None:
-        r, c1, c2, b = self.params
+        r, c1, c2, b = self.params[:4]
         far, near, word = rows[:, 0], rows[:, 1], rows[:, 2]
         noise = np.searchsorted(self.cut, rng.random(NOISE)).clip(0, len(b) - 1)
         rw, rz = r[word], r[noise]
@@ -150,7 +211,7 @@ class LogBilinear:
 
     def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(near, far, lnz): ln p(w | far, near) = near[near, w] + far[far, w] - lnz[far, near]; the bias is inside near."""
-        r, c1, c2, b = self.params
+        r, c1, c2, b = self.params[:4]
         near = (r @ c1) @ r.T + b
         far = (r @ c2) @ r.T
         lnz = np.empty_like(far)
@@ -161,49 +222,113 @@ class LogBilinear:
         return near, far, lnz
 
 
-def context_rows(classes: np.ndarray, end: int) -> np.ndarray:
+    def members_ln(self, far: np.ndarray, near: np.ndarray, member: np.ndarray) -> np.ndarray:
+        """ln p(member | its family, context) of each row: batched products over all members of a family."""
+        m, mb = self.params[4:]
+        r1, r2 = self.params[0] @ self.params[1], self.params[0] @ self.params[2]
+        out = np.empty(len(member), dtype=np.float32)
+        order = np.argsort(member, kind="stable")
+        cuts = np.searchsorted(member[order], np.append(self.starts, len(m)))
+        for f in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
+            _, s, e = self.families[f]
+            for at in range(cuts[f], cuts[f + 1], 8192):
+                rows = order[at : min(at + 8192, cuts[f + 1])]
+                x = (r1[near[rows]] + r2[far[rows]]) @ m[s:e].T + mb[s:e]
+                top = x.max(axis=1)
+                out[rows] = x[np.arange(len(rows)), member[rows] - s] - top - np.log(np.exp(x - top[:, None]).sum(axis=1))
+        return out
+
+
+def context_rows(classes: np.ndarray, end: int, members: np.ndarray | None = None) -> np.ndarray:
     padded = np.concatenate([[end, end], classes])
-    return np.stack([padded[:-2], padded[1:-1], padded[2:]], axis=1)
+    return np.stack([padded[:-2], padded[1:-1], padded[2:], *([] if members is None else [members])], axis=1)
 
 
 class Vocabulary:
-    """The broadcast part: frequent words with counts and classes."""
+    """The broadcast part: frequent words with counts, classes and members of families."""
 
-    def __init__(self, rows, top: int):
+    def __init__(self, rows, top: int, tail: np.ndarray | None = None):
+        """``tail`` holds, for each shape, the tokens of words that are not in ``rows``."""
         rows = sorted(rows, key=lambda x: (-x.c, x.word)) or [Row(word=END, shape=shape(END), c=0)]
         self.words = [bytes(x.word) for x in rows]
         self.counts = np.array([x.c for x in rows], dtype=np.int64)
         self.top = min(top, len(rows))
-        self.classes = np.array([i if i < self.top else self.top + x["shape"] for i, x in enumerate(rows)], dtype=np.int64)
+        self.classes, self.members = np.arange(len(rows)), np.full(len(rows), -1)
+        self.tail_class, self.tail_member = np.zeros(SHAPES, dtype=np.int64), np.zeros(SHAPES, dtype=np.int64)
+        self.families: list[tuple[int, int, int]] = []
+        counts: list[float] = []
+        by_shape: list[list[int]] = [[] for _ in range(SHAPES)]
+        for i in range(self.top, len(rows)):
+            by_shape[rows[i]["shape"]].append(i)
+        for k, own in enumerate(by_shape):
+            # Words of like frequency share a family; the last one has the tail, too.
+            for at in range(0, max(1, len(own)), FAMILY):
+                part, start, name = own[at : at + FAMILY], len(counts), self.top + len(self.families)
+                for i in part:
+                    self.classes[i], self.members[i] = name, len(counts)
+                    counts.append(float(self.counts[i]))
+                if at + FAMILY >= len(own):
+                    self.tail_class[k], self.tail_member[k] = name, len(counts)
+                    counts.append(0.0 if tail is None else float(tail[k]))
+                self.families.append((name, start, len(counts)))
+        self.member_counts = np.array(counts)
         self.end = self.words.index(END) if END in self.words else 0
 
-    def encode(self, text: bytes, codes: Codes) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-        toks = tokens(text)
-        got = np.fromiter(map(codes.__getitem__, toks), dtype=np.int64, count=len(toks))
-        return toks, got, np.where(got < 0, self.top - 1 - got, self.classes[np.maximum(got, 0)])
+    def class_counts(self) -> np.ndarray:
+        return np.concatenate([self.counts[: self.top], [self.member_counts[s:e].sum() for _, s, e in self.families]])
+
+    def outputs(self, got: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(classes, members or -1) of places among the frequent words or -(1 + shape)."""
+        rare, known = -1 - np.minimum(got, -1), np.maximum(got, 0)
+        return np.where(got < 0, self.tail_class[rare], self.classes[known]), np.where(got < 0, self.tail_member[rare], self.members[known])
+
+
+def places(toks: list[bytes], codes: Codes) -> np.ndarray:
+    return np.fromiter(map(codes.__getitem__, toks), dtype=np.int64, count=len(toks))
+
+
+def _codes(vocabulary: Vocabulary):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes = Codes(vocabulary.words)
+        for batch in batches:
+            found = [places(tokens(text), codes).astype("<i4").tobytes() for text in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["id", "codes"])
+
+    return run
 
 
 def _train(model: LogBilinear, vocabulary: Vocabulary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows (copy, codes) with each copy's rows together."""
         import copy
 
-        own, rng, seen, held, size = copy.deepcopy(model), np.random.default_rng(1), 0, [], 0
-        codes = Codes(vocabulary.words)
+        name, own, rng, seen, held, size = None, None, None, 0, [], 0
+
+        def learn() -> None:
+            nonlocal seen, held, size
+            if held:
+                rows = np.concatenate(held)
+                own.train(rows[rng.permutation(len(rows))], rng, 0.1)
+                seen, held, size = seen + size, [], 0
+
+        def finished() -> pa.RecordBatch:
+            learn()
+            flat = np.concatenate([p.ravel() for p in own.params]).astype(np.float64) * seen
+            return pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([flat.astype("<f8").tobytes()], pa.binary())], names=["seen", "flat"])
+
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                held.append(context_rows(vocabulary.encode(text, codes)[2], vocabulary.end))
-                size += len(held[-1])
+            for key, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if key != name:
+                    if own is not None:
+                        yield finished()
+                    name, own, rng, seen, held, size = key, copy.deepcopy(model), np.random.default_rng(1), 0, [], 0
+                classes, members = vocabulary.outputs(np.frombuffer(blob, dtype="<i4"))
+                held.append(context_rows(classes, vocabulary.end, members))
+                size += len(classes)
                 if size >= 32 * BATCH:
-                    rows = np.concatenate(held)
-                    own.train(rows[rng.permutation(len(rows))], rng, 0.1)
-                    seen, held, size = seen + size, [], 0
-        if held:
-            rows = np.concatenate(held)
-            own.train(rows[rng.permutation(len(rows))], rng, 0.1)
-            seen += size
-        if seen:
-            flat = np.concatenate([p.ravel() for p in own.params]).astype(np.float64) * seen
-            yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([flat.astype("<f8").tobytes()], pa.binary())], names=["seen", "flat"])
+                    learn()
+        if own is not None:
+            yield finished()
 
     return run
 
@@ -219,20 +344,32 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(train: DataFrame, vocabulary: Vocabulary, unigram: np.ndarray, scratch: Scratch) -> LogBilinear:
-    """Warm start on about WARM_DOCS documents picked by hash and at most WARM_TOKENS tokens, then one averaged pass over all of ``train`` (id, text)."""
-    model = LogBilinear(unigram)
+    """Warm start on a span of at most WARM_SPAN bytes of about WARM_DOCS documents picked by hash, then one averaged pass over all of ``train`` (id, text)."""
+    model = LogBilinear(unigram, vocabulary.families, vocabulary.member_counts)
     # One end token closes each training document; a hash below this share picks about WARM_DOCS of them.
     share = WARM_DOCS / max(1, int(vocabulary.counts[vocabulary.end]))
-    sample = train.filter((F.length("text") < WARM_TOKENS) & (F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1 << 30)) < share * (1 << 30))).select("text").collect()
+    place = F.pmod(F.xxhash64("id", F.lit(6)), F.greatest(F.length("text") - WARM_SPAN, F.lit(0)) + 1).cast("int") + 1
+    span = F.substring("text", place, F.lit(WARM_SPAN)).alias("text")
+    sample = train.filter(F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1 << 30)) < share * (1 << 30)).select(F.xxhash64("id", "text").alias("turn"), span).orderBy("turn").collect()
     codes, rng = Codes(vocabulary.words), np.random.default_rng(0)
-    rows = [context_rows(vocabulary.encode(bytes(x.text), codes)[2], vocabulary.end) for x in sample]
+    rows = []
+    for x in sample:
+        classes, members = vocabulary.outputs(places(tokens(bytes(x.text)), codes))
+        rows.append(context_rows(classes, vocabulary.end, members))
     if rows:
-        rows = np.concatenate(rows)[:WARM_TOKENS]
+        rows = np.concatenate(rows)
         for _ in range(6):
             model.train(rows[rng.permutation(len(rows))], rng, 0.3)
-    parts = scratch.save(train.select("text").mapInArrow(_train(model, vocabulary), "seen long, flat binary"), "parts")
-    # Copies are added up in a few tasks, so the driver gets a fixed number of sums.
-    merged = parts.coalesce(8).mapInArrow(_merge, "seen long, flat binary").collect()
+    copies = max(1, -(-int(unigram.sum()) // COPY_TOKENS))
+    coded = train.select("id", "text").mapInArrow(_codes(vocabulary), "id string, codes binary").withColumn("turn", F.xxhash64("id", "codes"))
+    dealt = coded.withColumn("copy", F.pmod("turn", F.lit(copies))).repartition(copies, "copy").sortWithinPartitions("copy", "turn").select("copy", "codes")
+    parts = scratch.save(dealt.mapInArrow(_train(model, vocabulary), "seen long, flat binary"), "parts")
+    # Copies are added up in a tree, so each task adds a fixed number and the driver gets one sum.
+    width, level = parts.count(), 0
+    while width > 1:
+        width, level = -(-width // MERGE_WIDTH), level + 1
+        parts = scratch.save(parts.repartition(width).mapInArrow(_merge, "seen long, flat binary"), f"merged-{level}")
+    merged = parts.collect()
     if not merged:
         return model
     mean = sum(np.frombuffer(bytes(x.flat), dtype="<f8") for x in merged) / sum(x.seen for x in merged)
@@ -243,7 +380,7 @@ def fit(train: DataFrame, vocabulary: Vocabulary, unigram: np.ndarray, scratch:
     return model
 
 
-def _score(vocabulary: Vocabulary, tables, class_log: np.ndarray):
+def _score(vocabulary: Vocabulary, model: LogBilinear, tables, tail_log: np.ndarray):
     near_t, far_t, lnz = tables
     log_c1 = np.log10(vocabulary.counts + 1.0)
 
@@ -252,22 +389,40 @@ def _score(vocabulary: Vocabulary, tables, class_log: np.ndarray):
         hashed = xxhash.xxh64_intdigest
         for batch in batches:
             n_tokens, n_known, lm, base, hashes, counts = [], [], [], [], [], []
+            waiting, size = [], 0
+
+            def members() -> None:
+                """Adds what the members of families give to the documents that wait for it."""
+                if waiting:
+                    far, near, member, doc = (np.concatenate(x) for x in zip(*waiting))
+                    sums = np.bincount(doc, weights=model.members_ln(far, near, member), minlength=len(lm))
+                    for i in np.flatnonzero(sums).tolist():
+                        lm[i] += float(sums[i]) / np.log(10)
+                    waiting.clear()
+
             for text in batch.column(2).to_pylist():
-                toks, got, classes = vocabulary.encode(text, codes)
+                toks = tokens(text)
+                got = places(toks, codes)
+                classes, member = vocabulary.outputs(got)
                 rows = context_rows(classes, vocabulary.end)
                 far, near = rows[:, 0], rows[:, 1]
                 ln = near_t[near, classes] + far_t[far, classes] - lnz[far, near]
                 known = got >= 0
                 n_known.append(int((vocabulary.counts[got[known]] > 0).sum()))
-                logs = float(log_c1[got[known]].sum())
-                # What class_log and the tail's counts add stands for the words of shape classes.
-                inside = float(log_c1[got[known & (classes >= vocabulary.top)]].sum())
-                lm.append(float(ln.sum(dtype=np.float64)) / np.log(10) + inside - float(class_log[classes].sum()))
-                base.append(logs)
+                base.append(float(log_c1[got[known]].sum()))
+                # The counts of rarer words are added by a join.
+                lm.append(float(ln.sum(dtype=np.float64)) / np.log(10) - float(tail_log[-1 - got[~known]].sum()))
+                inside = np.flatnonzero(member >= 0)
+                waiting.append((far[inside].astype(np.int32), near[inside].astype(np.int32), member[inside].astype(np.int32), np.full(len(inside), len(lm) - 1, dtype=np.int32)))
+                size += len(inside)
+                if size > FLUSH:
+                    members()
+                    size = 0
                 tail = Counter([toks[i] for i in np.flatnonzero(~known).tolist()])
                 n_tokens.append(len(toks))
                 hashes.append(np.fromiter((hashed(w, 42) for w in tail), dtype=np.uint64, count=len(tail)).view(np.int64))
                 counts.append(list(tail.values()))
+            members()
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(lm, pa.float64()), pa.array(base, pa.float64()), pa.array(hashes, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int32()))],
                 names=["doc_id", "held_out", "n_tokens", "n_known", "lm", "base", "h", "n"],
@@ -281,7 +436,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
 
     Rows whose crc32(id as text) mod ``folds`` is ``held_fold`` are held out;
     a null id counts as the empty text.  Null text counts as empty (its only
-    token is the end).  Without training rows every word is unknown.
+    token is the end).  Without training rows every word is unknown.  Repeated
+    rows train and are scored once each; an empty table gives an empty result;
+    extra columns are not read; texts of any length are taken whole.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "lm")
@@ -296,20 +453,19 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     n_all, v_all = sum(x.n for x in by_shape), sum(x.v for x in by_shape)
     floor = max(2, int(np.ceil(n_all * SHARE)))
     frequent = (F.col("c") >= floor) | (F.col("word") == F.lit(END))
-    vocabulary = Vocabulary(counted.filter(frequent).select("word", "shape", "c").collect(), TOP)
-
-    n_shape, v_shape = np.zeros(SHAPES), np.zeros(SHAPES)
+    rows = counted.filter(frequent).select("word", "shape", "c").collect()
+    n_tail, v_tail = np.zeros(SHAPES), np.zeros(SHAPES)
     for x in by_shape:
-        n_shape[x["shape"]], v_shape[x["shape"]] = x.n, x.v
-    for w, c in zip(vocabulary.words[: vocabulary.top], vocabulary.counts):
-        n_shape[shape(w)] -= c
-        v_shape[shape(w)] -= c > 0
+        n_tail[x["shape"]], v_tail[x["shape"]] = x.n, x.v
+    for x in rows:
+        n_tail[x["shape"]] -= x.c
+        v_tail[x["shape"]] -= 1
+    vocabulary = Vocabulary(rows, TOP, n_tail)
     # A class that the training side never shows still gets one pseudo-count.
-    unigram = np.concatenate([vocabulary.counts[: vocabulary.top], n_shape]) + 1.0
-    class_log = np.concatenate([np.zeros(vocabulary.top), np.log10(n_shape + v_shape + 1)])
-    model = fit(train.select("id", "text"), vocabulary, unigram, scratch)
+    model = fit(train.select("id", "text"), vocabulary, vocabulary.class_counts() + 1.0, scratch)
+    tail_log = np.log10(n_tail + v_tail + 1)
 
-    scored = scratch.save(picked.select("doc_id", "held_out", "text").mapInArrow(_score(vocabulary, model.tables(), class_log), "doc_id long, held_out boolean, n_tokens long, n_known long, lm double, base double, h array<long>, n array<int>").withColumn("uid", F.monotonically_increasing_id()), "scored")
+    scored = scratch.save(picked.select("doc_id", "held_out", "text").mapInArrow(_score(vocabulary, model, model.tables(), tail_log), "doc_id long, held_out boolean, n_tokens long, n_known long, lm double, base double, h array<long>, n array<int>").withColumn("uid", F.monotonically_increasing_id()), "scored")
     tail = scored.select("uid", F.explode(F.arrays_zip("h", "n")).alias("t")).select("uid", "t.h", "t.n")
     counts = counted.filter(~frequent).select("h", "c")
     joined = tail.join(counts, "h", "left").groupBy("uid").agg(

@@ -4,6 +4,7 @@ import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -73,19 +74,104 @@ def test_lm_without_training_rows(spark):
     assert lm.score(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
-def test_lm_trains_on_long_texts_alone(docs, monkeypatch):
-    """Texts too long for the warm start still train the model."""
+def fitted(docs, monkeypatch):
+    """(scored rows, what ``fit`` was given, its model)."""
     seen, fit = {}, lm.fit
 
     def kept(train, vocabulary, unigram, scratch):
-        seen["start"], seen["model"] = lm.LogBilinear(unigram), fit(train, vocabulary, unigram, scratch)
+        seen["vocabulary"], seen["unigram"], seen["model"] = vocabulary, unigram, fit(train, vocabulary, unigram, scratch)
         return seen["model"]
 
-    monkeypatch.setattr(lm, "WARM_TOKENS", 0)
     monkeypatch.setattr(lm, "fit", kept)
-    got = lm.score(docs).collect()
-    assert any((a != b).any() for a, b in zip(seen["start"].params, seen["model"].params))
-    assert got and all(math.isfinite(r.score) and r.score <= 0 for r in got)
+    return lm.score(docs).collect(), seen
+
+
+def test_lm_trains_on_long_texts_alone(spark, monkeypatch):
+    """Very long texts give spans to the warm start and train the model."""
+    rng = random.Random(3)
+    long = spark.createDataFrame([(i, sentences(rng, 90_000)) for i in range(5)], "doc_id long, text string")
+    warm, train = [], lm.LogBilinear.train
+    monkeypatch.setattr(lm.LogBilinear, "train", lambda self, rows, *a: (warm.append(len(rows)), train(self, rows, *a))[1])
+    got, seen = fitted(long, monkeypatch)
+    start = lm.LogBilinear(seen["unigram"])
+    assert len(warm) >= 6 and min(warm[:6]) > 500
+    assert any((a != b).any() for a, b in zip(start.params, seen["model"].params))
+    assert sum(r.score for r in got) > 0.5 * sum(r.base_score for r in got)  # context pays
+
+
+def brute_lm(vocabulary, model, counts, text):
+    """log10 probability of a text, token by token with every normaliser written out."""
+    r, c1, c2, b, m, mb = (p.astype(np.float64) for p in model.params)
+    place = {w: i for i, w in enumerate(vocabulary.words)}
+    n_tail, v_tail = Counter(), Counter()
+    for w, c in counts.items():
+        if w not in place:
+            n_tail[lm.shape(w)] += c
+            v_tail[lm.shape(w)] += 1
+    far = near = vocabulary.end
+    total = 0.0
+    for w in lm.tokens(text):
+        i, k = place.get(w), lm.shape(w)
+        c, member = (vocabulary.tail_class[k], vocabulary.tail_member[k]) if i is None else (vocabulary.classes[i], vocabulary.members[i])
+        q = r[near] @ c1 + r[far] @ c2
+        s = r @ q + b
+        total += s[c] - np.log(np.exp(s - s.max()).sum()) - s.max()
+        if member >= 0:
+            ((_, first, end),) = [f for f in vocabulary.families if f[0] == c]
+            s = m[first:end] @ q + mb[first:end]
+            total += s[member - first] - np.log(np.exp(s).sum())
+        if i is None:
+            total += math.log((counts.get(w, 0) + 1) / (n_tail[k] + v_tail[k] + 1))
+        far, near = near, c
+    return total / math.log(10)
+
+
+@pytest.mark.parametrize("top", [900, 4])
+def test_lm_score_matches_token_by_token_sums(docs, monkeypatch, top):
+    """Few top words and small families, so that families and rare words carry the text."""
+    monkeypatch.setattr(lm, "TOP", top)
+    monkeypatch.setattr(lm, "FAMILY", 3)
+    got, seen = fitted(docs, monkeypatch)
+    counts = Counter(w for d, t, *_ in table_rows() if zlib.crc32(b"" if d is None else str(d).encode()) % 7 != 2 for w in lm.tokens((t or "").encode()))
+    assert top == 900 or len(seen["vocabulary"].families) > lm.SHAPES
+    want = sorted((str(d), brute_lm(seen["vocabulary"], seen["model"], counts, (t or "").encode())) for d, t, *_ in table_rows() if len(t or "") < 5000)
+    have = sorted((str(r.doc_id), r.score) for r in got if r.n_tokens < 5000)
+    assert [a for a, _ in want] == [a for a, _ in have]
+    assert all(abs(x - y) < 1e-3 * max(1, abs(x)) for (_, x), (_, y) in zip(want, have))
+
+
+def test_lm_probabilities_sum_to_one():
+    """Over all known words and one unknown word of each shape, in any context."""
+    rng = random.Random(5)
+    words = sorted({("".join(rng.choice("abcdé1.,") for _ in range(rng.randrange(1, 11)))).encode() for _ in range(300)} - {b""})
+    counts = {w: rng.randrange(1, 50) for w in words} | {lm.END: 9}
+    rows = [lm.Row(word=w, shape=lm.shape(w), c=c) for w, c in counts.items() if c > 5]
+    tail = np.zeros(lm.SHAPES)
+    for w, c in counts.items():
+        tail[lm.shape(w)] += c if c <= 5 else 0
+    vocabulary = lm.Vocabulary(rows, 20, tail)
+    model = lm.LogBilinear(vocabulary.class_counts() + 1.0, vocabulary.families, vocabulary.member_counts)
+    npr = np.random.default_rng(0)
+    classes = npr.integers(0, len(vocabulary.class_counts()), (5000, 3))
+    members = np.array([npr.integers(*vocabulary.families[c - vocabulary.top][1:]) if c >= vocabulary.top else -1 for c in classes[:, 2]])
+    model.train(np.column_stack([classes, members]), npr)
+    near, far, lnz = model.tables()
+    for a, b in ((0, 3), (25, 1), (7, 30)):
+        total = sum(float(np.exp(near[b, c] + far[a, c] - lnz[a, b])) for c in range(vocabulary.top))
+        for c, s, e in vocabulary.families:
+            inside = np.exp(model.members_ln(np.full(e - s, a), np.full(e - s, b), np.arange(s, e))).sum()
+            assert abs(inside - 1) < 1e-3
+            total += float(np.exp(near[b, c] + far[a, c] - lnz[a, b])) * inside
+        assert abs(total - 1) < 1e-3
+
+
+@pytest.mark.parametrize("copy_tokens", [2_000_000, 5_000])
+def test_lm_does_not_depend_on_partitions(docs, monkeypatch, copy_tokens):
+    """One copy of the model or several: the same scores however the rows are dealt."""
+    monkeypatch.setattr(lm, "COPY_TOKENS", copy_tokens)
+    runs = [sorted((str(r.doc_id), r.n_tokens, r.score, r.base_score) for r in lm.score(docs.repartition(n)).collect()) for n in (2, 9)]
+    for x, y in zip(*runs):
+        assert x[:2] == y[:2] and abs(x[2] - y[2]) <= 1e-4 * abs(x[2]) + 1e-6 and abs(x[3] - y[3]) < 1e-6 * abs(x[3]) + 1e-9
 
 
 def kn_reference(train_texts, text):
@@ -156,6 +242,34 @@ def test_classifier_keeps_clean_and_drops_noise(spark):
     assert kneser_ney.classify(docs.limit(0), trusted).count() == 0
 
 
+def test_classifier_bounds_its_sample_and_handles_odd_rows(spark, docs):
+    """Whole documents in hash order up to the bound train; clashing columns, repeats and long texts pass."""
+    sample = spark.createDataFrame([(i, "x" * 10) for i in range(50)] + [(50, "y" * 500)], "doc_id long, text string")
+    chosen = {r.doc_id for r in kneser_ney.bounded(sample, 300).collect()}
+    assert 0 < len(chosen) <= 30 and chosen == {r.doc_id for r in kneser_ney.bounded(sample.repartition(7), 300).collect()}
+    assert kneser_ney.bounded(sample, 10**9).count() == 51 and kneser_ney.bounded(sample, 0).count() == 0
+    trusted = docs.filter("doc_id >= 100").select("doc_id")
+    got = kneser_ney.classify(docs, trusted).collect()
+    assert sorted(str(r.doc_id) for r in got) == sorted(str(r[0]) for r in table_rows())
+    repeated = [(r.n_tokens, r.log_perplexity, r.keep) for r in got if r.doc_id == 3]
+    assert len(repeated) == 3 and len(set(repeated)) == 1
+    assert max(r.n_tokens for r in got) == 30_001
+
+
+def test_threshold_is_the_quantile_of_documents_outside_the_sample(spark):
+    """Against sorted perplexities; slack 1 is the quantile itself."""
+    rng = random.Random(12)
+    docs = spark.createDataFrame([(i, sentences(rng, rng.randrange(20, 60)), "en" if i < 300 else "de") for i in range(500)], "doc_id long, text string, lang string")
+    got = kneser_ney.classify(docs, docs.select("doc_id"), quantile=0.9, slack=1.0, chars=2000).collect()
+    for lang in ("en", "de"):
+        own = [r for r in got if r.lang == lang]
+        (cut,) = {r.threshold for r in own}
+        # The few training documents lie in the same range, so the share below the cut is the quantile.
+        assert abs(sum(r.log_perplexity <= cut for r in own) / len(own) - 0.9) < 0.05
+        assert cut in {r.log_perplexity for r in own}
+        assert all(r.keep == (r.log_perplexity <= cut) for r in own)
+
+
 @pytest.fixture(scope="module")
 def codec():
     return sentencepiece_codec.Codec(tokenizer_file("piece_bpe_32k.model"))
@@ -285,3 +399,23 @@ def test_edit_frame(docs):
     assert sorted((str(r.doc_id), r.tokens_before, r.tokens_after, r.n_chars) for r in first.collect()) == sorted(want)
     again = edit_counts.count_edited(first, F.lit(None), JSON, RANKS, tree_col="tree")
     assert sorted((str(r.doc_id), r.tokens_before) for r in again.collect()) == sorted((a, n) for a, _, n, _ in want)
+
+
+def test_kept_trees_are_read_again(docs, monkeypatch):
+    """Edits of kept documents re-encode what they touch only, and count like full encoding."""
+    kept = edit_counts.keep_trees(docs, JSON, RANKS)
+    # Clashing columns of the input are gone, the kept tree is what its text gives.
+    assert kept.columns == ["doc_id", "text", "tree"]
+    count = edit_counts.counter(JSON, RANKS)
+    assert all(bytes(r.tree) == edit_counts.SegmentTree(r.text, count).to_bytes() for r in kept.collect())
+    edit = F.array(F.struct((F.length("text") / 2).cast("long").alias("start"), F.lit(1).cast("long").alias("delete"), F.lit(" new").alias("insert")))
+    got = edit_counts.count_edited(kept, edit, JSON, RANKS, tree_col="tree", digest=True).collect()
+    want = []
+    for a, b, *_ in table_rows():
+        b = b or ""
+        at = len(b) // 2
+        after = b[:at] + " new" + b[at + 1 :]
+        want.append((str(a), len(count.encode(b)), len(count.encode(after)), len(after)))
+    assert sorted((str(r.doc_id), r.tokens_before, r.tokens_after, r.n_chars) for r in got) == sorted(want)
+    assert all(r.reencoded_chars < 100 for r in got if r.n_chars > 100_000)
+    assert edit_counts.keep_trees(docs.limit(0), JSON, RANKS).count() == 0
