@@ -2,14 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import unicodedata
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: White space that Python's str.isspace knows, as a Java character class.
 SPACE = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]"
-#: Latin letters with marks and the letters under them.
-MARKED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
-PLAIN = "aaaaaaceeeeiiiinooooouuuuyy"
+#: The combining marks that a search drops.
+MARKS = "".join(map(chr, range(0x300, 0x370)))
+
+
+def _folds() -> dict[str, str]:
+    """Lower-case Latin letters with any marks -> the letter under them, by Unicode decomposition."""
+    out = {}
+    for c in map(chr, range(0xC0, 0x1F00)):
+        parts = unicodedata.normalize("NFD", c)
+        if c == c.lower() and "a" <= parts[0] <= "z" and len(parts) > 1 and all(map(unicodedata.combining, parts[1:])):
+            out[c] = parts[0]
+    return out
+
+
+FOLDS = _folds()
+#: Arguments of TRANSLATE: what has no counterpart in PLAIN is deleted.
+MARKED, PLAIN = "".join(FOLDS) + MARKS, "".join(FOLDS.values())
+FOLD_TABLE = str.maketrans(FOLDS) | dict.fromkeys(map(ord, MARKS))
 
 
 def nonspace(text: Column) -> Column:
@@ -18,7 +35,7 @@ def nonspace(text: Column) -> Column:
 
 
 def normalised(text: Column) -> Column:
-    """`` tok tok `` in lower case without diacritics, one space around every token; a phrase is then a substring."""
+    """`` tok tok `` in lower case without diacritics (letters and marks decomposed or not), one space around every token; a phrase is then a substring."""
     folded = F.translate(F.lower(text), MARKED, PLAIN)
     return F.concat(F.lit(" "), F.trim(F.regexp_replace(folded, r"[^\p{L}\p{N}]+", " ")), F.lit(" "))
 
@@ -75,6 +92,12 @@ def with_flags(graded: Column, flags: Column) -> Column:
     return F.when((graded == "ok") & (F.size(flags) > 0), "suspect").otherwise(graded)
 
 
+def worst_first(df: DataFrame, grade_col: str, density: str, key: str, top: int) -> DataFrame:
+    """The ``top`` rows to look at, ok last and thin text first, with their place; ranked behind the limit."""
+    order = [F.col(grade_col) == "ok", F.col(density), F.col(key)]
+    return df.orderBy(*order).limit(top).withColumn("place", F.row_number().over(Window.orderBy(*order)))
+
+
 def first_heading(text: Column) -> Column:
     """First Markdown heading that still has text without its marks, cut to 500 characters."""
     found = F.transform(F.regexp_extract_all(text, F.lit(r"(?m)^#{1,6}[ \t]+(.*)$")), lambda h: F.trim(F.regexp_replace(h, "[*_`#<>]", "")))

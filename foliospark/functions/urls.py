@@ -9,7 +9,7 @@ from pyspark.sql.types import ArrayType, StringType
 
 #: Characters that no file name may hold, and device names of one operating system.
 RESERVED = r'[<>:"/\\|?*\x00-\x1f]'
-DEVICES = r"(?i)^(con|prn|aux|nul|com[1-9]|lpt[1-9])(\..*)?$"
+DEVICES = r"(?i)^(con|prn|aux|nul|com[1-9]|lpt[1-9])$"
 
 
 def host(url: Column) -> Column:
@@ -75,21 +75,42 @@ def repair(url: Column, parameter: str = "sfvrsn") -> Column:
     return F.regexp_replace(cut, rf"([?&]{parameter}=[A-Za-z0-9]+)[^&#]*", "$1")
 
 
+def file_suffix(name: Column) -> Column:
+    """The extension of a file name with its dot; empty for names that only begin with one."""
+    return F.regexp_extract(name, r"(?s)[^.].*(\.[^.]*)$", 1)
+
+
+def _stem(name: Column) -> Column:
+    return F.left(name, F.length(name) - F.length(file_suffix(name)))
+
+
 def safe_segment(value: Column) -> Column:
-    """A portable file name: reserved characters as _, no trailing dots or spaces, at most 90 characters."""
-    v = F.regexp_replace(F.regexp_replace(unquote(value), RESERVED, "_"), r"[. ]+$", "")
+    """A portable file name: reserved characters as _, no dots or spaces at the end, at most 90 characters (a long one keeps its suffix behind a hash)."""
+    decoded = unquote(value)
+    v = F.trim(F.regexp_replace(F.regexp_replace(decoded, RESERVED, "_"), r"[. ]+$", ""))
     v = F.when(v == "", "_").when(v.rlike(DEVICES), F.concat(F.lit("_"), v)).otherwise(v)
-    return F.when(F.length(v) > 90, F.concat(F.left(v, F.lit(70)), F.lit("-"), F.left(F.sha2(v, 256), F.lit(10)))).otherwise(v)
+    short = F.left(v, F.greatest(F.lit(1), 70 - F.length(file_suffix(v))))
+    return F.when(F.length(v) > 90, F.concat(short, F.lit("__"), F.left(F.sha2(decoded, 256), F.lit(10)), file_suffix(v))).otherwise(v)
+
 
+def file_path(url: Column, root_length: int = 20) -> Column:
+    """host/segments below a folder whose path has ``root_length`` characters.
 
-def file_path(url: Column) -> Column:
-    """host/segments, with a hash of the query if there is one and of the URL if the path is too long."""
+    The last name gets a hash of the query, if there is one, and one of the canonical
+    address, so names that differ in case only stay apart; a path that is too long is
+    replaced by a hash of the address and the file's name, cut.
+    """
     parts = F.filter(F.split(path(url), "/"), lambda s: s != "")
-    names = F.when(F.size(parts) == 0, F.array(F.lit("index"))).otherwise(F.transform(parts, safe_segment))
-    base = F.concat_ws("/", host(url), F.array_join(names, "/"))
-    q = query(url)
-    full = F.when(q != "", F.concat(base, F.lit("__q-"), F.left(F.sha2(q, 256), F.lit(10)))).otherwise(base)
-    return F.when(F.length(full) > 220, F.concat(host(url), F.lit("/_long/"), F.left(F.sha2(url, 256), F.lit(20)))).otherwise(full)
+    names = F.when(F.size(parts) == 0, F.array(F.lit("index.html"))).otherwise(F.transform(parts, safe_segment))
+    last, q = F.element_at(names, -1), query(url)
+    tail = F.concat(F.when(q != "", F.concat(F.lit("__q-"), F.left(F.sha2(F.concat(F.lit("?"), q), 256), F.lit(10)))).otherwise(""), F.lit("__u-"), F.left(F.sha2(canonical(url), 256), F.lit(12)))
+    final = F.concat(_stem(last), tail, file_suffix(last))
+    whole = F.concat_ws("/", host(url), F.array_join(F.slice(names, F.lit(1), F.size(names) - 1), "/"), final)
+    whole = F.regexp_replace(whole, "//", "/")
+    most = max(70, 230 - root_length - 1)
+    folder = F.concat(host(url), F.lit("/_long/"), F.left(F.sha2(url, 256), F.lit(24)), F.lit("/"))
+    room = F.greatest(F.lit(4), most - F.length(folder) - F.length(file_suffix(final)))
+    return F.when(F.length(whole) > most, F.concat(folder, F.left(_stem(final), room), file_suffix(final))).otherwise(whole)
 
 
 def snapshot_key(content: Column) -> Column:

@@ -67,7 +67,7 @@ def local_name(tag: Column) -> Column:
 def fact_markers(text: Column) -> Column:
     """Array of {key, value} of ``<!-- fact:key --> value <!-- /fact -->``."""
     pattern = r"<!--\s*fact:([\w.-]+)\s*-->(.*?)<!--\s*/fact\s*-->"
-    return F.arrays_zip(F.regexp_extract_all(text, F.lit(pattern), 1).alias("key"), F.transform(F.regexp_extract_all(text, F.lit(pattern), 2), F.trim).alias("value"))
+    return F.arrays_zip(F.regexp_extract_all(text, F.lit(pattern), 1).alias("key"), F.transform(F.regexp_extract_all(text, F.lit(pattern), 2), lambda v: F.trim(v)).alias("value"))
 
 
 def number_near(text: Column, keyword: str, reach: int = 160) -> Column:
@@ -81,3 +81,30 @@ def nearest_rank(values: Column, fraction: float) -> Column:
     """Element at the half-even rounded rank (n - 1) * fraction of a sorted array."""
     rank = F.bround((F.size(values) - 1) * F.lit(fraction), 0).cast("int")
     return F.try_element_at(values, rank + 1)
+
+
+def retry_after_ms(header: Column, now: Column) -> Column:
+    """Milliseconds to wait by a Retry-After header: seconds, or a date after ``now``; NULL if unreadable, never below zero."""
+    seconds = F.trim(header).try_cast("double")
+    date = F.try_to_timestamp(F.regexp_extract(header, r"^\s*\w{3}, (\d{2} \w{3} \d{4} \d{2}:\d{2}:\d{2}) GMT\s*$", 1), F.lit("dd MMM yyyy HH:mm:ss"))
+    wait = F.when(seconds.isNotNull(), seconds * 1000).otherwise((F.unix_timestamp(date) - F.unix_timestamp(now)) * 1000)
+    return F.when(wait.isNotNull(), F.greatest(F.lit(0).cast("long"), wait.cast("long")))
+
+
+def backoff_ms(attempt: Column, base: int = 1000, most: int = 60_000) -> Column:
+    """Exponential wait before an attempt, counted from 0."""
+    return F.least(F.lit(most), F.lit(base) * F.pow(F.lit(2.0), attempt)).cast("long")
+
+
+def within_byte_limit(sizes: Column, limit: int) -> Column:
+    """The chunks of a transfer (array of sizes) that pass before the one that would exceed the limit; 0 means no limit."""
+    if limit <= 0:
+        return sizes
+    start = F.struct(F.lit(0).cast("long").alias("sum"), F.lit(True).alias("open"), F.lit(0).alias("n"))
+
+    def step(acc, size):
+        total = acc["sum"] + size
+        passes = acc["open"] & (total <= limit)
+        return F.struct(F.when(passes, total).otherwise(acc["sum"]).alias("sum"), passes.alias("open"), (acc["n"] + passes.cast("int")).alias("n"))
+
+    return F.slice(sizes, F.lit(1), F.aggregate(sizes, start, step)["n"])

@@ -49,8 +49,17 @@ def reconcile(parts: DataFrame, totals: DataFrame, keys: list[str], part: str, t
 
 
 def checks(*named: tuple[str, DataFrame, Column]) -> DataFrame:
-    """One row for each check: its name, the number of violating rows and whether it passed."""
-    rows = [df.agg(F.count_if(bad).alias("violations")).select(F.lit(name).alias("check_name"), "violations", (F.col("violations") == 0).alias("passed")) for name, df, bad in named]
+    """One row for each check: its name, the number of violating rows and whether it passed; one pass for all checks of a table."""
+    frames: list[DataFrame] = []
+    for _, df, _ in named:
+        if not any(df is f for f in frames):
+            frames.append(df)
+    rows = []
+    for f in frames:
+        own = [(name, bad) for name, df, bad in named if df is f]
+        counts = f.agg(*[F.count_if(bad).alias(f"_{i}") for i, (_, bad) in enumerate(own)])
+        each = F.explode(F.array(*[F.struct(F.lit(name).alias("check_name"), F.col(f"_{i}").alias("violations")) for i, (name, _) in enumerate(own)]))
+        rows.append(counts.select(each.alias("c")).select("c.check_name", "c.violations", (F.col("c.violations") == 0).alias("passed")))
     return reduce(DataFrame.unionByName, rows)
 
 
@@ -117,3 +126,27 @@ def nearest_rank_percentiles(df: DataFrame, value: str, fractions: dict[str, flo
 def value_cross_tab(df: DataFrame, label: str, counts: list[str]) -> DataFrame:
     """Documents with a positive count, for each (label, pattern)."""
     return df.unpivot([label], counts, "pattern", "hits").filter("hits > 0").groupBy(label, "pattern").agg(F.count("*").alias("documents"))
+
+
+def grouped_medians(df: DataFrame, keys: list[str], value: str, name: str = "median", slack: float = 0.005) -> DataFrame:
+    """Exact median of each group (mean of the middle two of an even number), without holding its values.
+
+    A mergeable sketch brackets the middle of each group; one pass counts what
+    lies below the bracket and the distinct values inside it.
+    """
+    known = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
+    edge = lambda f: F.percentile_approx("_v", f, 10_000)
+    bounds = known.groupBy(*keys).agg(F.count("*").alias("_n"), edge(0.5 - slack).alias("_lo"), edge(0.5 + slack).alias("_hi"))
+    inside = known.join(bounds, keys).filter(F.col("_v") <= F.col("_hi"))
+    cell = F.when(F.col("_v") >= F.col("_lo"), F.col("_v")).alias("_cell")
+    counts = inside.groupBy(*keys, "_n", cell).agg(F.count("*").alias("_c"))
+    upto = F.sum("_c").over(Window.partitionBy(*keys).orderBy(F.col("_cell").asc_nulls_first()))
+    ranked = counts.withColumn("_upto", upto).filter(F.col("_cell").isNotNull())
+    at = lambda rank: F.min(F.when(F.col("_upto") > rank, F.col("_cell")))
+    return ranked.groupBy(*keys).agg(((at(F.floor((F.col("_n") - 1) / 2)) + at(F.floor(F.col("_n") / 2))) / 2).alias(name))
+
+
+def most_common(df: DataFrame, label: str, top: int, first: str | None = None) -> DataFrame:
+    """The ``top`` most frequent labels with their counts; ties by first appearance in ``first``, else by label."""
+    seen = F.min(first) if first else F.min(label)
+    return df.groupBy(label).agg(F.count("*").alias("n"), seen.alias("_first")).orderBy(F.desc("n"), "_first").limit(top).drop("_first")

@@ -44,7 +44,7 @@ def drifted(stored: DataFrame, computed: DataFrame, key: str, fields: list[str])
 
 
 def violations(*named: tuple[str, DataFrame]) -> DataFrame:
-    """Counts of the rows that violation queries return."""
+    """Counts of the rows that violation queries return; conditions on rows of one table go through ``aggregates.checks`` in one pass."""
     return reduce(DataFrame.unionByName, [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("invariant"), "n") for name, df in named])
 
 

@@ -33,10 +33,15 @@ def found(text: Column, name: str) -> Column:
     return hits
 
 
+def count_of(text: Column, name: str) -> Column:
+    """Number of matches; only personal mail addresses are looked at one by one."""
+    return (F.size(found(text, name)) if name == "email_personal" else F.regexp_count(text, F.lit(PATTERNS[name]))).cast("long")
+
+
 def page_counts(df: DataFrame, text: str) -> DataFrame:
     """One count column for each pattern."""
     body = F.coalesce(F.col(text), F.lit(""))
-    return df.select("*", *[F.size(found(body, n)).cast("long").alias(n) for n in PATTERNS])
+    return df.select("*", *[count_of(body, n).alias(n) for n in PATTERNS])
 
 
 def document_counts(pages: DataFrame, key: str, text: str) -> DataFrame:
@@ -46,10 +51,22 @@ def document_counts(pages: DataFrame, key: str, text: str) -> DataFrame:
     return sums.withColumn("signal_count", signals.cast("long")).filter("signal_count > 0")
 
 
-def distinct_tokens(pages: DataFrame, text: str, names: list[str]) -> DataFrame:
-    """Distinct values of each pattern, compared as 12-digit tokens."""
-    out = None
-    for n in names:
-        one = pages.select(F.lit(n).alias("pattern"), F.explode(found(F.coalesce(F.col(text), F.lit("")), n)).alias("v")).select("pattern", token(F.col("v")).alias("t"))
-        out = one if out is None else out.unionByName(one)
-    return out.groupBy("pattern").agg(F.countDistinct("t").alias("distinct_tokens"), F.count("*").alias("occurrences"))
+def report_order(key: str) -> list[Column]:
+    """Most signals first, then most personal mail addresses and telephone numbers, then the key."""
+    return [F.desc("signal_count"), F.desc("email_personal"), F.desc("phone_ie"), F.col(key)]
+
+
+#: Patterns whose distinct values are counted as tokens.
+TOKENISED = ("ppsn", "iban", "email_personal", "email_any")
+
+
+def distinct_tokens(pages: DataFrame, text: str, names: tuple[str, ...] = TOKENISED) -> DataFrame:
+    """Distinct values of each pattern, compared as 12-digit tokens; one scan for all patterns, hits combined before the count."""
+    body = F.coalesce(F.col(text), F.lit(""))
+
+    def tagged(n: str) -> Column:
+        return F.transform(found(body, n), lambda v: F.struct(F.lit(n).alias("pattern"), token(v).alias("t")))
+
+    each = F.flatten(F.array(*map(tagged, names)))
+    hits = pages.select(F.explode(each).alias("h")).groupBy("h.pattern", "h.t").agg(F.count("*").alias("c"))
+    return hits.groupBy("pattern").agg(F.count("*").alias("distinct_tokens"), F.sum("c").alias("occurrences"))

@@ -112,58 +112,92 @@ def voice_for(authorship: Column) -> Column:
     return F.create_map(*[F.lit(x) for kv in VOICES.items() for x in kv])[authorship]
 
 
-def classify(df: DataFrame, url: str, text: str, mixed: dict[str, tuple[str, str]] = {}, audited: dict[str, str] = {}) -> DataFrame:  # noqa: B006
+# Containers and submissions that were opened and audited page by page.
+MIXED_DOCUMENTS = {
+    "/publications/corporate-reports/strategic-plan/submissions/strategic-plan2019-2021-public-engagement-submissions.pdf": (
+        "cbi-corporate-report",
+        "audited-composite:cbi-framing-pages-1-5;stakeholder-submissions-pages-6-114",
+    ),
+}
+AUDITED_STAKEHOLDERS = {
+    "/sector-stakeholder-dialogues/lending-framework-review-2024-joint-submission-from-cuda-cuma-ilcu-and-nsf.pdf": "joint-credit-union-sector-submission",
+    "/sector-stakeholder-dialogues/lending-framework-review-2024-submission-from-collaborative-finance-clg.pdf": "collaborative-finance-submission",
+}
+ISSUER = "Central Bank of Ireland"
+HOST_EVIDENCE = "centralbank.ie host path is not authorship evidence"
+
+
+def classify(df: DataFrame, url: str, text: str, mixed: dict[str, tuple[str, str]] = MIXED_DOCUMENTS, audited: dict[str, str] = AUDITED_STAKEHOLDERS) -> DataFrame:
     """Adds authorship, document_class, basis, confidence, consultation_id, engagement_id and the derived fields.
 
     ``mixed`` maps path parts to (class, basis) and ``audited`` path parts to
-    evidence: the reviewed exceptions, which come before every rule.
+    evidence: the reviewed exceptions, which come before every rule.  Phrases are
+    looked up once a row, and only where the path and file name leave the question
+    open; every step is a projection of its own, so nothing is evaluated twice.
     """
-    path, body = F.lower(urls.unquote(urls.path(F.col(url)))), F.coalesce(F.col(text), F.lit(""))
-    name = F.substring_index(path, "/", -1)
-    work = df.withColumn("_path", path).withColumn("_name", name)
-    work = work.withColumn("_issuer", score(body, ISSUER_MARKERS)).withColumn("_other", score(body, RESPONDENT_MARKERS))
-    path, name = F.col("_path"), F.col("_name")
-    issuer, other = F.col("_issuer.points"), F.col("_other.points")
-    discussion, has_text = path.contains("/discussion-papers/"), F.length(F.trim(F.regexp_replace(body, r"\s", ""))) > 0
-    strong, cue, attributed = (F.regexp_extract(name, p, 1) for p in (STRONG_DOCTYPE, DOCTYPE, ATTRIBUTED))
+    as_col = lambda v: v if isinstance(v, Column) else F.lit(v)
     bare = lambda c: F.regexp_replace(c, "^-+|-+$", "")
+    body = F.coalesce(F.col(text), F.lit(""))
+    work = df.withColumn("_path", F.lower(urls.unquote(urls.path(F.col(url)))))
+    path = F.col("_path")
+    work = work.withColumn("_name", F.substring_index(path, "/", -1)).withColumn("_hosted", contains_any(path, CONSULTATION_PATHS))
+    name, discussion = F.col("_name"), path.contains("/discussion-papers/")
+    for column, pattern in (("_strong", STRONG_DOCTYPE), ("_cue", DOCTYPE), ("_attributed", ATTRIBUTED)):
+        work = work.withColumn(column, F.when(F.col("_hosted"), F.regexp_extract(name, pattern, 1)).otherwise(""))
+    strong, cue, attributed = F.col("_strong"), F.col("_cue"), F.col("_attributed")
+    prefix = F.regexp_replace(F.when(cue != "", F.left(name, F.position(cue, name) - 1)), r"^[-_ .]+|[-_ .]+$", "")
+    responder = discussion & (cue != "") & name.rlike("-{2,}discussion-paper") & (prefix != "") & ~prefix.rlike(r"^(?:dp|discussion-paper)[-_ ]?\d*[a-z]?$")
+    work = work.withColumn("_responder", F.when(F.col("_hosted") & F.coalesce(responder, F.lit(False)), F.left(prefix, F.lit(80))))
+    settled = ~F.col("_hosted") | (strong != "") | (attributed != "") | F.col("_responder").isNotNull() | ((cue == "") & name.rlike(CP_PREFIXED))
+    work = work.withColumn("_low", F.when(~settled, F.lower(body)))
+    for column, markers in (("_issuer", ISSUER_MARKERS), ("_other", RESPONDENT_MARKERS)):
+        hits = F.array_compact(F.array(*[F.when(F.col("_low").contains(p), F.struct(F.lit(w).alias("w"), F.lit(p).alias("p"))) for p, w in markers.items()]))
+        work = work.withColumn(f"{column}_hits", F.when(F.col("_low").isNotNull(), hits))
+    points = lambda c: F.aggregate(c, F.lit(0), lambda acc, h: acc + h["w"])
+    work = work.withColumn("_issuer_points", points(F.col("_issuer_hits"))).withColumn("_other_points", points(F.col("_other_hits")))
+    work = work.withColumn("_has_text", F.col("_low").rlike(r"\S"))
+    issuer, other, has_text = F.col("_issuer_points"), F.col("_other_points"), F.col("_has_text")
+    in_title = contains_any(F.left("_low", F.lit(300)), TITLE_MARKERS) & (other == 0)
+    work = work.withColumn("_in_title", in_title)
+    boosted = issuer + F.when(F.col("_in_title"), 2).otherwise(0)
+    phrases = lambda c: F.transform(c, lambda h: h["p"])
+    boosted_hits = F.concat(phrases(F.col("_issuer_hits")), F.when(F.col("_in_title"), F.array(F.lit("cbi-name-in-title-block"))).otherwise(F.array().cast("array<string>")))
+    first3 = lambda c: F.array_join(F.slice(c, 1, 3), ";")
+    versus = lambda a, b: F.concat(F.lit("("), a.cast("string"), F.lit("v"), b.cast("string"), F.lit(")"))
     submission = F.when(discussion, "stakeholder-discussion-submission").otherwise("stakeholder-consultation-submission")
     material = F.when(discussion, "cbi-discussion-material").otherwise("cbi-consultation-material")
-    first3 = lambda phrases: F.array_join(F.slice(phrases, 1, 3), ";")
 
     def rule(condition: Column, authorship: str, document_class, basis, confidence: str) -> Column:
-        as_col = lambda v: v if isinstance(v, Column) else F.lit(v)
         return F.when(condition, F.struct(F.lit(authorship).alias("authorship"), as_col(document_class).alias("document_class"), as_col(basis).alias("basis"), F.lit(confidence).alias("confidence")))
 
-    prefix = F.regexp_replace(F.when(cue != "", F.left(name, F.position(cue, name) - 1)), r"^[-_ .]+|[-_ .]+$", "")
-    in_title = contains_any(F.lower(F.left(body, F.lit(300))), TITLE_MARKERS) & (other == 0)
-    boosted = issuer + F.when(in_title, 2).otherwise(0)
-    boosted_hits = F.when(in_title, F.concat(F.col("_issuer.phrases"), F.array(F.lit("cbi-name-in-title-block")))).otherwise(F.col("_issuer.phrases"))
-    versus = lambda a, b: F.concat(F.lit("("), a.cast("string"), F.lit("v"), b.cast("string"), F.lit(")"))
     rules = [
         *[rule(path.contains(p), "mixed", c, b, "high") for p, (c, b) in mixed.items()],
         *[rule(path.contains(p), "stakeholder", "stakeholder-consultation-submission", f"audited-non-consultation-stakeholder:{e}", "high") for p, e in audited.items()],
-        rule(~contains_any(path, CONSULTATION_PATHS), "unresolved", topical_class(path), "host-path-only:non-consultation", "low"),
+        rule(~F.col("_hosted"), "unresolved", topical_class(path), "host-path-only:non-consultation", "low"),
         rule(strong != "", "central-bank", F.when(contains_any(name, ("feedback-statement", "statement-on-cp")), "cbi-consultation-feedback").otherwise(material), F.concat(F.lit("filename-strong-cbi-doctype:"), bare(strong)), "high"),
         rule(attributed != "", "stakeholder", submission, F.concat(F.lit("filename-attribution:"), bare(attributed)), "high"),
-        rule(discussion & (cue != "") & name.rlike("-{2,}discussion-paper") & (prefix != "") & ~prefix.rlike(r"^(?:dp|discussion-paper)[-_ ]?\d*[a-z]?$"), "stakeholder", "stakeholder-discussion-submission", F.concat(F.lit("filename-discussion-responder-prefix:"), F.left(prefix, F.lit(80))), "high"),
-        rule((cue != "") & has_text & (other >= F.greatest(issuer + 3, F.lit(4))), "stakeholder", submission, F.concat(F.lit("content-overrides-generic-doctype"), versus(other, issuer), F.lit(":"), first3(F.col("_other.phrases"))), "medium"),
+        rule(F.col("_responder").isNotNull(), "stakeholder", "stakeholder-discussion-submission", F.concat(F.lit("filename-discussion-responder-prefix:"), "_responder"), "high"),
+        rule((cue != "") & has_text & (other >= F.greatest(issuer + 3, F.lit(4))), "stakeholder", submission, F.concat(F.lit("content-overrides-generic-doctype"), versus(other, issuer), F.lit(":"), first3(phrases(F.col("_other_hits")))), "medium"),
         rule(cue != "", "central-bank", material, F.concat(F.lit("filename-cbi-doctype:"), bare(cue)), "high"),
         rule(name.rlike(CP_PREFIXED), "central-bank", material, "filename-cp-prefix-without-attribution", "medium"),
-        rule(has_text & (other >= boosted + 3), "stakeholder", submission, F.concat(F.lit("content-stakeholder"), versus(other, boosted), F.lit(":"), first3(F.col("_other.phrases"))), "medium"),
+        rule(has_text & (other >= boosted + 3), "stakeholder", submission, F.concat(F.lit("content-stakeholder"), versus(other, boosted), F.lit(":"), first3(phrases(F.col("_other_hits")))), "medium"),
         rule(has_text & (boosted >= other + 3), "central-bank", material, F.concat(F.lit("content-cbi"), versus(boosted, other), F.lit(":"), first3(boosted_hits)), "medium"),
         rule(has_text, "unresolved", "consultation-hosted-unresolved", F.concat(F.lit("content-inconclusive"), versus(boosted, other)), "low"),
         rule(F.lit(True), "unresolved", "consultation-hosted-unresolved", "no-filename-cue-and-no-text", "low"),
     ]
-    out = work.withColumn("_label", F.coalesce(*rules)).select(*df.columns, "_path", "_label.*").withColumn("consultation_id", consultation_id(F.col("_path")))
+    # One value from here on: the chain is not evaluated again for each field.
+    chosen = work.withColumn("_label", F.explode(F.array(F.coalesce(*rules))))
+    out = chosen.select(*df.columns, "_path", "_label.*").withColumn("consultation_id", consultation_id(F.col("_path")))
     out = out.withColumn("engagement_id", engagement_id(F.col("_path"), F.col("consultation_id"))).drop("_path")
     if audited:
         out = out.withColumn("consultation_id", F.when(~F.col("basis").startswith("audited-non-consultation"), F.col("consultation_id")))
-    out = out.withColumn("legacy_authorship", F.when(F.col("basis") == "host-path-only:non-consultation", "central-bank").otherwise(F.col("authorship")))
+    host_only = F.col("basis") == "host-path-only:non-consultation"
+    out = out.withColumn("legacy_authorship", F.when(host_only, "central-bank").otherwise(F.col("authorship")))
     out = out.withColumn("institutional_voice", voice_for(F.col("authorship")))
+    out = out.withColumn("author_org", F.when(F.col("institutional_voice") == "cbi-institutional", ISSUER))
     role = F.when(F.col("document_class").startswith("stakeholder-"), "consultation-submission").otherwise(F.coalesce(F.create_map(*[F.lit(x) for kv in ROLES.items() for x in kv])[F.col("document_class")], F.lit("other")))
     status = F.when(F.col("basis").rlike("^(adjudicated:|audited-|manual-)"), "manual-reviewed").when(F.col("institutional_voice") == "unknown", "unreviewed").otherwise("rule-classified")
-    return out.withColumn("document_role", role).withColumn("review_status", status)
+    return out.withColumn("document_role", role).withColumn("review_status", status).withColumn("review_evidence", F.when(host_only, HOST_EVIDENCE).otherwise(F.col("basis")))
 
 
 def apply_overrides(labelled: DataFrame, overrides: DataFrame, key: str, fields: list[str]) -> DataFrame:

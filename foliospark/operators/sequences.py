@@ -24,6 +24,16 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str], columns: li
     return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_row.{c}").alias(c) for c in columns])
 
 
+def latest_first_among_ties(df: DataFrame, keys: list[str], date: str, position: str, columns: list[str]) -> DataFrame:
+    """The row with the largest date of each key, the earliest of equal ones, and ``in_order``: whether it is the last row that has a date."""
+    rest = [c for c in columns if c not in (date, position)]
+    dated = df.filter(F.col(date).isNotNull())
+    best = F.max(F.struct(F.col(date), (-F.col(position)).alias("_at"), *rest)).alias("_row")
+    out = dated.groupBy(*keys).agg(best, F.max(position).alias("_last"))
+    value = lambda c: -F.col("_row._at") if c == position else F.col(f"_row.{c}")
+    return out.select(*keys, *[value(c).alias(c) for c in columns], (F.col("_last") == -F.col("_row._at")).alias("in_order"))
+
+
 def first_wins(df: DataFrame, key: str, order: list[str], alias: str) -> DataFrame:
     """First row of each key in order, its sorted distinct aliases and the number of rows it stands for."""
     agg = df.groupBy(key).agg(F.min(F.struct(*order)).alias("_row"), F.array_sort(F.collect_set(alias)).alias("aliases"), F.count("*").alias("n_rows"))
@@ -31,13 +41,23 @@ def first_wins(df: DataFrame, key: str, order: list[str], alias: str) -> DataFra
 
 
 def preference_dedupe(candidates: DataFrame, key: str, choice: str, preference: DataFrame) -> DataFrame:
-    """One candidate for each key: the only one, or the one that ``preference`` (key, preferred) names; else the key is an error row."""
+    """One candidate for each key: the only one, or the one that ``preference`` (key, preferred) names.
+
+    Keys with several candidates of which none is preferred give no row here but one of ``preference_faults``, which must be empty for a whole result.
+    """
     sized = candidates.withColumn("n_candidates", F.count("*").over(Window.partitionBy(key)))
     joined = sized.join(preference, key, "left")
     kept = joined.filter((F.col("n_candidates") == 1) | (F.col(choice) == F.col("preferred")))
     return kept.withColumn("selection_basis", F.when(F.col("n_candidates") == 1, "only-candidate").otherwise("explicit-preference")).withColumn("alternates", F.col("n_candidates") - 1).drop("n_candidates", "preferred")
 
 
+def preference_faults(candidates: DataFrame, key: str, choice: str, preference: DataFrame) -> DataFrame:
+    """Keys with several candidates and not exactly one that ``preference`` names: their candidates and how many are named."""
+    chosen = F.count_if(F.coalesce(F.col(choice) == F.col("preferred"), F.lit(False)))
+    out = candidates.join(preference, key, "left").groupBy(key).agg(F.count("*").alias("n_candidates"), chosen.alias("n_preferred"))
+    return out.filter((F.col("n_candidates") > 1) & (F.col("n_preferred") != 1))
+
+
 def clusters(df: DataFrame, text: Column, key: str) -> DataFrame:
     """content_sha256, its cluster's size and first member; sizes come from a combined count, so a hot text costs no window."""
     hashed = df.withColumn("content_sha256", F.sha2(text, 256))
@@ -62,25 +82,34 @@ def repeated_line_share(df: DataFrame, key: str, text: str) -> DataFrame:
     return sums.withColumn("repeated_share", F.round(F.col("repeated_characters") / F.col("line_characters"), 4))
 
 
-def budget_prefix(df: DataFrame, order: str, size: str, budget: int, buckets: int = 64) -> DataFrame:
+def budget_prefix(df: DataFrame, order: str, size: str, budget: int, rows_per_range: int = 1_000_000) -> DataFrame:
     """Rows in order while the running total stays within a budget.
 
-    The running sum is taken in two steps: totals of hash-free ranges of the
-    order column first, then inside each range, so no single task sorts all rows.
+    The running sum is taken in two steps: totals of ranges of the order column
+    first, then inside each range that begins within the budget, so no task
+    sorts all rows and what lies beyond the budget is not sorted at all.  The
+    number of ranges grows with the rows (64 at least); an order column whose
+    values crowd in one range makes that range's task longer, not the result wrong.
     """
-    span = df.agg(F.min(order).alias("lo"), F.max(order).alias("hi"))
-    ranged = df.join(F.broadcast(span)).withColumn("_b", F.floor((F.col(order) - F.col("lo")) / ((F.col("hi") - F.col("lo") + 1) / buckets)).cast("int")).drop("lo", "hi")
+    span = df.agg(F.min(order).alias("lo"), F.max(order).alias("hi"), F.greatest(F.lit(64.0), F.ceil(F.count("*") / rows_per_range).cast("double")).alias("ranges"))
+    ranged = df.join(F.broadcast(span)).withColumn("_b", F.floor((F.col(order) - F.col("lo")) / ((F.col("hi") - F.col("lo") + 1) / F.col("ranges"))).cast("long")).drop("lo", "hi", "ranges")
     totals = ranged.groupBy("_b").agg(F.sum(size).alias("_t"))
     before = totals.withColumn("_before", F.coalesce(F.sum("_t").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_b", "_before")
+    # At most one row for each million rows.
+    reached = F.broadcast(before.filter(F.col("_before") <= budget))
     run = F.sum(size).over(Window.partitionBy("_b").orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
-    return ranged.join(F.broadcast(before), "_b").withColumn("running_total", F.col("_before") + run).filter(F.col("running_total") <= budget).drop("_b", "_before")
+    return ranged.join(reached, "_b").withColumn("running_total", F.col("_before") + run).filter(F.col("running_total") <= budget).drop("_b", "_before")
 
 
 def range_override(rows: DataFrame, overrides: DataFrame, key: str, position: str, label: str) -> DataFrame:
-    """Override whose [start_position, end_position] holds the row (at most one may), else the row's own label.
+    """Override whose [start_position, end_position] holds the row, else the row's own label.
 
-    ``overrides`` is a reviewed table of small size; whether it is broadcast is left to its statistics.
+    Each row comes back once: where several overrides hold it, ``label_basis`` is
+    ``overlapping-overrides`` and the row keeps its own label.  ``overrides`` is a
+    reviewed table of small size; whether it is broadcast is left to its statistics.
     """
     hit = (F.col(f"r.{key}") == F.col(f"o.{key}")) & F.col(f"r.{position}").between(F.col("o.start_position"), F.col("o.end_position"))
-    out = rows.alias("r").join(overrides.alias("o"), hit, "left")
-    return out.select("r.*", F.coalesce("o.override_label", f"r.{label}").alias("final_label"), F.when(F.col("o.override_label").isNotNull(), "override").otherwise("inherited").alias("label_basis"))
+    found = rows.alias("r").join(overrides.alias("o"), hit).groupBy(F.col(f"r.{key}").alias("_key"), F.col(f"r.{position}").alias("_position")).agg(F.countDistinct("o.start_position", "o.end_position", "o.override_label").alias("_n"), F.min("o.override_label").alias("_label"))
+    out = rows.join(found, (F.col(key) == F.col("_key")) & (F.col(position) == F.col("_position")), "left")
+    basis = F.when(F.col("_n") == 1, "override").when(F.col("_n") > 1, "overlapping-overrides").otherwise("inherited")
+    return out.select(*[F.col(c) for c in rows.columns], F.when(F.col("_n") == 1, F.col("_label")).otherwise(F.col(label)).alias("final_label"), basis.alias("label_basis"))

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from foliospark.functions.text import MARKED, PLAIN, normalised, phrase_count, tokens_of
+from foliospark.functions.text import FOLD_TABLE, normalised, phrase_count, tokens_of
 
 
 class QueryError(ValueError):
@@ -36,12 +36,11 @@ class Op:
 
 
 _TOKEN = re.compile(r'\s*(?:"((?:[^"]|"")*)"|([()])|([^\s()"]+))')
-_FOLD = str.maketrans(MARKED, PLAIN)
 
 
 def fold(text: str) -> str:
     """The tokens of a phrase, as ``normalised`` makes them."""
-    return " ".join(re.findall(r"[^\W_]+", text.lower().translate(_FOLD)))
+    return " ".join(re.findall(r"[^\W_]+", text.lower().translate(FOLD_TABLE)))
 
 
 def _lex(query: str):
@@ -242,6 +241,18 @@ def bundle(pages: DataFrame, queries: list[str], k: int, key: list[str]) -> Data
     return top.groupBy(*key).agg(F.min("query_index").alias("query_index"), F.min_by("score", "query_index").alias("score"))
 
 
+def quota_bundle(pages: DataFrame, queries: list[str], voice: str, quotas: dict[str, int], key: list[str], title_weight: float = 1.0) -> DataFrame:
+    """Top rows of each query by BM25, a quota for each voice; a row that several queries return belongs to the first."""
+    scored = bm25_many(pages, {str(i): q for i, q in enumerate(queries)}, [*key, voice], title_weight).withColumn("score", F.round("score", 6))
+    asked = scored.filter(F.col(voice).isin(list(quotas)))
+    # Cut to the largest quota by a bounded window before the smaller ones are applied.
+    order = Window.partitionBy("query", voice).orderBy("score", *key)
+    top = asked.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= max(quotas.values()))
+    quota = F.create_map(*[F.lit(x) for kv in quotas.items() for x in kv])[F.col(voice)]
+    top = top.filter(F.col("_n") <= quota).select(*key, voice, F.col("query").cast("int").alias("query_index"), "score")
+    return top.groupBy(*key, voice).agg(F.min("query_index").alias("query_index"), F.min_by("score", "query_index").alias("score"))
+
+
 def snippet(phrases: list[str], width: int = 36, marks: tuple[str, str] = ("[", "]"), dots: str = " ... "):
     """A pandas UDF: the window of ``width`` words that holds most phrase hits, with those marked."""
     wanted = [p.split() for p in phrases]
@@ -251,8 +262,8 @@ def snippet(phrases: list[str], width: int = 36, marks: tuple[str, str] = ("[",
         def one(t: str | None) -> str | None:
             if t is None:
                 return None
-            spans = [(m.start(), m.end()) for m in re.finditer(r"[^\W_]+", t)]
-            words = [t[a:b].lower().translate(_FOLD) for a, b in spans]
+            spans = [(m.start(), m.end()) for m in re.finditer(r"[^\W_][^\W_\u0300-\u036f]*(?:[\u0300-\u036f]+[^\W_]*)*", t)]
+            words = [t[a:b].lower().translate(FOLD_TABLE) for a, b in spans]
             hit = [False] * len(words)
             for w in wanted:
                 for i in range(len(words) - len(w) + 1):

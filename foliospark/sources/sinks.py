@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliospark.functions.urls import blob_key
+from foliospark.operators.sequences import budget_prefix
 
 
 def write_documents(df: DataFrame, path: str, order: str, level: int = 9) -> None:
@@ -77,14 +78,16 @@ def extraction_preferences(candidates: DataFrame, sha: str, url: str, corpus: st
     return many.select(sha, F.when(F.col("_office"), "office").otherwise("pdf").alias("preferred"))
 
 
-def bundle_text(rows: DataFrame, order: list[str], header: Column, text: str, cap: int) -> DataFrame:
-    """Excerpts of 200 characters and more behind headers, as long as the running total of text stays within a cap."""
-    from pyspark.sql import Window
+def bundle_text(rows: DataFrame, order: str | list[str], header: Column, text: str, cap: int) -> DataFrame:
+    """Excerpts of 200 characters and more behind headers, as long as the running total of text stays within a cap.
 
+    ``order`` is the numeric column of places in the bundle; the running total is taken in two
+    steps, so excerpts beyond the cap are not sorted.
+    """
     body = F.regexp_replace(F.regexp_replace(F.col(text), r"\n{3,}", "\n\n"), r"(?m)[ \t]+$", "")
-    kept = rows.withColumn("_t", F.trim(body)).filter(F.length("_t") >= 200)
-    running = F.sum(F.length("_t")).over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
-    return kept.withColumn("running", running).filter(F.col("running") <= cap).withColumn("excerpt", F.concat(header, F.lit("\n"), F.col("_t"), F.lit("\n"))).drop("_t")
+    kept = rows.withColumn("_t", F.trim(body)).filter(F.length("_t") >= 200).withColumn("_size", F.length("_t").cast("long"))
+    within = budget_prefix(kept, order if isinstance(order, str) else order[0], "_size", cap).withColumnRenamed("running_total", "running")
+    return within.withColumn("excerpt", F.concat(header, F.lit("\n"), F.col("_t"), F.lit("\n"))).drop("_t", "_size")
 
 
 def summary(df: DataFrame, **measures: Column) -> str:

@@ -43,7 +43,8 @@ def test_parse_number(spark, v, want):
         (U.alias_key, "https://h/x/Doc.pdf?sfvrsn=3", "doc.pdf|3"),
         (U.repair, 'https://h/x.pdf?sfvrsn=ab12%22junk">', "https://h/x.pdf?sfvrsn=ab12"),
         (U.safe_segment, "a:b?. ", "a_b_"),
-        (U.safe_segment, "CON.txt", "_CON.txt"),
+        (U.safe_segment, "CON", "_CON"),
+        (U.safe_segment, "CON.txt", "CON.txt"),
         (T.first_heading, "x\n## ** **\n# *Real* title\n", "Real title"),
     ],
 )
