@@ -46,7 +46,7 @@ def long(c: str):
 
 # White space as both engines' classes know it, and the token fold in SQL.
 SQL_SPACE = r"[\s\v\x1c-\x1f\x85\p{Z}]"
-SQL_NORM = rf"(' ' || trim(regexp_replace(translate(lower(coalesce(text, '')), '{T.MARKED}', '{T.PLAIN}'), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) || ' ')"
+SQL_NORM = r"(' ' || trim(regexp_replace(strip_accents(lower(coalesce(text, ''))), '[^\p{L}\p{N}]+', ' ', 'g')) || ' ')"
 SQL_LINES = "(SELECT doc_id, lang, source, unnest(string_split(coalesce(text, ''), chr(10))) AS line, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) + 1 AS page_number FROM documents)"
 
 
@@ -115,7 +115,8 @@ def quality_grade(spark, d):
 def quality_summary(spark, d):
     rows = _graded(spark, d)
     total = rows.agg(F.count("*").alias("total"))
-    out = rows.groupBy("grade").agg(F.count("*").alias("documents"), F.sum("dense").alias("characters"), F.round(F.expr("percentile(dense / pages, 0.5)"), 3).alias("median_density"))
+    medians = A.grouped_medians(rows.withColumn("density", F.col("dense") / F.col("pages")), ["grade"], "density").withColumn("median_density", F.round("median", 3))
+    out = rows.groupBy("grade").agg(F.count("*").alias("documents"), F.sum("dense").alias("characters")).join(medians, "grade")
     return out.join(F.broadcast(total)).select("grade", "documents", "characters", F.round(100.0 * F.col("documents") / F.col("total"), 2).alias("share"), "median_density")
 
 
@@ -336,7 +337,14 @@ def html_link_counts(spark, d):
     return t(spark, d, "pages").select("page_id", F.size(U.raw_links(F.col("html"))).cast("long").alias("links"))
 
 
-@query()
+# Of the ways to write a relative address: from the scheme, from the host, or in the page's own folder.
+SQL_ABSOLUTE = f"CASE WHEN regexp_matches(l, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN l WHEN l LIKE '//%' THEN regexp_extract(url, '^[A-Za-z]+:', 0) || l WHEN l LIKE '/%' THEN regexp_extract(url, '^[A-Za-z]+://[^/?#]*', 0) || l ELSE regexp_extract(url, '^[A-Za-z]+://[^/?#]*', 0) || regexp_extract({SQL_PATH}, '^.*/', 0) || l END"
+SQL_QUOTES = "chr(34) || chr(39)"
+
+
+@query(f"""WITH x AS (SELECT page_id, url, list_filter(list_transform(regexp_extract_all(html, '(?i)\\s(?:href|src|data-src|data-href)\\s*=\\s*("[^"]*"|''[^'']*''|[^\\s"''>]+)', 1), lambda v: replace(trim(trim(v, {SQL_QUOTES})), '&amp;', '&')), lambda v: v <> '' AND NOT regexp_matches(v, '(?i)^(?:#|mailto:|tel:|javascript:|data:)')) AS a FROM pages),
+y AS (SELECT page_id, url, unnest(a) AS l, unnest(range(len(a))) AS p FROM x), z AS (SELECT page_id, p, regexp_replace({SQL_ABSOLUTE}, '#.*$', '') AS link FROM y), f AS (SELECT page_id, link, min(p) AS p FROM z GROUP BY ALL)
+SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY p) - 1 AS INT) AS ordinal, link FROM f""")
 def html_links(spark, d):
     pages = t(spark, d, "pages")
     return pages.select("page_id", F.posexplode(U.resolve_links(F.col("url"), U.raw_links(F.col("html")))).alias("ordinal", "link"))
@@ -442,7 +450,7 @@ def pii_crosstab(spark, d):
 
 @query("SELECT pattern, count(DISTINCT left(sha256(lower(v)), 12)) AS distinct_tokens, count(*) AS occurrences FROM (" + " UNION ALL ".join(f"SELECT '{n}' AS pattern, unnest({sql_found(n)}) AS v FROM documents" for n in PII[:3]) + ") GROUP BY pattern")
 def pii_distinct_tokens(spark, d):
-    return P.distinct_tokens(t(spark, d, "documents"), "text", PII[:3])
+    return P.distinct_tokens(t(spark, d, "documents"), "text", tuple(PII[:3]))
 
 
 # ---- tabular analytics ------------------------------------------------------
@@ -550,12 +558,13 @@ def gold_accuracy(spark, d):
 
 # ---- comparison and integrity -----------------------------------------------
 
-SQL_BEFORE = "(SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN 'other' ELSE lang END AS lang, CASE WHEN doc_id % 7 = 0 THEN source || 'x' ELSE source END AS source, n_chars FROM documents WHERE doc_id % 13 <> 0)"
+# The older release: every row, some relabelled and some under ids that the newer one lacks.
+SQL_BEFORE = "(SELECT CASE WHEN doc_id % 13 = 0 THEN -1 - doc_id ELSE doc_id END AS doc_id, CASE WHEN doc_id % 11 = 0 THEN 'other' ELSE lang END AS lang, CASE WHEN doc_id % 7 = 0 THEN source || 'x' ELSE source END AS source, n_chars FROM documents)"
 
 
 def _before(spark, d):
-    docs = t(spark, d, "documents").filter("doc_id % 13 <> 0")
-    return docs.select("doc_id", F.when(F.col("doc_id") % 11 == 0, "other").otherwise(F.col("lang")).alias("lang"), F.when(F.col("doc_id") % 7 == 0, F.concat("source", F.lit("x"))).otherwise(F.col("source")).alias("source"), "n_chars")
+    docs = t(spark, d, "documents")
+    return docs.select(F.when(F.col("doc_id") % 13 == 0, -1 - F.col("doc_id")).otherwise(F.col("doc_id")).alias("doc_id"), F.when(F.col("doc_id") % 11 == 0, "other").otherwise(F.col("lang")).alias("lang"), F.when(F.col("doc_id") % 7 == 0, F.concat("source", F.lit("x"))).otherwise(F.col("source")).alias("source"), "n_chars")
 
 
 @query(f"SELECT CASE WHEN b.doc_id IS NULL THEN 'new-document' WHEN b.lang IS DISTINCT FROM d.lang THEN 'reclassified' ELSE 'unchanged' END AS change, d.lang, count(*) AS n FROM documents d LEFT JOIN {SQL_BEFORE} b ON d.doc_id = b.doc_id GROUP BY 1, 2")
@@ -596,12 +605,10 @@ UNION ALL SELECT 'cluster-size', count(*) FROM (SELECT text, count(*) AS c FROM
 def invariants(spark, d):
     docs = t(spark, d, "documents")
     clusters = docs.select(F.sha2("text", 256).alias("cluster"), F.lit(1).cast("long").alias("size"))
-    return C.violations(
-        ("repeated-doc-id", docs.groupBy("doc_id").count().filter("count > 1")),
-        ("length-mismatch", docs.filter(~F.col("n_chars").eqNullSafe(F.length("text").cast("long")))),
-        ("label-domain", t(spark, d, "labels").filter("quality not in (0, 1)")),
-        ("cluster-size", C.uneven_clusters(clusters, "cluster", "size")),
-    )
+    # Conditions on single rows are counted together; groups need a pass of their own.
+    single = A.checks(("length-mismatch", docs, ~F.col("n_chars").eqNullSafe(F.length("text").cast("long"))), ("label-domain", t(spark, d, "labels"), ~F.col("quality").isin(0, 1)))
+    grouped = C.violations(("repeated-doc-id", docs.groupBy("doc_id").count().filter("count > 1")), ("cluster-size", C.uneven_clusters(clusters, "cluster", "size")))
+    return grouped.unionByName(single.select(F.col("check_name").alias("invariant"), F.col("violations").alias("n")))
 
 
 @query("SELECT doc_id FROM labels INTERSECT SELECT doc_id FROM documents WHERE n_chars > 2000")
@@ -609,9 +616,9 @@ def set_intersection(spark, d):
     return t(spark, d, "labels").select("doc_id").intersect(t(spark, d, "documents").filter("n_chars > 2000").select("doc_id"))
 
 
-@query("SELECT 'en' AS corpus, doc_id, source, NULL AS toxic FROM documents WHERE lang = 'en' UNION ALL SELECT 'labels', doc_id, NULL, toxic FROM labels")
+@query("SELECT 'documents' AS corpus, doc_id, source, NULL AS toxic FROM documents UNION ALL SELECT 'labels', doc_id, NULL, toxic FROM labels")
 def union_by_name(spark, d):
-    return C.union_by_name([t(spark, d, "documents").filter("lang = 'en'").select("doc_id", "source"), t(spark, d, "labels").select("doc_id", "toxic")], "corpus", ["en", "labels"])
+    return C.union_by_name([t(spark, d, "documents").select("doc_id", "source"), t(spark, d, "labels").select("doc_id", "toxic")], "corpus", ["documents", "labels"])
 
 
 # ---- documents and published tables -------------------------------------------
@@ -633,10 +640,10 @@ def source_metadata(spark, d):
     return D.source_metadata(rows, "source", "lang", "refs", "modified", "doc_id").select("source", F.array_join("urls", ",").alias("urls"), "last_modified")
 
 
-@query("SELECT doc_id, lang, 'new' AS origin FROM documents WHERE doc_id % 2 = 0 UNION ALL SELECT doc_id, 'old', 'old' FROM documents WHERE doc_id % 3 = 0 AND doc_id % 2 <> 0")
+@query("SELECT doc_id, CAST(quality AS VARCHAR) AS label, 'new' AS origin FROM labels UNION ALL SELECT doc_id, lang, 'old' FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def ledger_merge(spark, d):
-    docs = t(spark, d, "documents").select("doc_id", "lang")
-    return D.merge_ledger(docs.filter("doc_id % 2 = 0").withColumn("origin", F.lit("new")), docs.filter("doc_id % 3 = 0").select("doc_id", F.lit("old").alias("lang"), F.lit("old").alias("origin")), ["doc_id"])
+    new = t(spark, d, "labels").select("doc_id", F.col("quality").cast("string").alias("label"), F.lit("new").alias("origin"))
+    return D.merge_ledger(new, t(spark, d, "documents").select("doc_id", F.col("lang").alias("label"), F.lit("old").alias("origin")), ["doc_id"])
 
 
 @query("""WITH g AS (SELECT year(l_shipdate) AS y, round(coalesce(sum(l_extendedprice) FILTER (l_returnflag IN ('A', 'R') AND l_quantity > 5), 0.0), 2) AS known, count(*) FILTER (l_returnflag IN ('A', 'R')) AS observations,
@@ -713,9 +720,13 @@ def numeric_id_sort(spark, d):
     return rows.withColumn("number", F.regexp_extract("source", r"\d+", 0).cast("long")).orderBy("number")
 
 
-@query()
+@query("""WITH r AS (SELECT *, event_type <> 'error' AS ok, row_number() OVER (PARTITION BY user_id ORDER BY event_type <> 'error' DESC, ts DESC, event_id DESC) AS k FROM events) SELECT event_id, ts, user_id, event_type, value, props, ok FROM r WHERE k = 1""")
 def journal_stream(spark, d):
     """The events table as a file-source stream through the idempotent journal upsert."""
     from foliospark.streaming.journal import replay_stream
 
     return replay_stream(spark, d)
+
+
+# The other registered queries; they take their helpers from this module.
+from foliospark.plans import analyses, rows  # noqa: E402, F401
