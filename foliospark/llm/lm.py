@@ -4,8 +4,9 @@ Words are lower-cased (A-Z) runs of ``[^\\x20\\x09-\\x0D]``; one end token
 closes each text.  Word counts cover the whole training side.  Output is
 factored over classes: the ``TOP`` most frequent words are their own class, and
 the other frequent words, as many as have a share ``SHARE`` of the tokens, form
-families of up to ``FAMILY`` words of one shape and like frequency, so the number
-of classes grows with the vocabulary.  With q the vector that the two words before
+families of one shape and like frequency, of ``FAMILY`` words or more if there are
+over ``FAMILIES`` of them; so the number of classes grows with the vocabulary up to
+a bound, and from there the families do.  With q the vector that the two words before
 predict (``r1 C1 + r2 C2`` over class vectors),
 
     p(w | h) = p(class(w) | h) * p(w | class(w), h)
@@ -15,8 +16,8 @@ the members of the family.  The rarer words of a shape are one member of its las
 family, shared out among them and one unknown word by ``(c + 1) / (N + V + 1)``, so
 all known words and an unknown one for each shape have probabilities that sum to
 one.  Training is NCE in numpy on both levels: a warm start on a bounded sample of
-spans, then one pass over all tokens.  For it documents become word codes, which are
-dealt by hash to one copy of the model for each ``COPY_TOKENS`` tokens; a copy takes
+spans, then one pass over all tokens.  For it and for scoring each document is
+coded once as numbers of words; codes are dealt by hash to one copy of the model for each ``COPY_TOKENS`` tokens; a copy takes
 its documents in hash order, and the copies are averaged by tokens, in a tree of
 merges.  So the model does not depend on partitions (but for the rounding of sums).  For
 scoring, two class-by-class matrix products give all bilinear terms between
@@ -47,11 +48,13 @@ DIM = 24
 NOISE = 24
 BATCH = 2048
 WARM_DOCS = 400
-#: Bytes of the span, at a place chosen by hash, that a document of the warm sample gives.
-WARM_SPAN = 4096
-FAMILY = 256
+#: Tokens of the span, at a place chosen by hash, that a document of the warm sample gives.
+WARM_SPAN = 700
+#: Words of a family at least, and families of full size at most: beyond, families grow.
+FAMILY = 64
+FAMILIES = 200
 FAMILY_NOISE = 16
-FAMILY_BATCH = 65_536
+FAMILY_BATCH = 1 << 17
 FAMILY_RATE = 0.1
 FAMILY_FLOOR = 1e-4
 MERGE_WIDTH = 16
@@ -239,11 +242,6 @@ class LogBilinear:
         return out
 
 
-def context_rows(classes: np.ndarray, end: int, members: np.ndarray | None = None) -> np.ndarray:
-    padded = np.concatenate([[end, end], classes])
-    return np.stack([padded[:-2], padded[1:-1], padded[2:], *([] if members is None else [members])], axis=1)
-
-
 class Vocabulary:
     """The broadcast part: frequent words with counts, classes and members of families."""
 
@@ -260,19 +258,21 @@ class Vocabulary:
         by_shape: list[list[int]] = [[] for _ in range(SHAPES)]
         for i in range(self.top, len(rows)):
             by_shape[rows[i]["shape"]].append(i)
+        width = max(FAMILY, -(-(len(rows) - self.top) // FAMILIES))
         for k, own in enumerate(by_shape):
             # Words of like frequency share a family; the last one has the tail, too.
-            for at in range(0, max(1, len(own)), FAMILY):
-                part, start, name = own[at : at + FAMILY], len(counts), self.top + len(self.families)
+            for at in range(0, max(1, len(own)), width):
+                part, start, name = own[at : at + width], len(counts), self.top + len(self.families)
                 for i in part:
                     self.classes[i], self.members[i] = name, len(counts)
                     counts.append(float(self.counts[i]))
-                if at + FAMILY >= len(own):
+                if at + width >= len(own):
                     self.tail_class[k], self.tail_member[k] = name, len(counts)
                     counts.append(0.0 if tail is None else float(tail[k]))
                 self.families.append((name, start, len(counts)))
         self.member_counts = np.array(counts)
-        self.end = self.words.index(END) if END in self.words else 0
+        place = self.words.index(END) if END in self.words else 0
+        self.end, self.end_count = int(self.classes[place]), int(self.counts[place])
 
     def class_counts(self) -> np.ndarray:
         return np.concatenate([self.counts[: self.top], [self.member_counts[s:e].sum() for _, s, e in self.families]])
@@ -282,21 +282,51 @@ class Vocabulary:
         rare, known = -1 - np.minimum(got, -1), np.maximum(got, 0)
         return np.where(got < 0, self.tail_class[rare], self.classes[known]), np.where(got < 0, self.tail_member[rare], self.members[known])
 
+    def contexts(self, codes: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(rows of two classes before, class and member; codes; first row of each document); documents begin behind end tokens."""
+        sizes = np.array([len(c) // 4 for c in codes])
+        got = np.frombuffer(b"".join(codes), dtype="<i4")
+        starts = np.cumsum(sizes) - sizes
+        rows = np.empty((len(got), 4), dtype=np.int32)
+        rows[:, 2], rows[:, 3] = self.outputs(got)
+        rows[1:, 1] = rows[:-1, 2]
+        rows[starts, 1] = self.end
+        rows[1:, 0] = rows[:-1, 1]
+        rows[starts, 0] = self.end
+        return rows, got, starts
+
+
+def _code(vocabulary: Vocabulary):
+    """Reads every text once: its codes, tokens, those known so far, sum of logarithms of counts, and hashes and numbers of rarer words."""
+    log_c1 = np.log10(vocabulary.counts + 1.0)
 
-def places(toks: list[bytes], codes: Codes) -> np.ndarray:
-    return np.fromiter(map(codes.__getitem__, toks), dtype=np.int64, count=len(toks))
-
-
-def _codes(vocabulary: Vocabulary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = Codes(vocabulary.words)
+        hashed = xxhash.xxh64_intdigest
         for batch in batches:
-            found = [places(tokens(text), codes).astype("<i4").tobytes() for text in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["id", "codes"])
+            blobs, n_tokens, n_known, base, hashes, counts = [], [], [], [], [], []
+            for text in batch.column(3).to_pylist():
+                toks = tokens(text)
+                got = np.fromiter(map(codes.__getitem__, toks), dtype=np.int32, count=len(toks))
+                blobs.append(got.astype("<i4").tobytes())
+                n_tokens.append(len(toks))
+                known = got[got >= 0]
+                n_known.append(int((vocabulary.counts[known] > 0).sum()))
+                base.append(float(log_c1[known].sum()))
+                tail = Counter([toks[i] for i in np.flatnonzero(got < 0).tolist()])
+                hashes.append(np.fromiter((hashed(w, 42) for w in tail), dtype=np.uint64, count=len(tail)).view(np.int64))
+                counts.append(list(tail.values()))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], pa.array(blobs, pa.binary()), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(base, pa.float64()), pa.array(hashes, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int32()))],
+                names=["doc_id", "id", "held_out", "codes", "n_tokens", "n_known", "base", "h", "n"],
+            )
 
     return run
 
 
+CODED = "doc_id long, id string, held_out boolean, codes binary, n_tokens long, n_known long, base double, h array<long>, n array<int>"
+
+
 def _train(model: LogBilinear, vocabulary: Vocabulary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows (copy, codes) with each copy's rows together."""
@@ -307,7 +337,7 @@ def _train(model: LogBilinear, vocabulary: Vocabulary):
         def learn() -> None:
             nonlocal seen, held, size
             if held:
-                rows = np.concatenate(held)
+                rows = vocabulary.contexts(held)[0]
                 own.train(rows[rng.permutation(len(rows))], rng, 0.1)
                 seen, held, size = seen + size, [], 0
 
@@ -322,10 +352,9 @@ def _train(model: LogBilinear, vocabulary: Vocabulary):
                     if own is not None:
                         yield finished()
                     name, own, rng, seen, held, size = key, copy.deepcopy(model), np.random.default_rng(1), 0, [], 0
-                classes, members = vocabulary.outputs(np.frombuffer(blob, dtype="<i4"))
-                held.append(context_rows(classes, vocabulary.end, members))
-                size += len(classes)
-                if size >= 32 * BATCH:
+                held.append(blob)
+                size += len(blob) // 4
+                if size >= FAMILY_BATCH:
                     learn()
         if own is not None:
             yield finished()
@@ -344,25 +373,21 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(train: DataFrame, vocabulary: Vocabulary, unigram: np.ndarray, scratch: Scratch) -> LogBilinear:
-    """Warm start on a span of at most WARM_SPAN bytes of about WARM_DOCS documents picked by hash, then one averaged pass over all of ``train`` (id, text)."""
+    """Warm start on a span of at most WARM_SPAN tokens of about WARM_DOCS documents picked by hash, then one averaged pass over all of ``train`` (id, codes)."""
     model = LogBilinear(unigram, vocabulary.families, vocabulary.member_counts)
+    turned = train.withColumn("turn", F.xxhash64("id", "codes"))
     # One end token closes each training document; a hash below this share picks about WARM_DOCS of them.
-    share = WARM_DOCS / max(1, int(vocabulary.counts[vocabulary.end]))
-    place = F.pmod(F.xxhash64("id", F.lit(6)), F.greatest(F.length("text") - WARM_SPAN, F.lit(0)) + 1).cast("int") + 1
-    span = F.substring("text", place, F.lit(WARM_SPAN)).alias("text")
-    sample = train.filter(F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1 << 30)) < share * (1 << 30)).select(F.xxhash64("id", "text").alias("turn"), span).orderBy("turn").collect()
-    codes, rng = Codes(vocabulary.words), np.random.default_rng(0)
-    rows = []
-    for x in sample:
-        classes, members = vocabulary.outputs(places(tokens(bytes(x.text)), codes))
-        rows.append(context_rows(classes, vocabulary.end, members))
-    if rows:
-        rows = np.concatenate(rows)
+    share = WARM_DOCS / max(1, vocabulary.end_count)
+    place = F.pmod(F.xxhash64("id", F.lit(6)), F.greatest(F.length("codes") / 4 - WARM_SPAN, F.lit(0)).cast("long") + 1)
+    span = F.substring("codes", (place * 4 + 1).cast("int"), F.lit(4 * WARM_SPAN)).alias("codes")
+    sample = turned.filter(F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1 << 30)) < share * (1 << 30)).select("turn", span).orderBy("turn").collect()
+    rng = np.random.default_rng(0)
+    if sample:
+        rows = vocabulary.contexts([bytes(x.codes) for x in sample])[0]
         for _ in range(6):
             model.train(rows[rng.permutation(len(rows))], rng, 0.3)
     copies = max(1, -(-int(unigram.sum()) // COPY_TOKENS))
-    coded = train.select("id", "text").mapInArrow(_codes(vocabulary), "id string, codes binary").withColumn("turn", F.xxhash64("id", "codes"))
-    dealt = coded.withColumn("copy", F.pmod("turn", F.lit(copies))).repartition(copies, "copy").sortWithinPartitions("copy", "turn").select("copy", "codes")
+    dealt = turned.withColumn("copy", F.pmod("turn", F.lit(copies)).cast("int")).repartitionById(copies, "copy").sortWithinPartitions("copy", "turn").select("copy", "codes")
     parts = scratch.save(dealt.mapInArrow(_train(model, vocabulary), "seen long, flat binary"), "parts")
     # Copies are added up in a tree, so each task adds a fixed number and the driver gets one sum.
     width, level = parts.count(), 0
@@ -382,51 +407,31 @@ def fit(train: DataFrame, vocabulary: Vocabulary, unigram: np.ndarray, scratch:
 
 def _score(vocabulary: Vocabulary, model: LogBilinear, tables, tail_log: np.ndarray):
     near_t, far_t, lnz = tables
-    log_c1 = np.log10(vocabulary.counts + 1.0)
+
+    def log10(codes: list[bytes]) -> np.ndarray:
+        """The model's log10 probability of each document but for the counts of rarer words, which a join adds."""
+        rows, got, starts = vocabulary.contexts(codes)
+        far, near, word, member = rows.T
+        ln = (near_t[near, word] + far_t[far, word] - lnz[far, near]).astype(np.float64)
+        inside = np.flatnonzero(member >= 0)
+        ln[inside] += model.members_ln(far[inside], near[inside], member[inside])
+        ln /= np.log(10)
+        rare = np.flatnonzero(got < 0)
+        ln[rare] -= tail_log[-1 - got[rare]]
+        return np.add.reduceat(ln, starts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = Codes(vocabulary.words)
-        hashed = xxhash.xxh64_intdigest
         for batch in batches:
-            n_tokens, n_known, lm, base, hashes, counts = [], [], [], [], [], []
-            waiting, size = [], 0
-
-            def members() -> None:
-                """Adds what the members of families give to the documents that wait for it."""
-                if waiting:
-                    far, near, member, doc = (np.concatenate(x) for x in zip(*waiting))
-                    sums = np.bincount(doc, weights=model.members_ln(far, near, member), minlength=len(lm))
-                    for i in np.flatnonzero(sums).tolist():
-                        lm[i] += float(sums[i]) / np.log(10)
-                    waiting.clear()
-
-            for text in batch.column(2).to_pylist():
-                toks = tokens(text)
-                got = places(toks, codes)
-                classes, member = vocabulary.outputs(got)
-                rows = context_rows(classes, vocabulary.end)
-                far, near = rows[:, 0], rows[:, 1]
-                ln = near_t[near, classes] + far_t[far, classes] - lnz[far, near]
-                known = got >= 0
-                n_known.append(int((vocabulary.counts[got[known]] > 0).sum()))
-                base.append(float(log_c1[got[known]].sum()))
-                # The counts of rarer words are added by a join.
-                lm.append(float(ln.sum(dtype=np.float64)) / np.log(10) - float(tail_log[-1 - got[~known]].sum()))
-                inside = np.flatnonzero(member >= 0)
-                waiting.append((far[inside].astype(np.int32), near[inside].astype(np.int32), member[inside].astype(np.int32), np.full(len(inside), len(lm) - 1, dtype=np.int32)))
-                size += len(inside)
-                if size > FLUSH:
-                    members()
-                    size = 0
-                tail = Counter([toks[i] for i in np.flatnonzero(~known).tolist()])
-                n_tokens.append(len(toks))
-                hashes.append(np.fromiter((hashed(w, 42) for w in tail), dtype=np.uint64, count=len(tail)).view(np.int64))
-                counts.append(list(tail.values()))
-            members()
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(lm, pa.float64()), pa.array(base, pa.float64()), pa.array(hashes, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int32()))],
-                names=["doc_id", "held_out", "n_tokens", "n_known", "lm", "base", "h", "n"],
-            )
+            codes, lm, at = batch.column(1).to_pylist(), [], 0
+            while at < len(codes):
+                end, size = at, 0
+                while end < len(codes) and (end == at or size < FLUSH):
+                    size += len(codes[end]) // 4
+                    end += 1
+                lm.append(log10(codes[at:end]))
+                at = end
+            if lm:
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(lm))], names=["uid", "lm"])
 
     return run
 
@@ -462,17 +467,18 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
         v_tail[x["shape"]] -= 1
     vocabulary = Vocabulary(rows, TOP, n_tail)
     # A class that the training side never shows still gets one pseudo-count.
-    model = fit(train.select("id", "text"), vocabulary, vocabulary.class_counts() + 1.0, scratch)
+    coded = scratch.save(picked.select("doc_id", "id", "held_out", "text").mapInArrow(_code(vocabulary), CODED).withColumn("uid", F.monotonically_increasing_id()), "coded")
+    model = fit(coded.filter(~F.col("held_out")).select("id", "codes"), vocabulary, vocabulary.class_counts() + 1.0, scratch)
     tail_log = np.log10(n_tail + v_tail + 1)
 
-    scored = scratch.save(picked.select("doc_id", "held_out", "text").mapInArrow(_score(vocabulary, model, model.tables(), tail_log), "doc_id long, held_out boolean, n_tokens long, n_known long, lm double, base double, h array<long>, n array<int>").withColumn("uid", F.monotonically_increasing_id()), "scored")
-    tail = scored.select("uid", F.explode(F.arrays_zip("h", "n")).alias("t")).select("uid", "t.h", "t.n")
+    scored = scratch.save(coded.select("uid", "codes").mapInArrow(_score(vocabulary, model, model.tables(), tail_log), "uid long, lm double"), "scored")
+    tail = coded.select("uid", F.explode(F.arrays_zip("h", "n")).alias("t")).select("uid", "t.h", "t.n")
     counts = counted.filter(~frequent).select("h", "c")
     joined = tail.join(counts, "h", "left").groupBy("uid").agg(
         F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 1.0)).alias("tail_log"), F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("tail_known")
     )
     none = F.lit(0)
-    out = scored.drop("h", "n").join(joined, "uid", "left")
+    out = coded.select("uid", "doc_id", "held_out", "n_tokens", "n_known", "base").join(scored, "uid").join(joined, "uid", "left")
     return out.select(
         "doc_id",
         "held_out",
