@@ -13,6 +13,14 @@ the remaining bits, which is exact by the same argument.
 
 A bucket emits a spanning star for each linked set, never its pairs;
 components of those edges equal components of all links.
+
+``similar_components`` takes a wider neighbourhood: fingerprints of 256 bits that
+agree in ``similarity`` of them (0.8: up to 51 bits differ).  No split into
+segments finds all of these, so the fingerprints are dealt out by several samples
+of their bits; the buckets are searched by the same index.  Sample size and number
+follow from the number of fingerprints, so that a link at the very limit is met with
+the same probability at any size (``REACH``; nearer links with more), and the cost
+grows with a power of about 1.3.
 """
 
 from __future__ import annotations
@@ -75,19 +83,25 @@ def gray_rank(word):
     return word
 
 
+def bits_in(words: np.ndarray) -> np.ndarray:
+    """Set bits of each row of one or several words."""
+    return np.bitwise_count(words).sum(axis=1, dtype=np.int64)
+
+
 class GrayIndex:
-    """Hierarchical index over uint64 words sorted by Gray rank."""
+    """Hierarchical index over rows of one or several uint64 words, sorted by Gray rank."""
 
     def __init__(self, words: np.ndarray, leaf: int = LEAF):
+        words = words if words.ndim > 1 else words[:, None]
         self.words = words
         self.levels = []
-        values, masks, counts = words, np.full(len(words), ~np.uint64(0)), len(words)
+        values, masks, counts = words, np.full(words.shape, ~np.uint64(0)), len(words)
         while counts > 1:
             starts = np.arange(0, counts, leaf)
-            first = np.repeat(values[starts], np.diff(np.append(starts, counts)))
-            firstmask = np.repeat(masks[starts], np.diff(np.append(starts, counts)))
+            first = np.repeat(values[starts], np.diff(np.append(starts, counts)), axis=0)
+            firstmask = np.repeat(masks[starts], np.diff(np.append(starts, counts)), axis=0)
             differ = (values ^ first) | ~masks | ~firstmask
-            shared = ~np.bitwise_or.reduceat(differ, starts)
+            shared = ~np.bitwise_or.reduceat(differ, starts, axis=0)
             self.levels.append((values, masks, starts, shared))
             values, masks, counts = values[starts] & shared, shared, len(starts)
         self.root = values, masks
@@ -95,10 +109,11 @@ class GrayIndex:
 
     def search(self, queries: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
         """Pairs (query number, word number) within the limit."""
+        queries = queries if queries.ndim > 1 else queries[:, None]
         q = np.arange(len(queries))
         node = np.zeros(len(queries), dtype=np.int64)
         value, mask = self.root
-        diff = np.bitwise_count((queries[q] ^ value[node]) & mask[node]).astype(np.int64)
+        diff = bits_in((queries[q] ^ value[node]) & mask[node])
         live = diff <= limit
         q, node, diff = q[live], node[live], diff[live]
         for values, masks, starts, shared in reversed(self.levels):
@@ -107,40 +122,51 @@ class GrayIndex:
             child = np.repeat(starts[node] - np.cumsum(size) + size, size) + np.arange(size.sum())
             q, parent, diff = np.repeat(q, size), np.repeat(node, size), np.repeat(diff, size)
             rest = masks[child] & ~shared[parent]
-            diff = diff + np.bitwise_count((queries[q] ^ values[child]) & rest)
+            diff = diff + bits_in((queries[q] ^ values[child]) & rest)
             live = diff <= limit
             q, node, diff = q[live], child[live], diff[live]
         return q, node
 
 
-def linked_stars(words: np.ndarray, limit: int = 2, block: int = 512) -> tuple[np.ndarray, np.ndarray]:
-    """(member, root) pairs that connect all words within the limit of each other; words sorted by Gray rank."""
-    n = len(words)
-    root = np.arange(n)
+class Union:
+    """Linked sets of numbered items, united by arrays of links; the smallest number names a set."""
 
-    def settle() -> None:
-        while np.any(root[root] != root):
-            root[:] = root[root]
+    def __init__(self, n: int):
+        self.root = np.arange(n)
 
-    def unite(a: np.ndarray, b: np.ndarray) -> None:
+    def unite(self, a: np.ndarray, b: np.ndarray) -> None:
+        root = self.root
         while len(a):
             x, y = root[a], root[b]
             apart = x != y
             a, b, x, y = a[apart], b[apart], x[apart], y[apart]
             np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
-            settle()
+            while np.any(root[root] != root):
+                root[:] = root[root]
+
+    def stars(self) -> tuple[np.ndarray, np.ndarray]:
+        moved = np.flatnonzero(self.root != np.arange(len(self.root)))
+        return moved, self.root[moved]
+
 
-    if n <= 64:
-        a, b = np.nonzero(np.triu(np.bitwise_count(words[:, None] ^ words[None, :]) <= limit, 1))
-        unite(a, b)
+def link(words: np.ndarray, limit: int, sets: Union, base: int = 0, block: int = 512) -> None:
+    """Unites all rows within the limit of each other; rows sorted by Gray rank, numbered from ``base``."""
+    index = GrayIndex(words)
+    for at in range(0, len(words), block):
+        a, b = index.search(index.words[at : at + block], limit)
+        a = a + at
+        sets.unite(a[a < b] + base, b[a < b] + base)
+
+
+def linked_stars(words: np.ndarray, limit: int = 2) -> tuple[np.ndarray, np.ndarray]:
+    """(member, root) pairs that connect all words within the limit of each other; words sorted by Gray rank."""
+    sets = Union(len(words))
+    if len(words) <= 64:
+        sets.unite(*np.nonzero(np.triu(np.bitwise_count(words[:, None] ^ words[None, :]) <= limit, 1)))
     else:
-        index = GrayIndex(words)
-        for at in range(0, n, block):
-            a, b = index.search(words[at : at + block], limit)
-            a = a + at
-            unite(a[a < b], b[a < b])
-    moved = root != np.arange(n)
-    return words[moved], words[root[moved]]
+        link(words, limit, sets)
+    moved, root = sets.stars()
+    return words[moved], words[root]
 
 
 def _search(limit: int):
@@ -235,3 +261,134 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     lows = named.groupBy("root").agg(F.min("low").alias("component_id"))
     index = scratch.save(named.join(lows, "root").select("fp", "root", "component_id"), "index")
     return marked.join(index, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "root", *([] if carry is None else ["carried"]))
+
+
+# ---- wider neighbourhoods -----------------------------------------------------------------
+
+BITS = 256
+#: Rows of a bucket up to which its pairs are compared side by side with other buckets'.
+SMALL = 64
+#: Chance that a link at the very limit meets in some sample; and the bits of a sample at least.
+REACH = 0.76
+SAMPLE_BITS = 14
+CHUNK = 1 << 16
+
+
+def wide_fingerprint(words: list[bytes], width: int) -> bytes:
+    """As ``fingerprint``, with the 256 bits of two XXH3-128 of each shingle."""
+    if not words:
+        return bytes(BITS // 8)
+    h = xxhash.xxh3_128_digest
+    shingles = [b" ".join(words)] if len(words) < width else list(map(b" ".join, zip(*(words[i:] for i in range(width)))))
+    votes = np.zeros(BITS, dtype=np.int64)
+    for at in range(0, len(shingles), 1 << 14):
+        part = shingles[at : at + (1 << 14)]
+        hashes = np.frombuffer(b"".join([h(x, 1) + h(x, 2) for x in part]), dtype=np.uint8).reshape(len(part), -1)
+        votes += np.unpackbits(hashes, axis=1).sum(axis=0, dtype=np.int64)
+    return np.packbits(votes * 2 > len(shingles)).tobytes()
+
+
+def _wide(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [wide_fingerprint(t.lower().split(), width) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary()), batch.column(2)], names=["doc_id", "fp", "carried"])
+
+    return run
+
+
+#: The Gray rank of the first 60 bits of a fingerprint, as SQL: each bit is the parity of itself and all higher bits.
+GRAY_BYTES = "aggregate(array(1, 2, 4, 8, 16, 32), cast(conv(substring(hex(fp), 1, 15), 16, 10) as long), (w, by) -> w ^ shiftrightunsigned(w, by))"
+
+
+def bit_samples(count: int, bits: int) -> list[np.ndarray]:
+    """Places of the bits of each sample; the same for every task."""
+    rng = np.random.default_rng(8)
+    return [np.sort(rng.permutation(BITS)[:bits]) for _ in range(count)]
+
+
+def _deal(count: int, bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        samples, weights = bit_samples(count, bits), np.int64(1) << np.arange(bits, dtype=np.int64)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            flat = np.unpackbits(np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype=np.uint8).reshape(batch.num_rows, -1), axis=1)
+            for i, places in enumerate(samples):
+                key = flat[:, places].astype(np.int64) @ weights
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(batch.num_rows, i), pa.int32()), pa.array(key), batch.column(0), batch.column(1)], names=["sample", "key", "node", "fp"])
+
+    return run
+
+
+def _search_wide(limit: int):
+    def emit(keys: np.ndarray, nodes: np.ndarray, words: np.ndarray) -> pa.RecordBatch:
+        cuts = np.flatnonzero(np.any(keys[1:] != keys[:-1], axis=1)) + 1
+        starts = np.append(0, cuts)
+        sizes = np.diff(np.append(starts, len(nodes)))
+        sets = Union(len(nodes))
+        bucket, size = np.repeat(np.arange(len(starts)), sizes), np.repeat(sizes, sizes)
+        for apart in range(1, min(SMALL, int(sizes.max()))):
+            a = np.flatnonzero((bucket[:-apart] == bucket[apart:]) & (size[:-apart] <= SMALL))
+            if len(a):
+                a = a[bits_in(words[a] ^ words[a + apart]) <= limit]
+                sets.unite(a, a + apart)
+        for s, n in zip(starts[sizes > SMALL], sizes[sizes > SMALL]):
+            link(words[s : s + n], limit, sets, s)
+        moved, root = sets.stars()
+        return pa.RecordBatch.from_arrays([pa.array(nodes[moved]), pa.array(nodes[root])], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
+        rows = 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.stack([np.asarray(batch.column(0)).astype(np.int64), np.asarray(batch.column(1))], axis=1)
+            words = np.frombuffer(b"".join(batch.column(3).to_pylist()), dtype=np.uint64).reshape(batch.num_rows, -1)
+            held.append([keys, np.asarray(batch.column(2)), words])
+            rows += batch.num_rows
+            if rows >= CHUNK:
+                keys, nodes, words = (np.concatenate(x) for x in zip(*held))
+                # All but the last bucket is complete.
+                last = np.flatnonzero(np.any(keys != keys[-1], axis=1))
+                at = int(last[-1]) + 1 if len(last) else 0
+                if at:
+                    yield emit(keys[:at], nodes[:at], words[:at])
+                held, rows = [[keys[at:], nodes[at:], words[at:]]], len(nodes) - at
+        if held:
+            yield emit(*(np.concatenate(x) for x in zip(*held)))
+
+    return run
+
+
+def similar_edges(words: DataFrame, count: int, similarity: float, bits: int | None = None) -> DataFrame:
+    """Edges (a, b) between nodes of ``words`` (node, fp: 32 bytes; ``count`` rows) whose fingerprints agree in ``similarity`` of their bits."""
+    limit = int(np.floor(BITS * (1 - similarity) + 1e-9))
+    bits = bits or max(SAMPLE_BITS, int(np.ceil(np.log2(max(count, 2)))) - 4)
+    samples = int(np.ceil(np.log(1 / (1 - REACH)) / similarity**bits))
+    dealt = words.select("node", "fp").mapInArrow(_deal(samples, bits), "sample int, key long, node long, fp binary")
+    dealt = dealt.withColumn("rank", F.expr(GRAY_BYTES)).repartition("sample", "key").sortWithinPartitions("sample", "key", "rank").drop("rank")
+    return dealt.mapInArrow(_search_wide(limit), "a long, b long")
+
+
+def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8, carry: Column | None = None) -> DataFrame:
+    """One row per input row: doc_id, root (the same number for all rows of a component) and ``carry`` as ``carried``.
+
+    Fingerprints of 256 bits over ``width``-word shingles link when they agree in
+    ``similarity`` of their bits.  Two texts whose sets of five-word shingles have
+    a Jaccard similarity of 0.8 differ in about 39 bits, unrelated ones in 128.
+    Null and empty texts have fingerprint zero and link like any other; repeated
+    rows give repeated results; an empty table gives an empty result.
+    """
+    spark = docs.sparkSession
+    scratch = Scratch(spark, "similar")
+    extra = F.lit(None).cast("long") if carry is None else carry
+    picked = docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).cast("binary").alias("text"), extra.alias("carried"))
+    schema = f"doc_id long, fp binary, carried {picked.schema['carried'].dataType.simpleString()}"
+    marked = scratch.save(picked.mapInArrow(_wide(width), schema), "marked")
+    words = scratch.save(marked.select("fp").distinct().withColumn("node", F.monotonically_increasing_id()), "words")
+    edges = scratch.save(similar_edges(words, words.count(), similarity).distinct(), "edges")
+    roots = connected_components(edges, scratch)
+    named = words.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("root"))
+    return marked.join(named, "fp").select("doc_id", "root", *([] if carry is None else ["carried"]))

@@ -148,6 +148,62 @@ def test_near_edges_reach_every_link(spark, hot):
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
 
 
+def edited(rng, words, n):
+    out = list(words)
+    for _ in range(n):
+        out[rng.randrange(len(out))] = rng.choice(["new", "other", "third"]) + str(rng.randrange(999))
+    return out
+
+
+@pytest.mark.parametrize("bits", [4, 14])
+def test_similar_components(spark, bits, monkeypatch):
+    """Near copies by five-word shingles against brute force over the fingerprints; a third of all rows is one dense group."""
+    monkeypatch.setattr(simhash, "SAMPLE_BITS", bits)
+    monkeypatch.setattr(simhash, "SMALL", 16)
+    rng = random.Random(7)
+    texts = []
+    for _ in range(60):
+        words = [f"w{rng.randrange(5000)}" for _ in range(rng.randrange(60, 400))]
+        texts += [" ".join(words), " ".join(edited(rng, words, len(words) // 60))]
+    base = [f"w{rng.randrange(5000)}" for _ in range(300)]
+    texts += [" ".join(edited(rng, base, 2)) for _ in range(60)] + [None, "", " ", "one", "one"]
+    df = spark.createDataFrame([(i % 50, t, "clash") for i, t in enumerate(texts)], "doc_id long, text string, fp string").repartition(5)
+    got = {}
+    for r in simhash.similar_components(df, carry=df["text"]).collect():
+        got.setdefault(r.root, []).append(str(r.carried))
+    prints = [simhash.wide_fingerprint((t or "").lower().encode().split(), 5) for t in texts]
+    words = np.array([np.frombuffer(p, dtype=np.uint64) for p in prints])
+    near = np.bitwise_count(words[:, None, :] ^ words[None, :, :]).sum(2) <= 51
+    root = list(range(len(texts)))
+    for _ in range(len(texts)):
+        low = [min(root[j] for j in np.flatnonzero(near[i])) for i in range(len(texts))]
+        if low == root:
+            break
+        root = low
+    want = {}
+    for t, r in zip(texts, root):
+        want.setdefault(r, []).append(str(t))
+    whole = sorted(map(sorted, want.values()))
+    found = sorted(map(sorted, got.values()))
+    assert sorted(sum(found, [])) == sorted(map(str, texts))
+    # Nothing unlike is linked; of what is alike at most a tenth is missed.
+    names = {x: i for i, g in enumerate(whole) for x in g}
+    assert all(len({names[x] for x in g}) == 1 for g in found)
+    assert len(found) - len(whole) <= 0.1 * (len(texts) - len(whole))
+    assert max(map(len, found)) >= 60
+    assert simhash.similar_components(df.limit(0)).count() == 0
+
+
+def test_wide_gray_index_matches_scan():
+    rng = np.random.default_rng(2)
+    base = rng.integers(0, 2**64, (10, 4), dtype=np.uint64)
+    words = np.concatenate([base ^ (np.uint64(1) << rng.integers(0, 64, (10, 4), dtype=np.uint64)) for _ in range(30)])
+    words = words[np.argsort(words[:, 0])]
+    a, b = simhash.GrayIndex(words, leaf=8).search(words, 8)
+    x, y = np.nonzero(np.bitwise_count(words[:, None] ^ words[None, :]).sum(2) <= 8)
+    assert sorted(zip(a.tolist(), b.tolist())) == sorted(zip(x.tolist(), y.tolist()))
+
+
 def test_gray_index_matches_scan():
     rng = np.random.default_rng(1)
     base = rng.integers(0, 2**64, 20, dtype=np.uint64)

