@@ -27,20 +27,29 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return judged.filter("keep").select("carried.*")
 
 
+def without(marked: DataFrame, gone: DataFrame, columns: list[str], scratch: Scratch) -> DataFrame:
+    """The rows of ``marked`` that are not in ``gone``.  What goes is written first, so that its size decides how it is joined."""
+    return marked.join(scratch.save(gone, "gone"), ROW, "left_anti").select(*columns)
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The row of each group of equal texts that has the longest original."""
-    marked = Scratch(spark, "stage-exact").save(docs.withColumn(ROW, F.monotonically_increasing_id()), "marked")
-    kept = exact.exact_dedup(marked, carry=marked[ROW]).filter("kept").select(F.col("carried").alias(ROW))
-    return marked.join(kept, ROW, "left_semi").select(*docs.columns)
+    scratch = Scratch(spark, "stage-exact")
+    marked = scratch.save(docs.withColumn(ROW, F.monotonically_increasing_id()), "marked")
+    gone = exact.exact_dedup(marked, carry=marked[ROW]).filter("not kept").select(F.col("carried").alias(ROW))
+    return without(marked, gone, docs.columns, scratch)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each SimHash component: that with the smallest id, null ids last."""
-    marked = Scratch(spark, "stage-near").save(docs.withColumn(ROW, F.monotonically_increasing_id()), "marked")
-    found = simhash.simhash_components(marked, carry=marked[ROW])
+    """One row of each SimHash component over five-word shingles at a similarity of 0.8: that with the smallest id, null ids last."""
+    scratch = Scratch(spark, "stage-near")
+    marked = scratch.save(docs.withColumn(ROW, F.monotonically_increasing_id()), "marked")
+    found = simhash.similar_components(marked, carry=marked[ROW])
     # Components are told apart by their root: two of them may have the same smallest id.
-    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", F.col("carried").alias(ROW))).alias("best"))
-    return marked.join(first.select(f"best.{ROW}"), ROW, "left_semi").select(*docs.columns)
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.col("carried").alias(ROW))
+    groups = found.groupBy("root").agg(F.count("*").alias("n"), F.min(order).alias("best")).filter("n > 1").select("root", F.col(f"best.{ROW}").alias("best"))
+    gone = found.join(groups, "root").filter("carried <> best").select(F.col("carried").alias(ROW))
+    return without(marked, gone, docs.columns, scratch)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
