@@ -267,10 +267,10 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 BITS = 256
 #: Rows of a bucket up to which its pairs are compared side by side with other buckets'.
-SMALL = 64
+SMALL = 256
 #: Chance that a link at the very limit meets in some sample; and the bits of a sample at least.
-REACH = 0.76
-SAMPLE_BITS = 14
+REACH = 0.95
+SAMPLE_BITS = 12
 CHUNK = 1 << 16
 
 
@@ -365,7 +365,7 @@ def _search_wide(limit: int):
 def similar_edges(words: DataFrame, count: int, similarity: float, bits: int | None = None) -> DataFrame:
     """Edges (a, b) between nodes of ``words`` (node, fp: 32 bytes; ``count`` rows) whose fingerprints agree in ``similarity`` of their bits."""
     limit = int(np.floor(BITS * (1 - similarity) + 1e-9))
-    bits = bits or max(SAMPLE_BITS, int(np.ceil(np.log2(max(count, 2)))) - 4)
+    bits = bits or max(SAMPLE_BITS, int(np.ceil(np.log2(max(count, 2)))) - 6)
     samples = int(np.ceil(np.log(1 / (1 - REACH)) / similarity**bits))
     dealt = words.select("node", "fp").mapInArrow(_deal(samples, bits), "sample int, key long, node long, fp binary")
     dealt = dealt.withColumn("rank", F.expr(GRAY_BYTES)).repartition("sample", "key").sortWithinPartitions("sample", "key", "rank").drop("rank")

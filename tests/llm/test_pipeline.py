@@ -53,7 +53,7 @@ def test_exact_stage(stages):
 def test_near_stage(stages):
     """No two kept rows are alike but for the few links that the samples miss, and no row goes without one that is like it."""
     rows = stages[2].collect()
-    prints = np.array([np.frombuffer(simhash.wide_fingerprint((r.text or "").lower().encode().split(), 5), dtype=np.uint64) for r in rows])
+    prints = np.array([np.frombuffer(simhash.wide_fingerprint((r.text or "").encode().lower().split(), 5), dtype=np.uint64) for r in rows])
     near = np.bitwise_count(prints[:, None, :] ^ prints[None, :, :]).sum(2) <= 51
     kept = Counter(map(key, stages[3].collect()))
     stays = np.zeros(len(rows), dtype=bool)
