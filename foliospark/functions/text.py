@@ -71,6 +71,13 @@ def page_metrics(pages: Column) -> dict[str, Column]:
     }
 
 
+def office_metrics(pages: Column) -> dict[str, Column]:
+    """Metrics of converted office files: those of pages, the longest page, and low text by a fixed bound."""
+    base = page_metrics(pages)
+    longest = F.array_max(F.transform(pages, lambda p: F.length(F.coalesce(p, F.lit("")))))
+    return base | {"max_page_characters": F.coalesce(longest, F.lit(0)).cast("long"), "low_text": base["nonspace_characters"] < 100}
+
+
 def grade(pages: Column, dense: Column, replacements: Column, empty_pages: Column) -> Column:
     """Quality ladder: empty, garbled, gappy, thin, ok; the first that holds."""
     return (

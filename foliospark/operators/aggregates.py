@@ -150,3 +150,14 @@ def most_common(df: DataFrame, label: str, top: int, first: str | None = None) -
     """The ``top`` most frequent labels with their counts; ties by first appearance in ``first``, else by label."""
     seen = F.min(first) if first else F.min(label)
     return df.groupBy(label).agg(F.count("*").alias("n"), seen.alias("_first")).orderBy(F.desc("n"), "_first").limit(top).drop("_first")
+
+
+def audit_summary(df: DataFrame, status: str, size: str, flags: dict[str, Column]) -> DataFrame:
+    """Rows of measure and value: status histogram, flag sums, total, maximum and exact percentiles of a size."""
+    value = lambda c: F.col(c).cast("double").alias("value")
+    histogram = df.groupBy(status).agg(F.count("*").alias("n")).select(F.concat(F.lit("status:"), status).alias("measure"), value("n"))
+    sums = {**{n: F.count_if(c) for n, c in flags.items()}, "total": F.sum(size), "max": F.max(size)}
+    whole = df.agg(*[c.cast("double").alias(n) for n, c in sums.items()]).unpivot([], list(sums), "measure", "value")
+    ranks = nearest_rank_percentiles(df, size, {"p50": 0.5, "p90": 0.9, "p99": 0.99})
+    ranked = ranks.select(*[F.col(c).cast("double").alias(c) for c in ranks.columns]).unpivot([], ["p50", "p90", "p99"], "measure", "value")
+    return histogram.unionByName(whole).unionByName(ranked)

@@ -89,3 +89,47 @@ def same_stats_or_error(df: DataFrame, message: str) -> None:
     first = df.limit(1).collect()
     if first:
         raise AssertionError(f"{message}: {first[0].asDict()}")
+
+
+def hash_triangle(files: DataFrame, manifest: DataFrame, index: DataFrame, key: str, digest: str) -> DataFrame:
+    """Counts over three sides that should hold the same hash of each key: what a side lacks, and which pairs disagree."""
+    sides = {"file": files, "manifest": manifest, "index": index}
+    tagged = [df.select(key, F.lit(n).alias("_side"), F.col(digest).alias("_d")) for n, df in sides.items()]
+    # One grouping for all sides; a key has at most a row of each.
+    pick = lambda n: F.max(F.when(F.col("_side") == n, F.col("_d"))).alias(n)
+    rows = reduce(DataFrame.unionByName, tagged).groupBy(key).agg(*map(pick, sides))
+    differ = lambda a, b: F.count_if(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
+    return rows.agg(
+        *[F.count_if(F.col(n).isNull()).alias(f"missing_{n}") for n in sides],
+        differ("file", "manifest").alias("file_manifest"),
+        differ("manifest", "index").alias("manifest_index"),
+        differ("file", "index").alias("file_index"),
+        F.count_if((F.col("file") == F.col("manifest")) & (F.col("manifest") == F.col("index"))).alias("agree"),
+    )
+
+
+def fact_faults(claims: DataFrame, truth: DataFrame, key: str, value: str) -> DataFrame:
+    """Displayed facts whose value is not the computed one, unknown facts, and computed facts that no document shows."""
+    a = claims.select(key, F.replace(F.trim(value), F.lit(","), F.lit("")).try_cast("decimal(38,10)").alias("_shown"), F.lit(True).alias("_a"))
+    b = truth.select(key, F.col(value).cast("decimal(38,10)").alias("_true"), F.lit(True).alias("_b"))
+    fault = F.when(F.col("_b").isNull(), "unknown-fact").when(F.col("_a").isNull(), "not-shown").when(~F.col("_shown").eqNullSafe(F.col("_true")), "wrong-value")
+    return a.join(b, key, "full").withColumn("fault", fault).filter("fault is not null").select(key, "fault")
+
+
+def summary_faults(stored: DataFrame, computed: DataFrame, key: str, fields: list[str], tolerance: float = 1e-9) -> DataFrame:
+    """Keys and fields in which a stored summary is not what its detail gives; a key of one side only is a fault of every field."""
+    a = stored.select(key, *[F.col(c).cast("double").alias(f"s_{c}") for c in fields])
+    b = computed.select(key, *[F.col(c).cast("double").alias(f"c_{c}") for c in fields])
+    same = lambda c: F.coalesce(F.abs(F.col(f"s_{c}") - F.col(f"c_{c}")) <= tolerance, F.col(f"s_{c}").isNull() & F.col(f"c_{c}").isNull())
+    names = F.array_compact(F.array(*[F.when(~same(c), F.lit(c)) for c in fields]))
+    return a.join(b, key, "full").select(key, F.explode(names).alias("field"))
+
+
+def journal_faults(journal: DataFrame, manifest: DataFrame, exclusions: DataFrame, key: str) -> DataFrame:
+    """Keys that break journal = manifest + exclusions: journalled only, not journalled, and in both of the other two; one grouping."""
+    sides = {"j": journal, "m": manifest, "x": exclusions}
+    rows = reduce(DataFrame.unionByName, [df.select(key, F.lit(n).alias("_s")) for n, df in sides.items()])
+    has = {n: F.count_if(F.col("_s") == n) > 0 for n in sides}
+    held = rows.groupBy(key).agg(*[c.alias(n) for n, c in has.items()])
+    fault = F.when(F.col("m") & F.col("x"), "excluded-but-listed").when(F.col("j") & ~F.col("m") & ~F.col("x"), "journalled-only").when(~F.col("j"), "not-journalled")
+    return held.withColumn("fault", fault).filter("fault is not null").select(key, "fault")

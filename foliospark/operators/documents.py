@@ -108,3 +108,8 @@ def update_front_matter(df: DataFrame, meta: str, values: dict[str, Column]) ->
     for k, v in values.items():
         same = same & F.col(meta)[k].eqNullSafe(v)
     return df.withColumn("updated", F.when(there, merged).otherwise(F.raise_error(F.lit("a canonical key is missing")).cast("map<string,string>"))).withColumn("changed", ~same)
+
+
+def published_or_derived(df: DataFrame, materialised: Column, pairs: dict[str, tuple[str, str]]) -> DataFrame:
+    """Fields of materialised documents as published, of others as derived; published values are not classified again."""
+    return df.select(*df.columns, *[F.when(materialised, F.col(published)).otherwise(F.col(derived)).alias(name) for name, (published, derived) in pairs.items()])

@@ -77,6 +77,18 @@ def download_candidates(files: DataFrame, status: str, retry_failed: bool) -> Da
     return files.filter(F.col(status).isin(["pending", "failed"] if retry_failed else ["pending"]))
 
 
+def replay_with_outputs(journal: DataFrame, outputs: DataFrame, key: str, order: list[str], ok: str, output: str) -> DataFrame:
+    """As ``replay_journal``, but a success counts only if its output is in the listing (column ``output``)."""
+    there = outputs.select(output).distinct().withColumn("_there", F.lit(True))
+    checked = journal.join(there, output, "left").withColumn(ok, F.coalesce(F.col(ok), F.lit(False)) & F.col("_there").isNotNull()).drop("_there")
+    return replay_journal(checked, key, order, ok)
+
+
+def summarise_sources(files: DataFrame, sources: str, size: str) -> DataFrame:
+    """As ``summarise``, a file once for each of its sources."""
+    return summarise(files.withColumn("_source", F.explode(F.array_distinct(sources))).withColumnRenamed("_source", "source"), "source", size)
+
+
 def next_status(attempted, blocked, ok):
     """pending -> blocked, downloaded or failed."""
     return F.when(~attempted, "pending").when(blocked, "blocked").when(ok, "downloaded").otherwise("failed")

@@ -214,25 +214,48 @@ def risk_reasons(contained: Column, uncertain: Column, sensitive: Column) -> Col
     return F.array_compact(F.array(F.when(contained, "mixed-container"), F.when(uncertain, "low-confidence"), F.when(sensitive, "sensitive-title")))
 
 
-# Ordered classes of workbooks by parts of the URL or of the file name.
+# Ordered classes of workbooks by parts of the URL or of the file name, each with its reason.
 WORKBOOKS = (
-    ("url", ("chartpack", "/publications/quarterly-bulletins/", "/research-exchange/staff-insights/", "/financial-conditions-of-credit-unions/"), "research_supporting_data"),
-    ("url", ("reporting-template", "reporting_template", "return-template", "/reporting-requirements/", "/statistical-reporting-requirements/"), "regulatory_reporting_template"),
-    ("name", ("application", "questionnaire", "sign-off", "submission-form", "-form.", "_form."), "application_or_form"),
-    ("url", ("/forms", "beneficial-ownership-form", "self-reporting", "insider-list"), "application_or_form"),
-    ("url", ("taxonomy", "validation", "business-rules", "known-issues", "dpm_dictionary", "dpm-dictionary", "schema_excel", "data-quality-checks"), "regulatory_taxonomy_or_validation"),
-    ("url", ("outsourcing-register", "/resolution/bifr/", "daofi-mcr"), "regulatory_reporting_template"),
-    ("url", ("covered-bond-programmes", "asset-covered-securities", "net-short-positions", "/regulation/psd2/article-"), "official_list_or_disclosure"),
-    ("url", ("/statistics/data-and-analysis/", "/statistics/interest-rates-exchange-rates/", "/statistics/statistical-publications/", "/statistics/frontier-statistics/", "/financial-system/access-to-cash/", "public-data", "publishing-dashboard", "levels-of-compliance", "securities-lending-isins"), "published_data"),
-    ("name", ("template", "return", "schedule"), "regulatory_reporting_template"),
-)
+    ("url", ("chartpack", "/publications/quarterly-bulletins/", "/research-exchange/staff-insights/", "/financial-conditions-of-credit-unions/"), "research_supporting_data", "Research/publication supporting data or chartpack"),
+    ("url", ("reporting-template", "reporting_template", "return-template"), "regulatory_reporting_template", "URL identifies a reporting/return template"),
+    ("url", ("/reporting-requirements/", "/statistical-reporting-requirements/"), "regulatory_reporting_template", "Located under reporting requirements"),
+    ("name", ("application", "questionnaire", "sign-off", "submission-form"), "application_or_form", "Filename identifies an application/form/questionnaire"),
+    ("url", ("/forms",), "application_or_form", "Located in forms or filename identifies a form"),
+    ("name", ("-form.", "_form."), "application_or_form", "Located in forms or filename identifies a form"),
+    ("url", ("beneficial-ownership-form", "self-reporting", "insider-list"), "application_or_form", "URL identifies a form or submission list"),
+    ("url", ("taxonomy", "validation", "business-rules", "known-issues", "dpm_dictionary", "dpm-dictionary", "schema_excel", "data-quality-checks"), "regulatory_taxonomy_or_validation", "URL identifies taxonomy, validation or business-rule metadata"),
+    ("url", ("outsourcing-register", "/resolution/bifr/", "daofi-mcr"), "regulatory_reporting_template", "URL identifies a regulatory register or return"),
+    ("url", ("covered-bond-programmes", "asset-covered-securities", "net-short-positions", "/regulation/psd2/article-"), "official_list_or_disclosure", "URL identifies a published regulatory list/disclosure"),
+    ("url", ("/statistics/data-and-analysis/", "/statistics/interest-rates-exchange-rates/", "/statistics/statistical-publications/", "/statistics/frontier-statistics/", "/financial-system/access-to-cash/", "public-data", "publishing-dashboard", "levels-of-compliance", "securities-lending-isins"), "published_data", "Located in a published-data area"),
+    ("name", ("template", "return", "schedule"), "regulatory_reporting_template", "Filename identifies a template/return/schedule"),
+)
+OTHER_WORKBOOK = ("other_workbook", "No deterministic URL classification matched")
+
+
+def workbook_class(url: Column) -> Column:
+    """Struct of a workbook's class and the reason for it; the first that holds."""
+    whole = F.lower(url)
+    parts = {"url": whole, "name": F.substring_index(F.substring_index(whole, "/", -1), "?", 1)}
+    both = lambda label, reason: F.struct(F.lit(label).alias("category"), F.lit(reason).alias("reason"))
+    out = F.when(F.lit(False), both("", ""))
+    for where, words, label, reason in WORKBOOKS:
+        out = out.when(contains_any(parts[where], words), both(label, reason))
+    return out.otherwise(both(*OTHER_WORKBOOK))
 
 
 def workbook_category(url: Column) -> Column:
-    """Class of a workbook; the first that holds."""
-    whole = F.lower(url)
-    parts = {"url": whole, "name": F.substring_index(F.substring_index(whole, "/", -1), "?", 1)}
-    out = F.when(F.lit(False), "")
-    for where, words, label in WORKBOOKS:
-        out = out.when(contains_any(parts[where], words), label)
-    return out.otherwise("other_workbook")
+    return workbook_class(url)["category"]
+
+
+# Bodies and titles whose mention sends a document to a manual look.
+SENSITIVE = (
+    r"(?i)\b(?:imf|international monetary fund|world bank|oecd|ecb|european central bank|european commission|esma|eiopa|eba|ifsat|appeal tribunal|tribunal|court"
+    r"|mr justice|mrs justice|justice [a-z]|prof(?:essor)?\.? [a-z])\b"
+)
+
+
+def review_queue(df: DataFrame, sha: str, contained: Column, uncertain: Column, texts: list[str]) -> DataFrame:
+    """Rows with a reason for a manual look, their reasons joined, in order of hash."""
+    joined = F.concat_ws(" ", *texts)
+    out = df.withColumn("reasons", F.array_join(risk_reasons(contained, uncertain, joined.rlike(SENSITIVE)), "; "))
+    return out.filter(F.col("reasons") != "").orderBy(sha)

@@ -253,6 +253,12 @@ def quota_bundle(pages: DataFrame, queries: list[str], voice: str, quotas: dict[
     return top.groupBy(*key, voice).agg(F.min("query_index").alias("query_index"), F.min_by("score", "query_index").alias("score"))
 
 
+def rendered(rank: Column, title: Column, page: Column, url: Column, snippet_: Column, ocr: Column) -> Column:
+    """A search hit as three lines of text."""
+    head = F.concat(rank.cast("string"), F.lit(". "), F.coalesce(F.nullif(title, F.lit("")), F.lit("(untitled)")), F.lit(" - page "), page.cast("string"), F.when(ocr, " [OCR]").otherwise(""))
+    return F.concat(head, F.lit("\n   "), url, F.lit("\n   "), F.replace(snippet_, F.lit("\n"), F.lit(" ")))
+
+
 def snippet(phrases: list[str], width: int = 36, marks: tuple[str, str] = ("[", "]"), dots: str = " ... "):
     """A pandas UDF: the window of ``width`` words that holds most phrase hits, with those marked."""
     wanted = [p.split() for p in phrases]

@@ -729,4 +729,4 @@ def journal_stream(spark, d):
 
 
 # The other registered queries; they take their helpers from this module.
-from foliospark.plans import analyses, rows  # noqa: E402, F401
+from foliospark.plans import analyses, integrity, rows  # noqa: E402, F401
