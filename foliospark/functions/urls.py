@@ -160,6 +160,23 @@ def sitemap_locations(xml: Column) -> Column:
     return F.transform(F.regexp_extract_all(xml, F.lit(r"(?i)<loc>\s*([^<]+?)\s*</loc>")), decode_xml)
 
 
+def sitemap_closure(documents: DataFrame, start: list[str], most: int = 100) -> DataFrame:
+    """Page addresses under the start sitemaps, following sitemap indexes in ``documents`` (url, xml); at most ``most`` files are opened.
+
+    Opened addresses are a bounded list, so they are kept on the driver; pages are not.
+    """
+    parsed = documents.select("url", F.col("xml").rlike(r"(?i)<sitemapindex[\s>]").alias("is_index"), sitemap_locations(F.col("xml")).alias("locations"))
+    opened: list[str] = []
+    queue = list(dict.fromkeys(start))
+    while queue and len(opened) < most:
+        fresh = queue[: most - len(opened)]
+        opened += fresh
+        children = parsed.filter(F.col("url").isin(fresh) & F.col("is_index")).select(F.explode("locations").alias("l")).distinct().filter(~F.col("l").isin(opened)).orderBy("l").limit(most).collect()
+        queue = [r.l for r in children]
+    pages = parsed.filter(F.col("url").isin(opened) & ~F.col("is_index"))
+    return pages.select(F.explode("locations").alias("url")).distinct()
+
+
 def raw_links(html: Column) -> Column:
     """Values of link attributes in page order, decoded, without fragments-only and non-web schemes."""
     pattern = r"""(?i)\s(?:href|src|data-src|data-href)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""

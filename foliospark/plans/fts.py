@@ -147,6 +147,20 @@ def with_norms(pages: DataFrame, text: str = "text", title: str | None = None) -
     return out.withColumn("title_norm", normalised(F.coalesce(F.col(title), F.lit(""))) if title else F.lit("  "))
 
 
+def write_index(pages: DataFrame, path: str, key: list[str], text: str = "text", title: str | None = None) -> None:
+    """The index as a Parquet table: normalised title and text and their token counts beside every column, sorted by key.
+
+    It is written whole each time, so a rebuild of the same pages holds the same rows.
+    """
+    norms = with_norms(pages, text, title)
+    counted = norms.withColumn("token_count", tokens_of(F.col("title_norm")) + tokens_of(F.col("text_norm")))
+    counted.repartitionByRange(*key).sortWithinPartitions(*key).write.mode("overwrite").option("compression", "zstd").parquet(path)
+
+
+def read_index(spark, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
 def bm25_many(pages: DataFrame, queries: dict[str, str], keep: list[str], title_weight: float = 1.0, k1: float = 1.2, b: float = 0.75) -> DataFrame:
     """One row for each (query, matching row) of ``with_norms`` output: the kept columns, ``query`` and ``score``; lower is better.
 
@@ -158,7 +172,7 @@ def bm25_many(pages: DataFrame, queries: dict[str, str], keep: list[str], title_
     at = {p: i for i, p in enumerate(phrases)}
     title, text = F.col("title_norm"), F.col("text_norm")
     counted = pages.select(
-        *keep, "title_norm", "text_norm", (tokens_of(title) + tokens_of(text)).alias("_len"), *[(F.lit(float(title_weight)) * phrase_count(title, p) + phrase_count(text, p)).alias(f"_f{i}") for p, i in at.items()]
+        *keep, "title_norm", "text_norm", (F.col("token_count") if "token_count" in pages.columns else tokens_of(title) + tokens_of(text)).alias("_len"), *[(F.lit(float(title_weight)) * phrase_count(title, p) + phrase_count(text, p)).alias(f"_f{i}") for p, i in at.items()]
     )
     stats = counted.agg(F.count("*").alias("_n"), F.avg("_len").alias("_avg"), *[F.count_if(F.col(f"_f{i}") > 0).alias(f"_n{i}") for i in at.values()])
 
@@ -179,7 +193,7 @@ def bm25_many(pages: DataFrame, queries: dict[str, str], keep: list[str], title_
 
 def bm25(pages: DataFrame, query: str, title_weight: float = 1.0) -> DataFrame:
     """Matching rows of ``with_norms`` output with ``score``."""
-    kept = [c for c in pages.columns if c not in ("title_norm", "text_norm")]
+    kept = [c for c in pages.columns if c not in ("title_norm", "text_norm", "token_count")]
     return bm25_many(pages, {"q": query}, kept, title_weight).drop("query")
 
 

@@ -16,6 +16,7 @@ from foliospark.operators import sequences as S
 from foliospark.plans import fts
 from foliospark.plans.registry import DOC_SOURCE, SQL_GRADES, SQL_HOST, SQL_PATH, SQL_SPACE, _graded, has, query, sql_bm25, t
 from foliospark.plans.rows import case, quoted, shaped
+from foliospark.sources import binary
 
 
 @query(f"""WITH {sql_bm25(DOC_SOURCE, 'doc_id', ['the'], has('the'))}, top AS (SELECT doc_id, row_number() OVER (ORDER BY score, doc_id) AS k FROM scored ORDER BY score, doc_id LIMIT 20)
@@ -153,3 +154,29 @@ def page_candidates(spark, d):
     url = F.col("url")
     rows = t(spark, d, "pages").filter(U.host(url).rlike(r"(^|\.)example\.(com|org)$") & U.path(url).startswith("/") & U.extension(url).isin("html", "pdf"))
     return rows.select("page_id").orderBy("page_id").limit(40)
+
+
+# ---- profiles of parsed files, on rows of the events table ------------------------------------
+
+
+@query("""WITH e AS (SELECT event_type AS path, 't' || (user_id % 37) AS tag, CASE WHEN event_id % 3 = 0 THEN 'urn:a' ELSE 'urn:b' END AS ns, event_id % 9 + 1 AS depth, CASE WHEN event_id % 5 = 0 THEN 'text ' || (event_id % 40) END AS text FROM events),
+n AS (SELECT path, tag, count(*) AS n FROM e GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY path ORDER BY n DESC, tag) AS k FROM n), h AS (SELECT path, array_to_string(list(tag || ':' || n ORDER BY k), ',') AS names FROM r WHERE k <= 20 GROUP BY path),
+t AS (SELECT path, array_to_string(list(text ORDER BY text), ',') AS samples FROM (SELECT path, text, row_number() OVER (PARTITION BY path ORDER BY text) AS k FROM (SELECT DISTINCT path, text FROM e WHERE text IS NOT NULL)) WHERE k <= 15 GROUP BY path)
+SELECT e.path, count(*) AS elements, max(depth) AS max_depth, array_to_string(list_sort(list(DISTINCT ns)), ',') AS namespaces, any_value(h.names) AS names, any_value(t.samples) AS samples FROM e JOIN h ON e.path = h.path LEFT JOIN t ON e.path = t.path GROUP BY e.path""")
+def xml_profile(spark, d):
+    elements = shaped(spark, d, "events", path="event_type", tag="'t' || (user_id % 37)", namespace="CASE WHEN event_id % 3 = 0 THEN 'urn:a' ELSE 'urn:b' END", depth="event_id % 9 + 1", text="CASE WHEN event_id % 5 = 0 THEN 'text ' || (event_id % 40) END")
+    out = binary.xml_profile(elements)
+    return out.select("path", "elements", "max_depth", *[F.array_join(c, ",").alias(c) for c in ("namespaces", "names", "samples")])
+
+
+@query("""SELECT path, member, bytes, place FROM (SELECT event_type AS path, 'm' || event_id AS member, event_id * 7919 % 100000 AS bytes, row_number() OVER (PARTITION BY event_type ORDER BY event_id * 7919 % 100000 DESC, 'm' || event_id) AS place FROM events) WHERE place <= 120""")
+def largest_members(spark, d):
+    members = shaped(spark, d, "events", path="event_type", member="'m' || event_id", bytes="event_id * 7919 % 100000")
+    return binary.largest_members(members).select("path", "member", "bytes", F.col("place").cast("long").alias("place"))
+
+
+@query("""WITH s AS (SELECT n_regionkey AS r, n_name AS sheet, n_nationkey % 3 <> 0 AS visible, n_nationkey * 3 AS filled FROM nation)
+SELECT 'book' || r AS path, count(*) AS sheets, count(*) FILTER (visible) AS visible_sheets, CAST(sum(filled) AS BIGINT) AS filled, array_to_string(list_sort(list(sheet)), ' | ') AS names, left(array_to_string(list('a ' || sheet || ' | b' ORDER BY sheet), ' | '), 40) AS sample FROM s GROUP BY r""")
+def workbook_summary(spark, d):
+    sheets = t(spark, d, "nation").select(F.concat(F.lit("book"), "n_regionkey").alias("path"), F.col("n_name").alias("sheet"), (F.col("n_nationkey") % 3 != 0).alias("visible"), (F.col("n_nationkey") * 3).cast("long").alias("filled"), F.lit(0).alias("numeric"), F.lit(0).alias("formulas"), F.array(F.concat(F.lit("a "), "n_name"), F.lit("b")).alias("texts"))
+    return binary.workbook_summary(sheets, 40).select("path", "sheets", "visible_sheets", "filled", "names", "sample")

@@ -13,10 +13,11 @@ import time
 import zipfile
 from collections import Counter
 from collections.abc import Callable, Iterator
+from html import unescape
 from xml.etree import ElementTree
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -106,18 +107,48 @@ def docx_pages(content: bytes) -> list[str]:
 
 
 def pptx_pages(content: bytes) -> list[str]:
-    """One page for each slide, its notes at the end."""
+    """One page for each slide: paragraphs and tables in shape order, notes at the end."""
+
+    def paragraphs(node) -> str:
+        return "\n".join("".join(t.text or "" for t in p.iter(f"{A}t")) for p in node.iter(f"{A}p")).strip()
+
+    def shapes(node) -> list[str]:
+        out = []
+        for child in node:
+            if child.tag.endswith("}grpSp"):
+                out += shapes(child)
+            elif child.tag.endswith("}graphicFrame"):
+                for row in child.iter(f"{A}tr"):
+                    out.append("| " + " | ".join(" ".join(paragraphs(c).split()) for c in row.iter(f"{A}tc")) + " |")
+            elif child.tag.endswith("}sp"):
+                out.append(paragraphs(child))
+        return out
+
     with zipfile.ZipFile(io.BytesIO(content)) as z:
         names = set(z.namelist())
         slides = sorted((n for n in names if re.fullmatch(r"ppt/slides/slide\d+\.xml", n)), key=lambda n: int(re.findall(r"\d+", n)[-1]))
-        text = lambda n: "\n".join("".join(t.text or "" for t in p.iter(f"{A}t")) for p in ElementTree.fromstring(z.read(n)).iter(f"{A}p")).strip()
         out = []
         for n in slides:
+            root = ElementTree.fromstring(z.read(n))
+            tree = next((e for e in root.iter() if e.tag.endswith("}spTree")), None)
+            text = paragraphs(root) if tree is None else "\n".join(x for x in shapes(tree) if x)
             notes = n.replace("slides/slide", "notesSlides/notesSlide")
-            out.append(text(n) + (f"\n\n## notes\n{text(notes)}" if notes in names and text(notes) else ""))
+            spoken = paragraphs(ElementTree.fromstring(z.read(notes))) if notes in names else ""
+            out.append(text + (f"\n\n## notes\n{spoken}" if spoken else ""))
     return out
 
 
+def docx_runs(content: bytes) -> list[str]:
+    """The text of a DOCX whose body is no well-formed XML: its runs in order, one pseudo-page."""
+    with zipfile.ZipFile(io.BytesIO(content)) as z:
+        body = z.read("word/document.xml").decode("utf-8", "replace")
+    paragraphs = ["".join(unescape(t) for t in re.findall(r"<w:t(?:\s[^>]*)?>([^<]*)</w:t>", p)) for p in re.split(r"</w:p>", body)]
+    found = "\n".join(p for p in paragraphs if p.strip())
+    if not found:
+        raise ValueError("no text runs")
+    return [found]
+
+
 def printable_runs(content: bytes) -> list[str]:
     """Readable runs of a legacy container: 20 bytes or more, mostly ASCII, ten letters at least, in order."""
     out = []
@@ -135,22 +166,33 @@ CONVERTERS: dict[str, tuple[str, str, Callable[[bytes], list[str]]]] = {
 }
 
 
-def convert(files: DataFrame, converters: dict = CONVERTERS) -> DataFrame:
-    """One row for each page of each file, or one with an error; engines for other formats can be passed in."""
+#: Engines that a format falls back to, in the shape of CONVERTERS.
+FALLBACKS: dict[str, tuple[str, str, Callable[[bytes], list[str]]]] = {"DOCX": ("text-runs", "single-pseudo-page", docx_runs)}
+
+
+def convert(files: DataFrame, converters: dict = CONVERTERS, fallbacks: dict = FALLBACKS) -> DataFrame:
+    """One row for each page of each file, or one with an error; engines for other formats can be passed in.
+
+    Where an engine fails, the format's fallback is tried; if that fails too, the row names both errors.
+    """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = []
             for path, sha, content in zip(frame.path, frame.sha256, frame.content):
                 kind, began = sniff(bytes(content)), time.perf_counter()
-                engine, basis, f = converters.get(kind, ("none", "none", None))
-                try:
-                    if f is None:
-                        raise ValueError(f"no engine for {kind}")
-                    pages = f(bytes(content))
-                    rows += [(path, sha, engine, basis, time.perf_counter() - began, None, i + 1, p) for i, p in enumerate(pages)]
-                except Exception as e:  # noqa: BLE001 - the error is the row's result
-                    rows.append((path, sha, engine, basis, time.perf_counter() - began, f"{type(e).__name__}: {e}", None, None))
+                errors = []
+                for engine, basis, f in [e for e in (converters.get(kind), fallbacks.get(kind)) if e] or [("none", "none", None)]:
+                    try:
+                        if f is None:
+                            raise ValueError(f"no engine for {kind}")
+                        pages = f(bytes(content))
+                        rows += [(path, sha, engine, basis, time.perf_counter() - began, None, i + 1, p) for i, p in enumerate(pages)]
+                        break
+                    except Exception as e:  # noqa: BLE001 - the error is the row's result
+                        errors.append(f"{type(e).__name__}: {e}" if not errors else f"{engine}: {type(e).__name__}: {e}")
+                else:
+                    rows.append((path, sha, engine, basis, time.perf_counter() - began, "; ".join(errors), None, None))
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in PAGES.split(", ")]).astype({"page_number": "Int32"})
 
     return files.select("path", "sha256", "content").mapInPandas(run, PAGES)
@@ -186,6 +228,35 @@ def suffix_profile(members: DataFrame) -> DataFrame:
     return members.groupBy("path", "suffix").agg(F.count("*").alias("members"), F.sum("bytes").alias("bytes"))
 
 
+def largest_members(members: DataFrame, top: int = 120) -> DataFrame:
+    """The ``top`` largest members of each archive with their place; ties by name."""
+    order = Window.partitionBy("path").orderBy(F.desc("bytes"), "member")
+    return members.filter(F.col("member").isNotNull()).withColumn("place", F.row_number().over(order)).filter(F.col("place") <= top)
+
+
+def xml_profile(elements: DataFrame, top: int = 20, samples: int = 15) -> DataFrame:
+    """Per file: elements, greatest depth, the ``top`` commonest local names, namespaces and first texts of ``xml_elements`` rows.
+
+    Names are counted before they are ranked, and only what stays is collected.
+    """
+    names = elements.groupBy("path", "tag").agg(F.count("*").alias("n"))
+    ranked = names.withColumn("_k", F.row_number().over(Window.partitionBy("path").orderBy(F.desc("n"), "tag"))).filter(F.col("_k") <= top)
+    histogram = ranked.groupBy("path").agg(F.transform(F.array_sort(F.collect_list(F.struct("_k", "tag", "n"))), lambda x: F.concat_ws(":", x["tag"], x["n"].cast("string"))).alias("names"))
+    texts = elements.filter("text is not null").groupBy("path", "text").agg(F.count("*").alias("_c")).withColumn("_k", F.row_number().over(Window.partitionBy("path").orderBy("text"))).filter(F.col("_k") <= samples)
+    texts = texts.groupBy("path").agg(F.array_sort(F.collect_list("text")).alias("samples"))
+    whole = elements.groupBy("path").agg(F.count("*").alias("elements"), F.max("depth").alias("max_depth"), F.array_sort(F.collect_set("namespace")).alias("namespaces"))
+    return whole.join(histogram, "path").join(texts, "path", "left")
+
+
+def workbook_summary(sheets: DataFrame, cap: int = 4000) -> DataFrame:
+    """Per workbook: sheets, visible ones, sums of cells, sheet names joined and sample texts up to ``cap`` characters."""
+    named = F.array_sort(F.collect_list("sheet"))
+    texts = F.array_join(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("sheet", "texts"))), lambda s: s["texts"])), " | ")
+    return sheets.filter(F.col("sheet").isNotNull()).groupBy("path").agg(
+        F.count("*").alias("sheets"), F.count_if("visible").alias("visible_sheets"), F.sum("filled").alias("filled"), F.sum("numeric").alias("numeric"), F.sum("formulas").alias("formulas"), F.array_join(named, " | ").alias("names"), F.left(texts, F.lit(cap)).alias("sample")
+    )
+
+
 def choose_encoding(content: bytes) -> str:
     if content[:2] in (b"\xff\xfe", b"\xfe\xff"):
         return "utf-16"

@@ -156,3 +156,70 @@ def test_small_sinks(spark):
     assert {r.sha: r.preferred for r in sinks.extraction_preferences(c, "sha", "url", "corpus").collect()} == {"s": "office", "r": "pdf"}
     long = spark.createDataFrame([(1, "a" * 300), (2, "short"), (3, "b" * 300), (4, "c" * 300)], "n int, t string")
     assert [r.n for r in sinks.bundle_text(long, ["n"], F.lit("h"), "t", 650).orderBy("n").collect()] == [1, 3]
+
+
+def test_sqlite_in_ranges(spark, tmp_path):
+    """Every row once, in any number of ranges, gaps of row ids and mixed cell types included; the file stays as it is."""
+    import sqlite3
+
+    from foliospark.sources import database
+
+    path = str(tmp_path / "a b.sqlite")
+    with sqlite3.connect(path) as db:
+        db.execute("CREATE TABLE pages (id INTEGER PRIMARY KEY, title TEXT, score REAL, raw BLOB, odd VARCHAR(9))")
+        db.executemany("INSERT INTO pages VALUES (?, ?, ?, ?, ?)", [(i * 3 + 1, f"t{i}", i / 2 if i % 5 else "x", bytes([i % 256]), i if i % 2 else None) for i in range(9500)])
+        db.execute("CREATE TABLE hollow (a INT)")
+    for parts in (1, 7):
+        df = database.read_sqlite(spark, path, "pages", parts)
+        rows = sorted(tuple(r) for r in df.collect())
+        assert len(rows) == 9500 and rows[6] == (19, "t6", 3.0, bytes([6]), None) and rows[5][2] is None and rows[7][4] == "7"
+    assert database.read_sqlite(spark, path, "hollow").count() == 0
+    with pytest.raises(LookupError):
+        database.read_sqlite(spark, path, "absent")
+
+
+def test_pptx_tables_and_docx_fallback(spark):
+    import io
+    import zipfile
+
+    from foliospark.sources import binary
+
+    def pack(parts):
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w") as z:
+            for name, text in parts.items():
+                z.writestr(name, text)
+        return out.getvalue()
+
+    ns = 'xmlns:p="http://schemas.openxmlformats.org/presentationml/2006/main" xmlns:a="http://schemas.openxmlformats.org/drawingml/2006/main"'
+    para = lambda t: f"<a:p><a:r><a:t>{t}</a:t></a:r></a:p>"
+    cell = lambda t: f"<a:tc><a:txBody>{para(t)}</a:txBody></a:tc>"
+    slide = f"<p:sld {ns}><p:cSld><p:spTree><p:sp>{para('Title')}</p:sp><p:graphicFrame><a:tbl><a:tr>{cell('a')}{cell('b')}</a:tr><a:tr>{cell('1')}{cell('2')}</a:tr></a:tbl></p:graphicFrame><p:grpSp><p:sp>{para('Last')}</p:sp></p:grpSp></p:spTree></p:cSld></p:sld>"
+    assert binary.pptx_pages(pack({"ppt/slides/slide1.xml": slide, "ppt/notesSlides/notesSlide1.xml": f"<p:notes {ns}>{para('Say it')}</p:notes>"})) == ["Title\n| a | b |\n| 1 | 2 |\nLast\n\n## notes\nSay it"]
+    broken = pack({"[Content_Types].xml": "<Types/>", "word/document.xml": "<w:document><w:body><w:p><w:t>One &amp; two</w:t></w:p><w:p><w:t xml:space='preserve'>three</w:t></w:p>"})
+    empty = pack({"[Content_Types].xml": "<Types/>", "word/document.xml": "<w:document><w:body>"})
+    files = spark.createDataFrame([("a.docx", "s1", broken), ("b.docx", "s2", empty)], "path string, sha256 string, content binary")
+    got = {r.path: r for r in binary.convert(files).collect()}
+    assert got["a.docx"].engine == "text-runs" and got["a.docx"].text == "One & two\nthree" and got["a.docx"].error is None
+    assert "ParseError" in got["b.docx"].error and "text-runs: ValueError: no text runs" in got["b.docx"].error
+
+
+def test_sitemap_closure(spark):
+    from foliospark.functions import urls as U
+
+    locs = lambda *u: "".join(f"<url><loc>{x}</loc></url>" for x in u)
+    index = lambda *u: "<sitemapindex>" + "".join(f"<sitemap><loc>{x}</loc></sitemap>" for x in u) + "</sitemapindex>"
+    docs = spark.createDataFrame([("i", index("a", "j")), ("j", index("b", "i", "lost")), ("a", f"<urlset>{locs('p1', 'p2')}</urlset>"), ("b", f"<urlset>{locs('p2', 'p3')}</urlset>"), ("c", f"<urlset>{locs('p9')}</urlset>")], "url string, xml string")
+    assert sorted(r.url for r in U.sitemap_closure(docs, ["i"]).collect()) == ["p1", "p2", "p3"]
+    assert sorted(r.url for r in U.sitemap_closure(docs, ["i"], most=2).collect()) == ["p1", "p2"]
+
+
+def test_index_store(spark, tmp_path):
+    from foliospark.plans import fts
+
+    pages = spark.createDataFrame([(i, f"Title {i}", "credit union " * (i % 4) + "plain words") for i in range(40)], "id long, title string, text string")
+    fts.write_index(pages, str(tmp_path / "index"), ["id"], title="title")
+    stored = fts.read_index(spark, str(tmp_path / "index"))
+    fresh = fts.bm25(fts.with_norms(pages, title="title"), '"credit union"').orderBy("id").collect()
+    assert [tuple(r) for r in fts.bm25(stored, '"credit union"').select("id", "title", "text", "score").orderBy("id").collect()] == [tuple(r) for r in fresh]
+    assert stored.filter("id = 3").first().token_count == 2 + 8
