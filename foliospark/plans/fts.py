@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliospark.functions.text import FOLD_TABLE, normalised, phrase_count, tokens_of
+from foliospark.sources.shared import materialised
 
 
 class QueryError(ValueError):
@@ -161,19 +162,27 @@ def read_index(spark, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def bm25_many(pages: DataFrame, queries: dict[str, str], keep: list[str], title_weight: float = 1.0, k1: float = 1.2, b: float = 0.75) -> DataFrame:
+def bm25_many(pages: DataFrame, queries: dict[str, str], keep: list[str], title_weight: float = 1.0, k1: float = 1.2, b: float = 0.75, once: bool = True) -> DataFrame:
     """One row for each (query, matching row) of ``with_norms`` output: the kept columns, ``query`` and ``score``; lower is better.
 
-    All queries share one pass for the statistics (row count, mean length, rows
-    of each distinct phrase: a single row, broadcast back) and one for scores.
+    The text is read in one pass: lengths, occurrences and matches of all queries
+    are written beside the kept columns (``once``), and both the statistics (row
+    count, mean length, rows of each distinct phrase: a single row, broadcast back)
+    and the scores come from there.
     """
     trees = {name: parse(q) for name, q in queries.items()}
     phrases = list(dict.fromkeys(p for tree in trees.values() for p in terms(tree)))
     at = {p: i for i, p in enumerate(phrases)}
     title, text = F.col("title_norm"), F.col("text_norm")
+    length = F.col("token_count") if "token_count" in pages.columns else tokens_of(title) + tokens_of(text)
     counted = pages.select(
-        *keep, "title_norm", "text_norm", (F.col("token_count") if "token_count" in pages.columns else tokens_of(title) + tokens_of(text)).alias("_len"), *[(F.lit(float(title_weight)) * phrase_count(title, p) + phrase_count(text, p)).alias(f"_f{i}") for p, i in at.items()]
+        *keep,
+        length.alias("_len"),
+        *[(F.lit(float(title_weight)) * phrase_count(title, p) + phrase_count(text, p)).alias(f"_f{i}") for p, i in at.items()],
+        *[matches(q, title, text).alias(f"_m{i}") for i, q in enumerate(queries.values())],
     )
+    if once:
+        counted = materialised(counted, "terms")
     stats = counted.agg(F.count("*").alias("_n"), F.avg("_len").alias("_avg"), *[F.count_if(F.col(f"_f{i}") > 0).alias(f"_n{i}") for i in at.values()])
 
     def score(tree) -> Column:
@@ -185,16 +194,16 @@ def bm25_many(pages: DataFrame, queries: dict[str, str], keep: list[str], title_
             total = total + F.when(raw <= 0, 1e-6).otherwise(raw) * f * (k1 + 1) / (f + k1 * (1 - b + b * F.col("_len") / F.col("_avg")))
         return -total
 
-    any_match = reduce(Column.__or__, [matches(q, title, text) for q in queries.values()])
-    joined = counted.filter(any_match).join(F.broadcast(stats))
-    hits = F.array_compact(F.array(*[F.when(matches(queries[n], title, text), F.struct(F.lit(n).alias("query"), score(tree).alias("score"))) for n, tree in trees.items()]))
+    hit = [F.col(f"_m{i}") for i in range(len(queries))]
+    joined = counted.filter(reduce(Column.__or__, hit)).join(F.broadcast(stats))
+    hits = F.array_compact(F.array(*[F.when(m, F.struct(F.lit(n).alias("query"), score(tree).alias("score"))) for m, (n, tree) in zip(hit, trees.items())]))
     return joined.select(*keep, F.explode(hits).alias("_h")).select(*keep, "_h.query", "_h.score")
 
 
 def bm25(pages: DataFrame, query: str, title_weight: float = 1.0) -> DataFrame:
-    """Matching rows of ``with_norms`` output with ``score``."""
+    """Matching rows of ``with_norms`` output, all their columns, with ``score``."""
     kept = [c for c in pages.columns if c not in ("title_norm", "text_norm", "token_count")]
-    return bm25_many(pages, {"q": query}, kept, title_weight).drop("query")
+    return bm25_many(pages, {"q": query}, kept, title_weight, once=False).drop("query")
 
 
 def evidence(pages: DataFrame, topics: dict[str, str], signal: str, document: str, order: list[str], keep: list[str], top: int = 15, title_weight: float = 1.5) -> DataFrame:

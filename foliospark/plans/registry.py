@@ -19,6 +19,7 @@ from foliospark.operators import provenance as R
 from foliospark.operators import sequences as S
 from foliospark.operators import structured as SD
 from foliospark.plans import fts
+from foliospark.sources.shared import materialised
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -113,7 +114,8 @@ def quality_grade(spark, d):
 
 @query(f"SELECT grade, count(*) AS documents, CAST(sum(dense) AS BIGINT) AS characters, round(100.0 * count(*) / (SELECT count(*) FROM documents), 2) AS share, round(median(dense / pages), 3) AS median_density FROM {SQL_GRADES} GROUP BY grade")
 def quality_summary(spark, d):
-    rows = _graded(spark, d)
+    # Grades are read by the counts, the total and the two passes of the medians; the texts are read once.
+    rows = materialised(_graded(spark, d).select("grade", "dense", "pages"), "grades")
     total = rows.agg(F.count("*").alias("total"))
     medians = A.grouped_medians(rows.withColumn("density", F.col("dense") / F.col("pages")), ["grade"], "density").withColumn("median_density", F.round("median", 3))
     out = rows.groupBy("grade").agg(F.count("*").alias("documents"), F.sum("dense").alias("characters")).join(medians, "grade")
@@ -246,7 +248,7 @@ LINE_SOURCE = f"SELECT doc_id, page_number, {SQL_LINE_NORM} AS norm FROM {SQL_LI
 
 @query(f"WITH {sql_bm25(DOC_SOURCE, 'doc_id', ['of the', 'and'], f'({has("of the")} OR {has("and")})')} SELECT doc_id, score FROM scored ORDER BY score, doc_id LIMIT 50")
 def bm25_topk(spark, d):
-    scored = fts.bm25(fts.with_norms(t(spark, d, "documents")), '"of the" OR and').select("doc_id", F.round("score", 6).alias("score"))
+    scored = fts.bm25_many(fts.with_norms(t(spark, d, "documents")), {"q": '"of the" OR and'}, ["doc_id"]).select("doc_id", F.round("score", 6).alias("score"))
     return scored.orderBy("score", "doc_id").limit(50)
 
 
@@ -254,7 +256,7 @@ def bm25_topk(spark, d):
 b AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score, page_number) AS k FROM scored)
 SELECT doc_id, CAST(page_number AS BIGINT) AS page_number, score, row_number() OVER (ORDER BY score, doc_id) AS rank FROM b WHERE k = 1 ORDER BY score, doc_id LIMIT 40""")
 def best_line_per_document(spark, d):
-    scored = fts.bm25(_line_pages(spark, d), "the").select("doc_id", "page_number", F.round("score", 6).alias("score"))
+    scored = fts.bm25_many(_line_pages(spark, d), {"q": "the"}, ["doc_id", "page_number"]).select("doc_id", "page_number", F.round("score", 6).alias("score"))
     order = [F.col("score"), F.col("doc_id"), F.col("page_number")]
     return fts.best_page_per_document(scored, "doc_id", order, 40).withColumn("rank", F.col("rank").cast("long"))
 

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliospark.operators.ingest import replay_journal
+from foliospark.sources.shared import shared_folder
 
 
 def stream_of(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -34,12 +34,7 @@ def upsert_sink(target: str, key: str, order: list[str], ok: str):
 
 def replay_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Last state of each user after the events table has run through the stream."""
-    found = spark.sparkContext._jsc.sc().getCheckpointDir()
-    root = found.get() if found.isDefined() else spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="foliospark-")
+    root = shared_folder(spark)
     target = f"{root}/journal-{uuid.uuid4().hex[:12]}"
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     # One table may be one file or a folder of files; the glob takes both.
