@@ -293,7 +293,10 @@ def evidence_candidates(spark, d):
     return out.select("doc_id", "page_number", "score", F.col("rank").cast("long").alias("rank"), "topic", "ranking")
 
 
-@query()
+@query(f"""{WITH_NORM.replace('n_chars,', 'n_chars, text,')}, x AS (SELECT doc_id, regexp_extract_all(text, '[\\p{{L}}\\p{{N}}]+') AS w, string_split_regex(text, '[\\p{{L}}\\p{{N}}]+') AS s FROM n WHERE {has('of the')}),
+y AS (SELECT *, list_transform(w, lambda v: strip_accents(lower(v))) AS f, len(w) AS m FROM x), z AS (SELECT *, list_transform(range(1, m + 1), lambda i: CASE WHEN (f[i] = 'of' AND i < m AND f[i + 1] = 'the') OR (f[i] = 'the' AND i > 1 AND f[i - 1] = 'of') THEN 1 ELSE 0 END) AS h FROM y),
+u AS (SELECT *, list_transform(range(1, greatest(1, m - 35) + 1), lambda i: list_sum(h[i:i + 35])) AS t FROM z), v AS (SELECT *, list_position(t, list_max(t)) AS a FROM u), e AS (SELECT *, least(a + 35, m) AS b FROM v)
+SELECT doc_id, CASE WHEN a > 1 THEN ' ... ' ELSE '' END || array_to_string(list_transform(range(a, b + 1), lambda j: CASE WHEN j > a THEN s[j] ELSE '' END || CASE WHEN h[j] = 1 AND NOT (j > a AND h[j - 1] = 1) THEN '[' ELSE '' END || w[j] || CASE WHEN h[j] = 1 AND NOT (j < b AND h[j + 1] = 1) THEN ']' ELSE '' END), '') || CASE WHEN b < m THEN ' ... ' ELSE '' END AS snippet FROM e""")
 def snippet_rows(spark, d):
     hits = fts.with_norms(t(spark, d, "documents")).filter(fts.matches('"of the"', F.col("text_norm")))
     return hits.select("doc_id", fts.snippet(["of the"])(F.col("text")).alias("snippet"))
