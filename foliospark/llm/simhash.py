@@ -392,3 +392,30 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     roots = connected_components(edges, scratch)
     named = words.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("root"))
     return marked.join(named, "fp").select("doc_id", "root", *([] if carry is None else ["carried"]))
+
+
+def shingle_set(text: bytes, width: int) -> frozenset[bytes]:
+    words = text.lower().split()
+    return frozenset([b" ".join(words)] if len(words) < width else map(b" ".join, zip(*(words[i:] for i in range(width)))))
+
+
+def _confirm(width: int, similarity: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = None, frozenset()
+        for batch in batches:
+            keep = []
+            for text, other in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                if other != last:  # rows with one other text lie together as a rule
+                    last, held = other, shingle_set(other, width)
+                own = shingle_set(text, width)
+                both = len(own & held)
+                keep.append(both >= similarity * (len(own) + len(held) - both))
+            yield batch.filter(pa.array(keep, pa.bool_())).select([0])
+
+    return run
+
+
+def confirmed(pairs: DataFrame, key: str, text_col: str, other_col: str, width: int = 5, similarity: float = 0.8) -> DataFrame:
+    """Keys (long) of the pairs whose sets of shingles have a Jaccard similarity of ``similarity`` or more; null counts as empty, and two empty texts are alike."""
+    binary = lambda c: F.coalesce(F.col(c), F.lit("")).cast("binary")
+    return pairs.select(key, binary(text_col), binary(other_col)).mapInArrow(_confirm(width, similarity), f"{key} long")
