@@ -18,6 +18,7 @@ from foliospark.llm.common import Scratch, table
 from foliospark.llm.queries import tokenizer_file
 
 ROW = "__row"
+SPREAD = 16
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,15 +42,27 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each SimHash component over five-word shingles at a similarity of 0.8: that with the smallest id, null ids last."""
+    """Near copies by five-word shingles at a similarity of 0.8.
+
+    Of each SimHash component the row with the smallest id stays, null ids last;
+    a row goes only if the Jaccard similarity of its shingles to those of the row
+    that stays is 0.8 or more, so what is linked through others only stays, too.
+    """
     scratch = Scratch(spark, "stage-near")
     marked = scratch.save(docs.withColumn(ROW, F.monotonically_increasing_id()), "marked")
     found = simhash.similar_components(marked, carry=marked[ROW])
     # Components are told apart by their root: two of them may have the same smallest id.
     order = F.struct(F.col("doc_id").isNull(), "doc_id", F.col("carried").alias(ROW))
     groups = found.groupBy("root").agg(F.count("*").alias("n"), F.min(order).alias("best")).filter("n > 1").select("root", F.col(f"best.{ROW}").alias("best"))
-    gone = found.join(groups, "root").filter("carried <> best").select(F.col("carried").alias(ROW))
-    return without(marked, gone, docs.columns, scratch)
+    # A large group meets its row that stays in several tasks.
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("salt")
+    salted = F.pmod(F.xxhash64("carried"), F.lit(SPREAD)).cast("int")
+    alike = scratch.save(found.withColumn("salt", salted).join(groups.select("root", "best", salts), ["root", "salt"]).filter("carried <> best").select(F.col("carried").alias(ROW), "best", "salt"), "alike")
+    texts = marked.select(ROW, "text")
+    stays = scratch.save(texts.join(alike.select(F.col("best").alias(ROW)).distinct(), ROW, "left_semi").select(F.col(ROW).alias("best"), F.col("text").alias("other")), "stays")
+    asked = scratch.save(texts.join(alike, ROW), "asked")
+    pairs = asked.join(stays.select("best", "other", salts), ["best", "salt"])
+    return without(marked, simhash.confirmed(pairs, ROW, "text", "other"), docs.columns, scratch)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
