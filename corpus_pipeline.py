@@ -19,6 +19,8 @@ from foliospark.llm.queries import tokenizer_file
 
 ROW = "__row"
 SPREAD = 16
+#: Rows of a group that one task compares with the row that stays, about.
+PORTION = 2000
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,15 +55,18 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = simhash.similar_components(marked, carry=marked[ROW])
     # Components are told apart by their root: two of them may have the same smallest id.
     order = F.struct(F.col("doc_id").isNull(), "doc_id", F.col("carried").alias(ROW))
-    groups = found.groupBy("root").agg(F.count("*").alias("n"), F.min(order).alias("best")).filter("n > 1").select("root", F.col(f"best.{ROW}").alias("best"))
-    # A large group meets its row that stays in several tasks.
+    groups = found.groupBy("root").agg(F.count("*").alias("n"), F.min(order).alias("best")).filter("n > 1").select("root", "n", F.col(f"best.{ROW}").alias("best"))
+    # A large group meets its row that stays in several tasks; texts are repeated once for each PORTION rows of their group only.
+    portions = lambda n: F.floor(n / PORTION).cast("int")
     salts = F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("salt")
-    salted = F.pmod(F.xxhash64("carried"), F.lit(SPREAD)).cast("int")
-    alike = scratch.save(found.withColumn("salt", salted).join(groups.select("root", "best", salts), ["root", "salt"]).filter("carried <> best").select(F.col("carried").alias(ROW), "best", "salt"), "alike")
+    salted = found.withColumn("salt", F.pmod(F.xxhash64("carried"), F.lit(SPREAD)).cast("int")).join(groups.select("root", "best", "n", salts), ["root", "salt"])
+    part = F.pmod(F.xxhash64("carried", F.lit(1)), portions(F.col("n")) + 1).cast("int")
+    alike = scratch.save(salted.filter("carried <> best").select(F.col("carried").alias(ROW), "best", "n", part.alias("part")), "alike")
     texts = marked.select(ROW, "text")
-    stays = scratch.save(texts.join(alike.select(F.col("best").alias(ROW)).distinct(), ROW, "left_semi").select(F.col(ROW).alias("best"), F.col("text").alias("other")), "stays")
-    asked = scratch.save(texts.join(alike, ROW), "asked")
-    pairs = asked.join(stays.select("best", "other", salts), ["best", "salt"])
+    best = scratch.save(alike.groupBy(F.col("best").alias(ROW)).agg(F.max("n").alias("n")), "best")
+    stays = scratch.save(texts.join(best, ROW).select(F.col(ROW).alias("best"), F.col("text").alias("other"), "n"), "stays")
+    asked = scratch.save(texts.join(alike.drop("n"), ROW), "asked")
+    pairs = asked.join(stays.select("best", "other", F.explode(F.sequence(F.lit(0), portions(F.col("n")))).alias("part")), ["best", "part"])
     return without(marked, simhash.confirmed(pairs, ROW, "text", "other"), docs.columns, scratch)
 
 
