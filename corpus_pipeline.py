@@ -23,18 +23,20 @@ SPREAD = 16
 PORTION = 2000
 
 
-def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose perplexity under trusted text is not above their language's quantile."""
-    trusted = table(spark, sf_dir, "labels").filter("quality = 1 and toxic = 0").select("doc_id")
-    judged = kneser_ney.classify(docs, trusted, carry=F.struct(*docs.columns))
-    return judged.filter("keep").select("carried.*")
-
-
 def without(marked: DataFrame, gone: DataFrame, columns: list[str], scratch: Scratch) -> DataFrame:
     """The rows of ``marked`` that are not in ``gone``.  What goes is written first, so that its size decides how it is joined."""
     return marked.join(scratch.save(gone, "gone"), ROW, "left_anti").select(*columns)
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose perplexity under trusted text is not above their language's quantile."""
+    scratch = Scratch(spark, "stage-quality")
+    trusted = table(spark, sf_dir, "labels").filter("quality = 1 and toxic = 0").select("doc_id")
+    marked = scratch.save(docs.withColumn(ROW, F.monotonically_increasing_id()), "marked")
+    gone = kneser_ney.classify(marked, trusted, carry=marked[ROW]).filter("not keep").select(F.col("carried").alias(ROW))
+    return without(marked, gone, docs.columns, scratch)
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The row of each group of equal texts that has the longest original."""
     scratch = Scratch(spark, "stage-exact")

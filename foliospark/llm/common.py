@@ -54,6 +54,16 @@ class Scratch:
         df.write.mode("overwrite").option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def settle(self, df: DataFrame, name: str) -> DataFrame:
+        """As ``save``; the shuffle files behind the table go at once, as nothing reads them again."""
+        key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+        before = self.spark.conf.get(key)
+        self.spark.conf.set(key, "true")
+        try:
+            return self.save(df, name)
+        finally:
+            self.spark.conf.set(key, before)
+
     def drop(self, *names: str) -> None:
         jvm = self.spark._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()

@@ -1,42 +1,57 @@
 """Quality classifier: interpolated modified Kneser-Ney trigram model of trusted text.
 
 Counts, continuation counts and discounts are DataFrame aggregations whose
-rows are sharded by n-gram; contexts and n-grams meet in count joins.  The
-training side is a bounded sample of trusted documents (about ``TRAIN_DOCS`` of
-each of at most ``LANGUAGES`` languages, picked by hash, and of those in hash
-order as many as hold ``TRAIN_CHARS`` characters together), so the finished
-tables have a proven size, at most one n-gram of an order for each token of the
-sample, and are joined to documents inside the scoring task: word ids of a batch become sorted
-n-gram keys which are looked up in sorted key arrays.  Shuffling every
-document's n-grams to the counts instead would move over two gigabytes for
-each gigabyte of input.
+rows are sharded by n-gram.  The trusted documents are split in two by a hash of
+their id: one half gives all counts, the other all thresholds, and no document of
+either is left out, so the tables grow with the corpus and stay sharded.
+
+The log probability of a text is a sum over its n-grams.  With all back-off
+weights written into the n-grams they belong to, a token t of context (u, v) adds
+A[t] (unigrams, known to every task), B[v, t] and C[u, v, t], and an n-gram that
+training has not seen adds nothing.  So each token of a document becomes one
+entry, dealt to the shard of (v, t), where the sorted entries of many documents
+meet the shard's sorted tables; what comes back are sums for each document.
+Entries travel as sorted, difference-coded blocks.  Sums are of integers
+(2^-30 of a decade), so they do not depend on any order.
+
+The vocabulary (words seen twice or more in training) is known to every task.
 
 A document is rejected when its perplexity lies above a quantile of its
-language's trusted documents outside the training sample.
+language's trusted documents outside the training half.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, shuffle_partitions
 
 START, END, SHAPE = b"\x01 ", b"\x02 ", b"\x03 "  # hold a space, so no word equals them
 #: Words and shapes that a worker remembers at most.
 MEMORY = 600_000
-TRAIN_DOCS = 800
-#: Characters of training text at most, all languages together; about 2.5 million n-grams of an order.
-TRAIN_CHARS = 12_000_000
+#: Share of the trusted documents that gives the counts; the rest gives the thresholds.
+TRAIN_SHARE = 0.5
 QUANTILE = 0.995
 SLACK = 1.05
 LEAST = 50
-LANGUAGES = 200
+#: Accuracy of the sketch that brackets a quantile.
+SKETCH = 10_000
+#: Prime above any number of words: a pair of words is first * PRIME + second.
+PRIME = (1 << 31) - 1
+#: Unit of the summed logarithms.
+UNIT = float(1 << 30)
+#: Documents of a chunk at most; tokens of a chunk, about; n-grams of the model dealt at once; sums that a task holds.
+BLOCK, TOKENS, PACKED, HELD = 8192, 1_500_000, 1 << 20, 1 << 23
+#: Parts in which documents are scored, one after the other.
+ROUNDS = 5
+PAIRS, CONTEXTS, TRIPLES, ENTRIES, DOCUMENTS = range(5)
 
 
 def words(text: bytes) -> list[bytes]:
@@ -88,8 +103,8 @@ def _grams(shared):
                 w = [0, 0, *map(ids.__getitem__, words(text)), 1]
                 held.update(zip(w, w[1:], w[2:]))
             if held:
-                grams = np.array(list(held), dtype=np.int64)
-                yield pa.RecordBatch.from_arrays([*(pa.array(grams[:, i]) for i in range(3)), pa.array(list(held.values()), pa.int64())], names=["u", "v", "w", "c"])
+                grams = np.array(list(held), dtype=np.int32)
+                yield pa.RecordBatch.from_arrays([*(pa.array(np.ascontiguousarray(grams[:, i])) for i in range(3)), pa.array(list(held.values()), pa.int64())], names=["u", "v", "w", "c"])
 
     return run
 
@@ -110,15 +125,18 @@ def _discounted(col: str, d):
     return c - F.when(c == 1, d[0]).when(c == 2, d[1]).otherwise(d[2])
 
 
-def _context(grams: DataFrame, keys: list[str], col: str, d) -> DataFrame:
-    """Total count and back-off mass of each context."""
+def _left(d):
+    """Back-off mass of a context from its n-grams seen once, twice and more often."""
+    return F.col("k1") * d[0] + F.col("k2") * d[1] + F.col("k3") * d[2]
+
+
+def _seen(col: str) -> list[Column]:
     c = F.col(col)
-    left = F.sum(F.when(c == 1, d[0]).when(c == 2, d[1]).otherwise(d[2]))
-    return grams.groupBy(*keys).agg(F.sum(c).alias("total"), left.alias("left")).select(*keys, "total", (F.col("left") / F.col("total")).alias("gamma"))
+    return [F.sum(c).alias("total"), F.count(F.when(c == 1, 1)).alias("k1"), F.count(F.when(c == 2, 1)).alias("k2"), F.count(F.when(c > 2, 1)).alias("k3")]
 
 
 class Model:
-    """Sorted n-gram arrays.  Keys of bigrams are v * V + w; of trigrams, bigram number * V + w."""
+    """Sorted n-gram arrays of a model that fits one process.  Keys of bigrams are v * V + w; of trigrams, bigram number * V + w."""
 
     def __init__(self, vocabulary: list[bytes], a1: np.ndarray, bi: np.ndarray, a2, g3, g2, tri: np.ndarray, a3):
         self.ids = Ids((w, i) for i, w in enumerate(vocabulary))
@@ -169,26 +187,35 @@ class Model:
         return np.add.reduceat(logs, starts) if len(starts) else logs, sizes - 2
 
 
-def train(texts: DataFrame, scratch: Scratch) -> Model:
-    """Modified Kneser-Ney over the column ``text`` (binary).  The size of its tables is bounded by that of the sample."""
-    texts = scratch.save(texts, "sample")
-    often = texts.mapInArrow(_words, "w binary, c long").groupBy("w").agg(F.sum("c").alias("c")).filter("c > 1").orderBy("w").select("w").toArrow()
+class Tables:
+    """A trained model.  By word: ``a1``, its probability, and ``g2``, its back-off weight.  DataFrames:
+    ``pairs`` (v, w, a), ``contexts`` (u, v, g) and ``triples`` (u, v, w, a, g), g being the weight of (u, v)."""
+
+    def __init__(self, vocabulary: list[bytes], a1: np.ndarray, g2: np.ndarray, pairs: DataFrame, triples: DataFrame):
+        self.vocabulary, self.a1, self.g2, self.pairs, self.triples = vocabulary, a1, g2, pairs, triples
+        self.contexts = triples.select("u", "v", "g").distinct()
+
+
+def tables(texts: DataFrame, scratch: Scratch) -> Tables:
+    """Modified Kneser-Ney over the column ``text`` (binary).  What reaches the driver are rows a word of the vocabulary."""
+    texts = scratch.settle(texts, "training")
+    often = texts.mapInArrow(_words, "w binary, c long").groupBy("w").agg(F.sum("c").alias("c")).filter("c > 1").orderBy(F.desc("c"), "w").select("w").toArrow()
+    # Frequent words have small numbers, which pack well.
     vocabulary = [START, END, *SHAPES, *often.column(0).to_pylist()]
     n = len(vocabulary)
     shared = texts.sparkSession.sparkContext.broadcast(vocabulary)
-    tri = scratch.save(texts.mapInArrow(_grams(shared), "u long, v long, w long, c long").groupBy("u", "v", "w").agg(F.sum("c").alias("c")), "tri")
-    bi = scratch.save(tri.groupBy("v", "w").agg(F.count("*").alias("c")), "bi")
-    uni = scratch.save(bi.groupBy("w").agg(F.count("*").alias("c")), "uni")
+    # Dealt by context once: counts of n-grams and sums over contexts need no further exchange.
+    grams = texts.mapInArrow(_grams(shared), "u int, v int, w int, c long").repartition("u", "v").groupBy("u", "v", "w").agg(F.sum("c").alias("c"))
+    by = Window.partitionBy("u", "v")
+    tri = scratch.settle(grams.select("*", *[x.over(by).alias(k) for x, k in zip([F.sum("c"), F.count(F.when(F.col("c") == 1, 1)), F.count(F.when(F.col("c") == 2, 1)), F.count(F.when(F.col("c") > 2, 1))], ["total", "k1", "k2", "k3"])]), "tri")
+    scratch.drop("training")
+    bi = scratch.settle(tri.groupBy("v", "w").agg(F.count("*").alias("c")), "bi")
+    uni = scratch.settle(bi.groupBy("w").agg(F.count("*").alias("c")), "uni")
     d3, d2, d1 = discounts(tri), discounts(bi), discounts(uni)
-    c3, c2 = _context(tri, ["u", "v"], "c", d3), _context(bi, ["v"], "c", d2)
-    t3 = tri.join(c3, ["u", "v"]).select("u", "v", "w", (_discounted("c", d3) / F.col("total")).alias("a"))
-    # One row for each word of the bounded sample; frequent words would crowd one task of a shuffled join.
-    t2 = bi.join(F.broadcast(c2), "v").select("v", "w", (_discounted("c", d2) / F.col("total")).alias("a"))
-    t2 = t2.join(c3.select(F.col("u").alias("v"), F.col("v").alias("w"), F.col("gamma").alias("g")), ["v", "w"], "full").select("v", "w", F.coalesce("a", F.lit(0.0)).alias("a"), F.coalesce("g", F.lit(1.0)).alias("g"))
+    c2 = scratch.save(bi.groupBy("v").agg(*_seen("c")).select("v", "total", (_left(d2) / F.col("total")).alias("gamma")), "c2")
 
     def columns(df: DataFrame, *names: str) -> list[np.ndarray]:
-        small = {"a": "float", "g": "float", "gamma": "float", "c": "long"}
-        got = df.select(*[F.col(c).cast(small.get(c, "int")) for c in names]).toArrow()
+        got = df.select(*names).toArrow()
         return [got.column(c).to_numpy() for c in names]
 
     word, found = columns(uni, "w", "c")
@@ -199,84 +226,352 @@ def train(texts: DataFrame, scratch: Scratch) -> Model:
     g2 = np.ones(n)
     v, gamma = columns(c2, "v", "gamma")
     g2[v] = gamma
-    pad = lambda x: x if len(x) else np.zeros(1, dtype=np.float32)
-    v, w, a2, g3 = columns(t2, "v", "w", "a", "g")
+    # One row for each word of the vocabulary; frequent words would crowd one task of a shuffled join.
+    pairs = bi.join(F.broadcast(c2), "v").select("v", "w", (_discounted("c", d2) / F.col("total")).alias("a"))
+    triples = tri.select("u", "v", "w", (_discounted("c", d3) / F.col("total")).alias("a"), (_left(d3) / F.col("total")).alias("g"))
+    return Tables(vocabulary, a1, g2, pairs, triples)
+
+
+def train(texts: DataFrame, scratch: Scratch) -> Model:
+    """The whole model in one process, for texts whose tables fit there; ``scores`` keeps them sharded."""
+    t = tables(texts, scratch)
+    n = len(t.vocabulary)
+
+    def columns(df: DataFrame, *names: str) -> list[np.ndarray]:
+        got = df.toArrow()
+        return [got.column(c).to_numpy() for c in names]
+
+    pad = lambda x: x if len(x) else np.zeros(1)
+    both = t.pairs.join(t.contexts.select(F.col("u").alias("v"), F.col("v").alias("w"), "g"), ["v", "w"], "full").select("v", "w", F.coalesce("a", F.lit(0.0)).alias("a"), F.coalesce("g", F.lit(1.0)).alias("g"))
+    v, w, a2, g3 = columns(both, "v", "w", "a", "g")
     key = v.astype(np.int64) * n + w
     order = np.argsort(key)
     bi_keys, a2, g3 = key[order], pad(a2[order]), pad(g3[order])
-    u, v, w, a3 = columns(t3, "u", "v", "w", "a")
+    u, v, w, a3 = columns(t.triples, "u", "v", "w", "a")
     key = np.searchsorted(bi_keys, u.astype(np.int64) * n + v) * n + w
     order = np.argsort(key)
-    return Model(vocabulary, a1, bi_keys, a2, g3, g2, key[order], pad(a3[order]))
+    return Model(t.vocabulary, t.a1, bi_keys, a2, g3, t.g2, key[order], pad(a3[order]))
+
+
+# ---- sharded scoring ----------------------------------------------------------------------
+
+
+def squeeze(keys: np.ndarray, *arrays: np.ndarray) -> bytes:
+    """A block: differences of the sorted keys and further arrays, byte plane by byte plane."""
+    planes = [np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T.tobytes() for x in (np.diff(keys, prepend=0), *arrays)]
+    return len(keys).to_bytes(8, "little") + pa.compress(b"".join(planes), codec="zstd", asbytes=True)
+
+
+def unsqueeze(block: bytes, *types) -> list[np.ndarray]:
+    n, types = int.from_bytes(block[:8], "little"), [np.dtype(t) for t in (np.int64, *types)]
+    flat = np.frombuffer(pa.decompress(block[8:], n * sum(t.itemsize for t in types), codec="zstd", asbytes=True), dtype=np.uint8)
+    out, at = [], 0
+    for t in types:
+        out.append(np.ascontiguousarray(flat[at : at + n * t.itemsize].reshape(t.itemsize, n).T).view(t).reshape(n))
+        at += n * t.itemsize
+    return [np.cumsum(out[0]), *out[1:]]
+
+
+def _dealt(keys: np.ndarray, shards: int, *arrays: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """(shard, block) of the rows of each shard."""
+    order = np.argsort(keys, kind="stable")
+    owner = (keys[order] % shards).astype(np.int32)
+    order, owner = order[(at := np.argsort(owner, kind="stable"))], owner[at]
+    cuts = np.flatnonzero(owner[1:] != owner[:-1]) + 1
+    for s, e in zip([0, *cuts], [*cuts, len(owner)] if len(owner) else []):
+        part = order[s:e]
+        yield int(owner[s]), squeeze(keys[part], *[x[part] for x in arrays])
+
+
+def _blocks(schema: pa.Schema, kind: int, chunk: int, dealt) -> pa.RecordBatch:
+    shard, block = zip(*dealt)
+    given = {"shard": pa.array(shard, pa.int32()), "kind": pa.array([kind] * len(shard), pa.int32()), "chunk": pa.array([chunk] * len(shard), pa.int64()), "block": pa.array(block, pa.binary())}
+    return pa.RecordBatch.from_arrays([given[f.name] if f.name in given else pa.nulls(len(shard), f.type) for f in schema], schema=schema)
+
+
+def _pair(v: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return v.astype(np.int64) * PRIME + w
+
+
+def _pack_pairs(shards: int, schema: pa.Schema):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for v, w, a in _gathered(batches):
+            yield _blocks(schema, PAIRS, 0, _dealt(_pair(v, w), shards, a.astype(np.float32)))
+
+    return run
+
+
+def _pack_triples(shards: int, schema: pa.Schema):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for u, v, w, a, g in _gathered(batches):
+            yield _blocks(schema, TRIPLES, 0, _dealt(_pair(v, w), shards, u, a.astype(np.float32), g.astype(np.float32)))
+            # Contexts that several blocks hold come several times, with one value.
+            keys, first = np.unique(_pair(u, v), return_index=True)
+            yield _blocks(schema, CONTEXTS, 0, _dealt(keys, shards, g[first].astype(np.float32)))
+
+    return run
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    held, rows = [], 0
+    for batch in batches:
+        held.append([np.asarray(c) for c in batch.columns])
+        rows += batch.num_rows
+        if rows >= PACKED:
+            yield [np.concatenate(x) for x in zip(*held)]
+            held, rows = [], 0
+    if rows:
+        yield [np.concatenate(x) for x in zip(*held)]
+
 
+def _entries(shared, shards: int, schema: pa.Schema):
+    """Blocks of (pair, word before, document) and a row a document with its sum over single words."""
 
-def _perplexity(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        from pyspark import TaskContext
+
+        vocabulary, a1, g2, always = shared.value
+        ids = Ids((w, i) for i, w in enumerate(vocabulary))
+        single = np.rint((np.log10(a1) + np.log10(g2)) * UNIT).astype(np.int64)
+        # Each text begins with the weights of its start and ends with the end.
+        ends = int(np.rint((always + np.log10(g2[0]) + np.log10(a1[1])) * UNIT))
+        chunk = TaskContext.get().partitionId() << 32
+        get = ids.__getitem__
+
+        def emit(runs: list[np.ndarray], rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sizes = np.array([len(x) - 2 for x in runs])
+            base = [int(single[x[2:-1]].sum()) + ends for x in runs]
+            keys = np.concatenate([_pair(x[1:-1], x[2:]) for x in runs])
+            before = np.concatenate([x[:-2] for x in runs])
+            of = np.repeat(np.arange(len(runs), dtype=np.uint16), sizes)
+            yield _blocks(schema, ENTRIES, chunk, _dealt(keys, shards, before, of))
+            n = len(runs)
+            given = {"shard": pa.array([chunk % shards] * n, pa.int32()), "kind": pa.array([DOCUMENTS] * n, pa.int32()), "chunk": pa.array([chunk] * n, pa.int64()), "at": pa.array(range(n), pa.int32()), "base": pa.array(base, pa.int64()), "n_tokens": pa.array(sizes, pa.int64())}
+            held = pa.Table.from_batches(rows).combine_chunks().to_batches()[0]
+            given |= {name: held.column(name).cast(schema.field(name).type) for name in held.schema.names}
+            yield pa.RecordBatch.from_arrays([given[f.name] if f.name in given else pa.nulls(n, f.type) for f in schema], schema=schema)
+
+        runs, rows, tokens = [], [], 0
+        for whole in batches:
+            for at in range(0, whole.num_rows, 512):
+                batch = whole.slice(at, 512)
+                got = [np.array([0, 0, *map(get, words(t)), 1], dtype=np.int32) for t in batch.column(2).to_pylist()]
+                if runs and (len(runs) + len(got) > BLOCK or tokens > TOKENS):
+                    yield from emit(runs, rows)
+                    runs, rows, tokens = [], [], 0
+                    chunk += 1
+                runs += got
+                tokens += sum(map(len, got))
+                rows.append(batch.select([0, 1, *range(3, batch.num_columns)]))
+        if runs:
+            yield from emit(runs, rows)
+
+    return run
+
+
+class Shard:
+    """The tables of one shard; ``values`` are those of its entries."""
+
+    def __init__(self, a1: np.ndarray, g2: np.ndarray, blocks: dict[int, list[bytes]]):
+        def load(kind: int, *types):
+            got = [unsqueeze(b, *types) for b in blocks.get(kind, [])]
+            return [np.concatenate(x) for x in zip(*got)] if got else [np.zeros(0, t) for t in (np.int64, *types)]
+
+        pair, a = load(PAIRS, np.float32)
+        context, g = load(CONTEXTS, np.float32)
+        self.keys = np.union1d(pair, context)
+        lower = np.log10(g2[pair // PRIME] * a1[pair % PRIME])
+        p2 = np.log10(a + g2[pair // PRIME] * a1[pair % PRIME])
+        adds = np.zeros(len(self.keys))
+        at = np.searchsorted(self.keys, pair)
+        adds[at] = p2 - lower
+        full = np.zeros(len(self.keys))
+        full[at] = p2
+        weight = np.zeros(len(self.keys))
+        weight[np.searchsorted(self.keys, context)] = np.log10(g)
+        self.adds = np.rint((adds + weight) * UNIT).astype(np.int64)
+        key, u, a, g = load(TRIPLES, np.int32, np.float32, np.float32)
+        at = np.searchsorted(self.keys, key)
+        p2 = full[at]
+        self.triples = at * PRIME + u
+        more = np.rint((np.log10(a + g * 10.0**p2) - np.log10(g) - p2) * UNIT).astype(np.int64)
+        order = np.argsort(self.triples)
+        self.triples, self.more = self.triples[order], more[order]
+
+    def values(self, keys: np.ndarray, before: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(keys), dtype=np.int64)
+        if not len(self.keys):
+            return out
+        at = np.searchsorted(self.keys, keys)
+        at[at == len(self.keys)] = 0
+        hit = np.flatnonzero(self.keys[at] == keys)
+        out[hit] = self.adds[at[hit]]
+        found = Model._find(self.triples, at[hit] * PRIME + before[hit])
+        out[hit[found >= 0]] += self.more[found[found >= 0]]
+        return out
+
+
+def _look_up(shared, schema: pa.Schema):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, a1, g2, _ = shared.value
+        now, blocks, shard = None, {}, None
+        sums: dict[int, np.ndarray] = {}
+
+        def emit():
+            chunks, rows = [c for c in sums if sums[c].any()], []
+            for c in chunks:
+                (docs,) = np.nonzero(sums[c])
+                rows.append(squeeze(docs, sums[c][docs]))
+            given = {"kind": pa.array([ENTRIES] * len(chunks), pa.int32()), "chunk": pa.array(chunks, pa.int64()), "block": pa.array(rows, pa.binary())}
+            sums.clear()
+            return pa.RecordBatch.from_arrays([given[f.name] if f.name in given else pa.nulls(len(chunks), f.type) for f in schema], schema=schema)
+
         for batch in batches:
-            logs, n = model.log10(batch.column(2).to_pylist())
-            columns = [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(-logs / n), *batch.columns[3:]]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "lang", "n_tokens", "log_perplexity", "carried"][: len(columns)])
+            kinds = np.asarray(batch.column(1))
+            chosen = np.flatnonzero(kinds < DOCUMENTS)
+            columns = [batch.column(i).take(pa.array(chosen)).to_pylist() for i in range(4)]
+            for s, kind, chunk, block in zip(*columns):
+                if s != now:
+                    now, blocks, shard = s, {}, None
+                if kind < ENTRIES:
+                    blocks.setdefault(kind, []).append(block)
+                    continue
+                if shard is None:
+                    shard, blocks = Shard(a1, g2, blocks), {}
+                keys, before, of = unsqueeze(block, np.int32, np.uint16)
+                if chunk not in sums:
+                    sums[chunk] = np.zeros(BLOCK, dtype=np.int64)
+                np.add.at(sums[chunk], of, shard.values(keys, before))
+            if len(chosen) < batch.num_rows:
+                rest = batch.filter(pa.array(kinds == DOCUMENTS))
+                yield pa.RecordBatch.from_arrays([rest.column(f.name).cast(f.type) for f in schema], schema=schema)
+            if len(sums) * BLOCK >= HELD:
+                yield emit()
+        if sums:
+            yield emit()
 
     return run
 
 
+def _total(schema: pa.Schema):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, sums = None, np.zeros(BLOCK, dtype=np.int64)
+        for batch in batches:
+            chunk, kind = np.asarray(batch.column(0)), np.asarray(batch.column(1))
+            out = []
+            starts = np.flatnonzero(np.append(True, (chunk[1:] != chunk[:-1]) | (kind[1:] != kind[:-1])))
+            for s, e in zip(starts, [*starts[1:], len(chunk)]):
+                if chunk[s] != now:
+                    now, sums = chunk[s], np.zeros(BLOCK, dtype=np.int64)
+                if kind[s] == ENTRIES:
+                    for block in batch.column(2).slice(s, e - s).to_pylist():
+                        docs, adds = unsqueeze(block, np.int64)
+                        sums[docs] += adds
+                    continue
+                rest = batch.slice(s, e - s)
+                n = np.asarray(rest.column("n_tokens"))
+                logs = (np.asarray(rest.column("base")) + sums[np.asarray(rest.column("at"))]) / UNIT
+                given = {"log_perplexity": pa.array(-logs / n)}
+                out.append(pa.RecordBatch.from_arrays([given[f.name] if f.name in given else rest.column(f.name).cast(f.type) for f in schema], schema=schema))
+            if out:
+                yield pa.Table.from_batches(out).combine_chunks().to_batches()[0]
+
+    return run
+
+
+def scores(picked: DataFrame, model: Tables, scratch: Scratch) -> DataFrame:
+    """doc_id, lang, n_tokens, log_perplexity and, where there, carried of every row of ``picked`` (doc_id, lang, text as binary).
+
+    A task of the first step numbers its batches, so rows of ``picked`` must come
+    the same when a lost partition is read again, as those of tables do.  Documents
+    go in ROUNDS parts, so that only the entries of one lie on disk at a time.
+    The tables of ``model`` are gone afterwards.
+    """
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import LongType, StringType, StructField, StructType, _parse_datatype_string
+
+    spark = picked.sparkSession
+    shards = max(shuffle_partitions(spark), picked.rdd.getNumPartitions()) | 1
+    # The weight of the context (start, start) counts once in every text.
+    first = model.triples.filter("u = 0 and v = 0").select("g").first()
+    shared = spark.sparkContext.broadcast((model.vocabulary, model.a1, model.g2, float(np.log10(first.g)) if first else 0.0))
+    carried = [f for f in picked.schema if f.name == "carried"]
+    row = StructType([*_parse_datatype_string("at int, base long, n_tokens long, doc_id long, lang string"), *carried])
+    back = StructType([*_parse_datatype_string("chunk long, kind int, block binary"), *row])
+    sent = StructType([*_parse_datatype_string("shard int, kind int, chunk long, block binary"), *row])
+    done = StructType([StructField("doc_id", LongType()), StructField("lang", StringType()), *_parse_datatype_string("n_tokens long, log_perplexity double"), *carried])
+    arrow = to_arrow_schema(sent)
+    blocks = model.pairs.select("v", "w", "a").mapInArrow(_pack_pairs(shards, arrow), sent)
+    blocks = scratch.settle(blocks.union(model.triples.select("u", "v", "w", "a", "g").mapInArrow(_pack_triples(shards, arrow), sent)), "model")
+    scratch.drop("tri", "bi")
+    parts = []
+    for i in range(ROUNDS):
+        some = picked.filter(F.pmod(F.xxhash64("doc_id", F.lit(31)), F.lit(ROUNDS)) == i)
+        dealt = blocks.union(some.mapInArrow(_entries(shared, shards, arrow), sent))
+        summed = dealt.repartition("shard").sortWithinPartitions("shard", "kind").mapInArrow(_look_up(shared, to_arrow_schema(back)), back)
+        total = summed.repartition("chunk").sortWithinPartitions("chunk", "kind").mapInArrow(_total(to_arrow_schema(done)), done)
+        parts.append(scratch.settle(total, f"scored-{i}"))
+    scratch.drop("model")
+    return reduce(DataFrame.union, parts)
+
+
 def bounded(sample: DataFrame, chars: int) -> DataFrame:
     """The texts of the sample (doc_id, text) in hash order while they hold ``chars`` characters at most together.
 
-    The sample has a bounded number of documents, so one task may add up their
-    lengths; texts are not moved for it.
+    One task adds up their lengths, so the sample must have few documents; texts
+    are not moved for it.
     """
     sizes = sample.select("doc_id", F.length("text").cast("long").alias("n"), F.xxhash64("doc_id", F.lit(29)).alias("turn"))
     order = Window.orderBy("turn", "doc_id", "n").rowsBetween(Window.unboundedPreceding, 0)
     return sizes.withColumn("upto", F.sum("n").over(order)).filter(F.col("upto") <= chars).select("doc_id").distinct()
 
 
-def classify(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quantile: float = QUANTILE, slack: float = SLACK, chars: int = TRAIN_CHARS, carry: Column | None = None) -> DataFrame:
+def quantiles(scored: DataFrame, key: str, col: str, q: float) -> DataFrame:
+    """(key, cut, n): the exact quantile of each key, a value of rank ceil(q n); a sketch brackets it, then ranks are counted."""
+    near = 2 / SKETCH
+    edge = lambda p: F.percentile_approx(col, min(max(p, 0.0), 1.0), SKETCH)
+    low = F.min(col) if q - near <= 0 else edge(q - near)
+    high = F.max(col) if q + near >= 1 else edge(q + near)
+    brackets = scored.groupBy(key).agg(F.count("*").alias("n"), low.alias("low"), high.alias("high"))
+    x = F.col(col)
+    counted = scored.join(brackets, key).groupBy(key).agg(F.first("n").alias("n"), F.count(F.when(x < F.col("low"), 1)).alias("below"), F.sort_array(F.collect_list(F.when((x >= F.col("low")) & (x <= F.col("high")), x))).alias("inside"))
+    return counted.select(key, "n", F.expr(f"element_at(inside, cast(greatest(ceil({q}D * n), 1) - below as int))").alias("cut"))
+
+
+def classify(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quantile: float = QUANTILE, slack: float = SLACK, chars: int | None = None, carry: Column | None = None) -> DataFrame:
     """doc_id, lang, n_tokens, log_perplexity (log10 a token), threshold, keep for every row.
 
     ``trusted`` has the ids (column ``doc_id``) of documents known to be good.
-    At most about TRAIN_DOCS of them in each language, with ``chars`` characters
-    together, train the model; the others set the language's threshold: the
+    Half of them, by hash, train the model, with all their text unless ``chars``
+    bounds it; all others set the language's threshold: the
     ``quantile`` of their perplexity (in log10 a token) times ``slack``, as the
     quantile of a finite sample lies too low.  A language with fewer than LEAST
-    of these, or beyond the LANGUAGES largest, uses that of all languages
-    together; without any trusted document nothing is rejected.
+    of these uses that of all languages together; without any trusted document
+    nothing is rejected.
     Null and empty texts consist of the end alone; null languages count as one
     language; repeated rows give repeated results; an empty table gives an empty
-    one; extra columns are not read; texts of any length are scored whole.  ``carry`` is a Column that comes back as ``carried``, so that
-    rows can be filtered without joining their texts again.
+    one; extra columns are not read; texts of any length are scored whole.  ``carry`` is a Column that comes back as ``carried``; it
+    travels with the scores, so it should be narrow.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "quality")
     lang = F.coalesce(docs[lang_col].cast("string"), F.lit(""))
     picked = docs.select(docs[id_col].cast("long").alias("doc_id"), lang.alias("lang"), F.coalesce(docs[text_col], F.lit("")).cast("binary").alias("text"), *([] if carry is None else [carry.alias("carried")]))
     good = scratch.save(picked.select("doc_id", "lang").join(trusted.select(F.col("doc_id").cast("long").alias("doc_id")).distinct(), "doc_id", "left_semi").distinct(), "good")
-    # The largest languages get thresholds of their own; the rest share that of all together.
-    sizes = good.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    # A hash below the language's share picks about TRAIN_DOCS of it, at most half.
-    share = F.lit(0.0)
-    for x in sizes:
-        share = F.when(F.col("lang") == x.lang, min(0.5, TRAIN_DOCS / x["count"])).otherwise(share)
-    unit = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 20)) / (1 << 20)
-    sampled = unit < share
-    # About TRAIN_DOCS ids of each language: a bounded side.
-    names = F.broadcast(good.filter(sampled).select("doc_id"))
-    sample = scratch.save(picked.join(names, "doc_id", "left_semi").select("doc_id", "text"), "candidates")
-    chosen = scratch.save(bounded(sample, chars), "chosen")
-    model = train(sample.join(F.broadcast(chosen), "doc_id", "left_semi").select("text"), scratch)
-    shared = spark.sparkContext.broadcast(model)
-    schema = "doc_id long, lang string, n_tokens long, log_perplexity double"
-    if carry is not None:
-        schema += f", carried {picked.schema['carried'].dataType.simpleString()}"
-    scored = scratch.save(picked.mapInArrow(_perplexity(shared), schema), "scored")
+    sampled = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 20)) / (1 << 20) < TRAIN_SHARE
+    training = picked.filter(sampled).join(good.filter(sampled).select("doc_id"), "doc_id", "left_semi").select("doc_id", "text")
+    held = good.filter(~sampled)
+    if chars is not None:
+        training = scratch.save(training, "candidates")
+        chosen = scratch.save(bounded(training, chars), "chosen")
+        training = training.join(chosen, "doc_id", "left_semi")
+        held = good.join(chosen, "doc_id", "left_anti")
+    scored = scores(picked, tables(training.select("text"), scratch), scratch)
     # What did not train the model sets the thresholds.
-    held = scored.drop("carried").join(good.join(F.broadcast(chosen), "doc_id", "left_anti"), ["doc_id", "lang"], "left_semi")
-    cut = lambda d: F.percentile_approx("log_perplexity", quantile, 100_000)
-    by_lang = held.filter(F.col("lang").isin([x.lang for x in sizes])).groupBy("lang").agg(cut(held).alias("cut"), F.count("*").alias("n")).collect()
-    every = held.agg(cut(held).alias("cut"), F.count("*").alias("n")).first()
-    limit = F.lit(every["cut"] * slack if every["n"] else float("inf"))
-    for x in by_lang:
-        if x["n"] >= LEAST:
-            limit = F.when(F.col("lang") == x.lang, x["cut"] * slack).otherwise(limit)
-    return scored.withColumn("threshold", limit.cast("double")).withColumn("keep", F.col("log_perplexity") <= F.col("threshold"))
+    held = scratch.save(scored.select("doc_id", "lang", "log_perplexity").join(held, ["doc_id", "lang"], "left_semi"), "held")
+    own = scratch.save(quantiles(held, "lang", "log_perplexity", quantile).filter(F.col("n") >= LEAST).select("lang", (F.col("cut") * slack).alias("own")), "thresholds")
+    every = quantiles(held.withColumn("all", F.lit(0)), "all", "log_perplexity", quantile).first()
+    common = F.lit(every["cut"] * slack if every else float("inf"))
+    judged = scored.join(own, "lang", "left").withColumn("threshold", F.coalesce("own", common)).drop("own")
+    judged = judged.select("doc_id", "lang", "n_tokens", "log_perplexity", *([] if carry is None else ["carried"]), "threshold")
+    return judged.withColumn("keep", F.col("log_perplexity") <= F.col("threshold"))

@@ -419,3 +419,31 @@ def test_kept_trees_are_read_again(docs, monkeypatch):
     assert sorted((str(r.doc_id), r.tokens_before, r.tokens_after, r.n_chars) for r in got) == sorted(want)
     assert all(r.reencoded_chars < 100 for r in got if r.n_chars > 100_000)
     assert edit_counts.keep_trees(docs.limit(0), JSON, RANKS).count() == 0
+
+
+def test_classifier_counts_all_trusted_text_of_its_half(spark, tmp_path, monkeypatch):
+    """Sharded scores equal those of dictionaries over every trusted document of the training half, however many there are."""
+    rng = random.Random(21)
+    rows = [(i, sentences(rng, rng.randrange(3, 25)) + rng.choice(["", f" odd{i}", " Big,"]), "en") for i in range(2600)] + [(5000, None, None), (5001, "zebra ### the", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    trusted = docs.filter("doc_id < 2600").select("doc_id")
+    half = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 20)) / (1 << 20) < 0.5
+    texts = [r.text for r in docs.filter(half & (F.col("doc_id") < 2600)).collect()]
+    assert len(texts) > 1200
+    got = {r.doc_id: r for r in kneser_ney.classify(docs, trusted).collect()}
+    assert len(got) == len(rows)
+    for i, text in [(5000, ""), (5001, rows[-1][1]), *[(i, rows[i][1]) for i in range(0, 2600, 650)]]:
+        assert got[i].n_tokens == len(text.split()) + 1
+        assert abs(-got[i].log_perplexity * got[i].n_tokens - kn_reference(texts, text)) < 1e-5 * got[i].n_tokens
+
+
+def test_thresholds_are_exact_for_any_number_of_languages(spark):
+    """Values of rank ceil(q n) of each language, more of them than had a threshold of their own before."""
+    rng = random.Random(5)
+    rows = [(f"l{i % 211}", rng.random()) for i in range(211 * 60)] + [("big", rng.random()) for _ in range(40_000)]
+    held = spark.createDataFrame(rows, "lang string, x double")
+    got = {r.lang: r for r in kneser_ney.quantiles(held, "lang", "x", 0.9).collect()}
+    assert len(got) == 212
+    for lang, r in got.items():
+        own = sorted(x for a, x in rows if a == lang)
+        assert r.n == len(own) and r.cut == own[math.ceil(0.9 * len(own)) - 1]
