@@ -1,4 +1,4 @@
-"""The corpus pipeline: quality classifier, exact dedup, SimHash near-dedup, packing.
+"""The corpus pipeline: quality classifier, exact dedup, SimHash near-dedup with an exact join of what is left, packing.
 
 Each stage takes (spark, docs, sf_dir) and works on all that the one before
 kept; all but the last return the columns of ``docs``.  Rows are told apart by
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliospark.llm import exact_dedup as exact
-from foliospark.llm import kneser_ney, packing, simhash
+from foliospark.llm import jaccard, kneser_ney, packing, simhash
 from foliospark.llm.common import Scratch, table
 from foliospark.llm.queries import tokenizer_file
 
@@ -46,11 +46,13 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Near copies by five-word shingles at a similarity of 0.8.
+    """Near copies: five-word shingles with a Jaccard similarity of 0.8 or more.
 
-    Of each SimHash component the row with the smallest id stays, null ids last;
-    a row goes only if the Jaccard similarity of its shingles to those of the row
-    that stays is 0.8 or more, so what is linked through others only stays, too.
+    Every row that goes has a row that stays and is alike, and no two rows that stay
+    are alike.  SimHash components go first: the row with the smallest id stays, null
+    ids last, and those alike to it go.  An exact join then finds all pairs alike among
+    the rest, of which rows that stood for others stay first, then smaller ids; where
+    such a row goes itself, the rows it stood for come back and are joined to all others.
     """
     scratch = Scratch(spark, "stage-near")
     marked = scratch.save(docs.withColumn(ROW, F.monotonically_increasing_id()), "marked")
@@ -69,7 +71,31 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     stays = scratch.save(texts.join(best, ROW).select(F.col(ROW).alias("best"), F.col("text").alias("other"), "n"), "stays")
     asked = scratch.save(texts.join(alike.drop("n"), ROW), "asked")
     pairs = asked.join(stays.select("best", "other", F.explode(F.sequence(F.lit(0), portions(F.col("n")))).alias("part")), ["best", "part"])
-    return without(marked, simhash.confirmed(pairs, ROW, "text", "other"), docs.columns, scratch)
+    claimed = scratch.save(simhash.confirmed(pairs, ROW, "text", "other").distinct(), "claimed")
+    rest = marked.join(claimed, ROW, "left_anti")
+    stood = alike.join(claimed, ROW, "left_semi").select(ROW, "best").distinct()
+    gone = exact_near(spark, rest, stood.select(F.col("best").alias("row")).distinct(), None)
+    gone = scratch.save(gone, "gone-first")
+    back = scratch.save(stood.join(gone.select(F.col("row").alias("best")), "best", "left_semi").select(F.col(ROW).alias("row")).distinct(), "back")
+    gone = gone.select(F.col("row").alias(ROW)).union(claimed.join(back.select(F.col("row").alias(ROW)), ROW, "left_anti"))
+    if not back.isEmpty():
+        gone = scratch.save(gone, "gone-last")
+        again = marked.join(gone, ROW, "left_anti")
+        others = again.select(F.col(ROW).alias("row")).join(back, "row", "left_anti")
+        gone = gone.union(exact_near(spark, again, others, back).select(F.col("row").alias(ROW)))
+    return without(marked, gone, docs.columns, scratch)
+
+
+def exact_near(spark: SparkSession, rows: DataFrame, ahead: DataFrame, only: DataFrame | None) -> DataFrame:
+    """Rows (column ``row``) that go, as another is alike and stays: those of ``ahead`` come first, then smaller ids."""
+    scratch = Scratch(spark, "stage-exact-near")
+    pairs = scratch.settle(jaccard.similar_pairs(rows, ROW, "text", scratch, only=only), "pairs")
+    ends = pairs.select(F.col("a").alias("row")).union(pairs.select(F.col("b").alias("row"))).distinct()
+    named = rows.select(F.col(ROW).alias("row"), "doc_id").join(ends, "row").join(ahead.withColumn("ahead", F.lit(True)), "row", "left")
+    order = scratch.settle(named.select("row", F.struct(F.col("ahead").isNull().alias("late"), F.col("doc_id").isNull().alias("none"), "doc_id", "row").alias("place")), "order")
+    both = pairs.join(order.select(F.col("row").alias("a"), F.col("place").alias("pa")), "a").join(order.select(F.col("row").alias("b"), F.col("place").alias("pb")), "b")
+    edges = both.select(F.least("pa", "pb")["row"].alias("stays"), F.greatest("pa", "pb")["row"].alias("goes"))
+    return jaccard.first_of(edges, scratch)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -97,3 +98,30 @@ def task_id() -> int:
     from pyspark import TaskContext
 
     return TaskContext.get().partitionId()
+
+
+def squeeze(keys: np.ndarray, *arrays: np.ndarray) -> bytes:
+    """A block: differences of the sorted keys and further arrays, byte plane by byte plane."""
+    planes = [np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T.tobytes() for x in (np.diff(keys, prepend=0), *arrays)]
+    return len(keys).to_bytes(8, "little") + pa.compress(b"".join(planes), codec="zstd", asbytes=True)
+
+
+def unsqueeze(block: bytes, *types) -> list[np.ndarray]:
+    n, types = int.from_bytes(block[:8], "little"), [np.dtype(t) for t in (np.int64, *types)]
+    flat = np.frombuffer(pa.decompress(block[8:], n * sum(t.itemsize for t in types), codec="zstd", asbytes=True), dtype=np.uint8)
+    out, at = [], 0
+    for t in types:
+        out.append(np.ascontiguousarray(flat[at : at + n * t.itemsize].reshape(t.itemsize, n).T).view(t).reshape(n))
+        at += n * t.itemsize
+    return [np.cumsum(out[0]), *out[1:]]
+
+
+def dealt(keys: np.ndarray, shards: int, *arrays: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """(shard, block) of the rows of each shard."""
+    order = np.argsort(keys, kind="stable")
+    owner = (keys[order] % shards).astype(np.int32)
+    order, owner = order[(at := np.argsort(owner, kind="stable"))], owner[at]
+    cuts = np.flatnonzero(owner[1:] != owner[:-1]) + 1
+    for s, e in zip([0, *cuts], [*cuts, len(owner)] if len(owner) else []):
+        part = order[s:e]
+        yield int(owner[s]), squeeze(keys[part], *[x[part] for x in arrays])

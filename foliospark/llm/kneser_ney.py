@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, shuffle_partitions
+from .common import Scratch, dealt, shuffle_partitions, squeeze, unsqueeze
 
 START, END, SHAPE = b"\x01 ", b"\x02 ", b"\x03 "  # hold a space, so no word equals them
 #: Words and shapes that a worker remembers at most.
@@ -256,35 +256,8 @@ def train(texts: DataFrame, scratch: Scratch) -> Model:
 # ---- sharded scoring ----------------------------------------------------------------------
 
 
-def squeeze(keys: np.ndarray, *arrays: np.ndarray) -> bytes:
-    """A block: differences of the sorted keys and further arrays, byte plane by byte plane."""
-    planes = [np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T.tobytes() for x in (np.diff(keys, prepend=0), *arrays)]
-    return len(keys).to_bytes(8, "little") + pa.compress(b"".join(planes), codec="zstd", asbytes=True)
-
-
-def unsqueeze(block: bytes, *types) -> list[np.ndarray]:
-    n, types = int.from_bytes(block[:8], "little"), [np.dtype(t) for t in (np.int64, *types)]
-    flat = np.frombuffer(pa.decompress(block[8:], n * sum(t.itemsize for t in types), codec="zstd", asbytes=True), dtype=np.uint8)
-    out, at = [], 0
-    for t in types:
-        out.append(np.ascontiguousarray(flat[at : at + n * t.itemsize].reshape(t.itemsize, n).T).view(t).reshape(n))
-        at += n * t.itemsize
-    return [np.cumsum(out[0]), *out[1:]]
-
-
-def _dealt(keys: np.ndarray, shards: int, *arrays: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    """(shard, block) of the rows of each shard."""
-    order = np.argsort(keys, kind="stable")
-    owner = (keys[order] % shards).astype(np.int32)
-    order, owner = order[(at := np.argsort(owner, kind="stable"))], owner[at]
-    cuts = np.flatnonzero(owner[1:] != owner[:-1]) + 1
-    for s, e in zip([0, *cuts], [*cuts, len(owner)] if len(owner) else []):
-        part = order[s:e]
-        yield int(owner[s]), squeeze(keys[part], *[x[part] for x in arrays])
-
-
-def _blocks(schema: pa.Schema, kind: int, chunk: int, dealt) -> pa.RecordBatch:
-    shard, block = zip(*dealt)
+def _blocks(schema: pa.Schema, kind: int, chunk: int, parts) -> pa.RecordBatch:
+    shard, block = zip(*parts)
     given = {"shard": pa.array(shard, pa.int32()), "kind": pa.array([kind] * len(shard), pa.int32()), "chunk": pa.array([chunk] * len(shard), pa.int64()), "block": pa.array(block, pa.binary())}
     return pa.RecordBatch.from_arrays([given[f.name] if f.name in given else pa.nulls(len(shard), f.type) for f in schema], schema=schema)
 
@@ -296,7 +269,7 @@ def _pair(v: np.ndarray, w: np.ndarray) -> np.ndarray:
 def _pack_pairs(shards: int, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for v, w, a in _gathered(batches):
-            yield _blocks(schema, PAIRS, 0, _dealt(_pair(v, w), shards, a.astype(np.float32)))
+            yield _blocks(schema, PAIRS, 0, dealt(_pair(v, w), shards, a.astype(np.float32)))
 
     return run
 
@@ -304,10 +277,10 @@ def _pack_pairs(shards: int, schema: pa.Schema):
 def _pack_triples(shards: int, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for u, v, w, a, g in _gathered(batches):
-            yield _blocks(schema, TRIPLES, 0, _dealt(_pair(v, w), shards, u, a.astype(np.float32), g.astype(np.float32)))
+            yield _blocks(schema, TRIPLES, 0, dealt(_pair(v, w), shards, u, a.astype(np.float32), g.astype(np.float32)))
             # Contexts that several blocks hold come several times, with one value.
             keys, first = np.unique(_pair(u, v), return_index=True)
-            yield _blocks(schema, CONTEXTS, 0, _dealt(keys, shards, g[first].astype(np.float32)))
+            yield _blocks(schema, CONTEXTS, 0, dealt(keys, shards, g[first].astype(np.float32)))
 
     return run
 
@@ -344,7 +317,7 @@ def _entries(shared, shards: int, schema: pa.Schema):
             keys = np.concatenate([_pair(x[1:-1], x[2:]) for x in runs])
             before = np.concatenate([x[:-2] for x in runs])
             of = np.repeat(np.arange(len(runs), dtype=np.uint16), sizes)
-            yield _blocks(schema, ENTRIES, chunk, _dealt(keys, shards, before, of))
+            yield _blocks(schema, ENTRIES, chunk, dealt(keys, shards, before, of))
             n = len(runs)
             given = {"shard": pa.array([chunk % shards] * n, pa.int32()), "kind": pa.array([DOCUMENTS] * n, pa.int32()), "chunk": pa.array([chunk] * n, pa.int64()), "at": pa.array(range(n), pa.int32()), "base": pa.array(base, pa.int64()), "n_tokens": pa.array(sizes, pa.int64())}
             held = pa.Table.from_batches(rows).combine_chunks().to_batches()[0]
@@ -507,8 +480,8 @@ def scores(picked: DataFrame, model: Tables, scratch: Scratch) -> DataFrame:
     parts = []
     for i in range(ROUNDS):
         some = picked.filter(F.pmod(F.xxhash64("doc_id", F.lit(31)), F.lit(ROUNDS)) == i)
-        dealt = blocks.union(some.mapInArrow(_entries(shared, shards, arrow), sent))
-        summed = dealt.repartition("shard").sortWithinPartitions("shard", "kind").mapInArrow(_look_up(shared, to_arrow_schema(back)), back)
+        sides = blocks.union(some.mapInArrow(_entries(shared, shards, arrow), sent))
+        summed = sides.repartition("shard").sortWithinPartitions("shard", "kind").mapInArrow(_look_up(shared, to_arrow_schema(back)), back)
         total = summed.repartition("chunk").sortWithinPartitions("chunk", "kind").mapInArrow(_total(to_arrow_schema(done)), done)
         parts.append(scratch.settle(total, f"scored-{i}"))
     scratch.drop("model")

@@ -109,3 +109,43 @@ def test_near_stage_keeps_unlike_texts_of_repeated_ids(spark):
 def test_stages_on_nothing(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
     assert all(f(spark, docs, DATA).count() == 0 for _, f in corpus_pipeline.STAGES)
+
+
+def near_texts(rng, n):
+    """Texts in small families at similarities around 0.8, with a line that a third of all texts hold."""
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    line = " ".join(word() for _ in range(12))
+    out = []
+    while len(out) < n:
+        base = [word() for _ in range(rng.randrange(3, 250))]
+        for _ in range(rng.randrange(1, 6)):
+            c = list(base)
+            for _ in range(rng.randrange(0, 4)):
+                c[rng.randrange(len(c))] = word()
+            out.append(" ".join(c) + (" " + line if rng.random() < 0.3 else ""))
+    return out[:n]
+
+
+def test_similar_pairs_are_those_of_all_comparisons(spark):
+    from foliospark.llm import jaccard
+    from foliospark.llm.common import Scratch
+
+    texts = ["", None, "A b", "a B", *near_texts(random.Random(11), 500)]
+    sets = [simhash.shingle_set((t or "").encode(), 5) for t in texts]
+    want = {(i, j) for j in range(len(sets)) for i in range(j) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    docs = spark.createDataFrame(list(enumerate(texts)), "row long, text string").repartition(5)
+    got = [tuple(r) for r in jaccard.similar_pairs(docs, "row", "text", Scratch(spark, "pairs")).collect()]
+    assert len(want) > 100 and sorted(got) == sorted(want)
+
+
+def test_near_stage_leaves_out_no_pair(spark):
+    """Rows that SimHash misses, or that are alike to each other but not to the row that stays, go as well."""
+    rng = random.Random(3)
+    texts = near_texts(rng, 600)
+    docs = spark.createDataFrame([(i, x, "en", "s", 0) for i, x in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long").repartition(6)
+    stays = sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, DATA).collect())
+    sets = [simhash.shingle_set(t.encode(), 5) for t in texts]
+    alike = lambda i, j: len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
+    assert len(stays) == len(set(stays)) and len(stays) < len(texts)
+    assert not [(i, j) for j in stays for i in stays if i < j and alike(i, j)]
+    assert all(any(alike(i, j) for j in stays) for i in set(range(len(texts))) - set(stays))
