@@ -21,6 +21,8 @@ ROW = "__row"
 SPREAD = 16
 #: Rows of a group that one task compares with the row that stays, about.
 PORTION = 2000
+#: Unsettled rows from which a component is thinned out before the exact join, and how often.
+LARGE, THINNED = 64, 3
 
 
 def without(marked: DataFrame, gone: DataFrame, columns: list[str], scratch: Scratch) -> DataFrame:
@@ -50,7 +52,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Every row that goes has a row that stays and is alike, and no two rows that stay
     are alike.  SimHash components go first: the row with the smallest id stays, null
-    ids last, and those alike to it go.  An exact join then finds all pairs alike among
+    ids last, and those alike to it go; large components are thinned out further by
+    rows drawn from them.  An exact join then finds all pairs alike among
     the rest, of which rows that stood for others stay first, then smaller ids; where
     such a row goes itself, the rows it stood for come back and are joined to all others.
     """
@@ -68,16 +71,29 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     alike = scratch.save(salted.filter("carried <> best").select(F.col("carried").alias(ROW), "best", "n", part.alias("part")), "alike")
     texts = marked.select(ROW, "text")
     best = scratch.save(alike.groupBy(F.col("best").alias(ROW)).agg(F.max("n").alias("n")), "best")
-    stays = scratch.save(texts.join(best, ROW).select(F.col(ROW).alias("best"), F.col("text").alias("other"), "n"), "stays")
-    asked = scratch.save(texts.join(alike.drop("n"), ROW), "asked")
+    stays = scratch.settle(texts.join(best, ROW).select(F.col(ROW).alias("best"), F.col("text").alias("other"), "n"), "stays")
+    asked = scratch.settle(texts.join(alike.drop("n"), ROW), "asked")
     pairs = asked.join(stays.select("best", "other", F.explode(F.sequence(F.lit(0), portions(F.col("n")))).alias("part")), ["best", "part"])
-    claimed = scratch.save(simhash.confirmed(pairs, ROW, "text", "other").distinct(), "claimed")
+    claimed = scratch.settle(simhash.confirmed(pairs, ROW, "text", "other").distinct(), "claimed")
+    scratch.drop("asked", "stays")
+    stood = scratch.save(alike.join(claimed, ROW, "left_semi").select(ROW, "best").distinct(), "stood")
+    settled = scratch.save(stood.select(F.col("best").alias(ROW)).distinct(), "settled")
+    # Rows of small components have no part in this.
+    members = scratch.save(found.select("root", F.col("carried").alias(ROW), "doc_id").join(groups.filter(F.col("n") > LARGE).select("root"), "root", "left_semi"), "crowded")
+    for i in range(THINNED):
+        open_rows = scratch.save(members.join(claimed.union(settled), ROW, "left_anti"), f"open-{i}")
+        sizes = scratch.save(open_rows.groupBy("root").agg(F.count("*").alias("n")).filter(F.col("n") > LARGE), f"sizes-{i}")
+        if sizes.isEmpty():
+            break
+        more, heads = thinned(open_rows, sizes, texts, scratch, i)
+        stood = scratch.save(stood.union(more), f"stood-{i}")
+        claimed = scratch.save(stood.select(ROW).distinct(), f"claimed-{i}")
+        settled = scratch.save(settled.union(heads).distinct(), f"settled-{i}")
     rest = marked.join(claimed, ROW, "left_anti")
-    stood = alike.join(claimed, ROW, "left_semi").select(ROW, "best").distinct()
-    gone = exact_near(spark, rest, stood.select(F.col("best").alias("row")).distinct(), None)
+    gone = exact_near(spark, rest, settled.select(F.col(ROW).alias("row")), None)
     gone = scratch.save(gone, "gone-first")
     back = scratch.save(stood.join(gone.select(F.col("row").alias("best")), "best", "left_semi").select(F.col(ROW).alias("row")).distinct(), "back")
-    gone = gone.select(F.col("row").alias(ROW)).union(claimed.join(back.select(F.col("row").alias(ROW)), ROW, "left_anti"))
+    gone = gone.select(F.col("row").alias(ROW)).union(claimed.select(ROW).join(back.select(F.col("row").alias(ROW)), ROW, "left_anti"))
     if not back.isEmpty():
         gone = scratch.save(gone, "gone-last")
         again = marked.join(gone, ROW, "left_anti")
@@ -86,6 +102,27 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return without(marked, gone, docs.columns, scratch)
 
 
+def thinned(rows: DataFrame, sizes: DataFrame, texts: DataFrame, scratch: Scratch, turn: int) -> tuple[DataFrame, DataFrame]:
+    """(row, best) of rows that go, and the rows that stay for them, of large components (root, n in ``sizes``).
+
+    About sqrt(n) rows of each, by hash, are compared with all others of theirs, so
+    that a component of rows more or less alike does not meet in all its pairs.
+    """
+    member = scratch.save(rows.join(sizes, "root").withColumn("drawn", F.pmod(F.xxhash64(ROW, F.lit(turn + 7)), F.lit(1 << 20)) < F.sqrt("n") / F.col("n") * (1 << 20)), f"member-{turn}")
+    some = scratch.save(member.filter("drawn").select("root", F.col(ROW).alias("best"), F.col("doc_id").alias("head_id")).join(texts.select(F.col(ROW).alias("best"), F.col("text").alias("other")), "best"), f"heads-{turn}")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("salt")
+    pairs = member.join(texts, ROW).withColumn("salt", F.pmod(F.xxhash64(ROW), F.lit(SPREAD)).cast("int")).join(some.select("*", salts), ["root", "salt"]).filter(F.col(ROW) != F.col("best")).withColumn("pair", F.monotonically_increasing_id())
+    pairs = scratch.save(pairs.select("pair", ROW, "best", "drawn", F.struct(F.col("doc_id").isNull(), "doc_id", ROW).alias("place"), F.struct(F.col("head_id").isNull(), F.col("head_id").alias("doc_id"), F.col("best").alias(ROW)).alias("head"), "text", "other"), f"compared-{turn}")
+    sure = scratch.save(pairs.drop("text", "other").join(simhash.confirmed(pairs, "pair", "text", "other"), "pair"), f"sure-{turn}")
+    scratch.drop(f"compared-{turn}")
+    # Of the rows drawn, smaller ids stay first; then all that are alike to one that stays go.
+    between = sure.filter(F.col("drawn") & (F.col("head") < F.col("place"))).select(F.col("best").alias("stays"), F.col(ROW).alias("goes"))
+    out = jaccard.first_of(between, Scratch(scratch.spark, "stage-thinned"))
+    heads = scratch.save(some.select(F.col("best").alias(ROW)).join(out.select(F.col("row").alias(ROW)), ROW, "left_anti"), f"stay-{turn}")
+    more = sure.select(ROW, "best").join(heads.select(F.col(ROW).alias("best")), "best", "left_semi").select(ROW, "best").join(heads, ROW, "left_anti")
+    return more, heads
+
+
 def exact_near(spark: SparkSession, rows: DataFrame, ahead: DataFrame, only: DataFrame | None) -> DataFrame:
     """Rows (column ``row``) that go, as another is alike and stays: those of ``ahead`` come first, then smaller ids."""
     scratch = Scratch(spark, "stage-exact-near")

@@ -388,7 +388,7 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     schema = f"doc_id long, fp binary, carried {picked.schema['carried'].dataType.simpleString()}"
     marked = scratch.save(picked.mapInArrow(_wide(width), schema), "marked")
     words = scratch.save(marked.select("fp").distinct().withColumn("node", F.monotonically_increasing_id()), "words")
-    edges = scratch.save(similar_edges(words, words.count(), similarity).distinct(), "edges")
+    edges = scratch.settle(similar_edges(words, words.count(), similarity).distinct(), "edges")
     roots = connected_components(edges, scratch)
     named = words.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("root"))
     return marked.join(named, "fp").select("doc_id", "root", *([] if carry is None else ["carried"]))

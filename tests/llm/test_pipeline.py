@@ -149,3 +149,23 @@ def test_near_stage_leaves_out_no_pair(spark):
     assert len(stays) == len(set(stays)) and len(stays) < len(texts)
     assert not [(i, j) for j in stays for i in stays if i < j and alike(i, j)]
     assert all(any(alike(i, j) for j in stays) for i in set(range(len(texts))) - set(stays))
+
+
+def test_near_stage_thins_out_a_large_component(spark):
+    """Copies of one text at all distances: more rows than LARGE are alike to others but not to the one with the smallest id."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    base = [word() for _ in range(120)]
+    texts = []
+    for i in range(260):
+        c = list(base)
+        for _ in range(rng.randrange(0, 4) + 3 * (i < 3)):
+            c[rng.randrange(120)] = word()
+        texts.append(" ".join(c))
+    docs = spark.createDataFrame([(i, x, "en", "s", 0) for i, x in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long").repartition(6)
+    stays = {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, DATA).collect()}
+    sets = [simhash.shingle_set(t.encode(), 5) for t in texts]
+    alike = lambda i, j: len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
+    assert sum(not alike(0, i) for i in range(260)) > corpus_pipeline.LARGE
+    assert not [(i, j) for j in stays for i in stays if i < j and alike(i, j)]
+    assert all(any(alike(i, j) for j in stays) for i in set(range(260)) - stays)
