@@ -3,9 +3,12 @@
 Shingles are put in one order for all texts.  Two sets that are similar enough share
 a shingle among the first ``n - ceil(similarity * n) + 1`` of each, so only these are
 dealt out, as sorted blocks; where two texts meet, their sizes and the places of the
-shared shingle bound the overlap, and what is left is compared shingle by shingle.
-The order is by hash, with shingles that are frequent in a sample of the texts last:
-the sample decides how many texts meet in vain, never which pairs are found.
+shared shingle bound the overlap.  Pairs that met are first held against the parity
+bits of their sets, which bound the shingles they do not share, and what is left is
+compared shingle by shingle.  The order is by hash, with shingles that are frequent
+in a sample of the texts last: the sample decides how many texts meet in vain, never
+which pairs are found.  It is a share of the texts, so that frequent means the same
+number of texts at any size.
 """
 
 from __future__ import annotations
@@ -21,8 +24,8 @@ from pyspark.sql import functions as F
 from .common import Scratch, dealt, shuffle_partitions, unsqueeze
 from .simhash import confirmed
 
-#: Texts of the sample, about; how many of them make a shingle frequent.
-SAMPLE, FREQUENT = 10_000, 4
+#: One text in so many is in the sample; how many of them make a shingle frequent.
+ONE_IN, FREQUENT = 4, 4
 #: Shingles dealt at once, about.
 PACKED = 1 << 20
 
@@ -127,6 +130,42 @@ def _meet(similarity: float):
     return run
 
 
+def parity(hashes: np.ndarray) -> bytes:
+    """One bit for each place a hash may take, set if an odd number of them take it; two sets differ in as many shingles at least as in bits."""
+    places = max(64, 1 << (len(hashes) - 1).bit_length())
+    taken = np.bincount((hashes & np.uint64(places - 1)).astype(np.int64), minlength=places) & 1
+    return np.packbits(taken.astype(np.uint8), bitorder="little").tobytes()
+
+
+def _parities(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_hashes(text, width) for text in batch.column(1).to_pylist()]
+            columns = [batch.column(0), pa.array([len(x) for x in sets], pa.int32()), pa.array(map(parity, sets), pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "n", "bits"])
+
+    return run
+
+
+def bits_apart(one: bytes, two: bytes) -> int:
+    """Bits in which two parities differ, the longer one folded to the length of the other."""
+    x, y = sorted((np.frombuffer(one, dtype=np.uint64), np.frombuffer(two, dtype=np.uint64)), key=len)
+    return int(np.bitwise_count(x ^ np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)).sum())
+
+
+def _able(similarity: float):
+    """Pairs whose parities do not rule out the similarity."""
+    share = (1 - similarity) / (1 + similarity)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, one, m, two = (batch.column(i).to_pylist() for i in range(2, 6))
+            keep = [bits_apart(x, y) <= share * (i + j) + 1e-6 for i, x, j, y in zip(n, one, m, two)]
+            yield batch.filter(pa.array(keep, pa.bool_())).select([0, 1])
+
+    return run
+
+
 def similar_pairs(docs: DataFrame, row: str, text_col: str, scratch: Scratch, width: int = 5, similarity: float = 0.8, only: DataFrame | None = None) -> DataFrame:
     """(a, b), a < b: all pairs of rows (distinct longs in ``row``) with a Jaccard similarity of ``similarity`` or more.
 
@@ -136,8 +175,8 @@ def similar_pairs(docs: DataFrame, row: str, text_col: str, scratch: Scratch, wi
     spark = docs.sparkSession
     texts = docs.select(F.col(row).alias("row"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
     count = texts.select("row").count()
-    part = F.pmod(F.xxhash64("row", F.lit(5)), F.lit(max(1, count // SAMPLE))) == 0
-    often = texts.filter(part).select("text").mapInArrow(_hashes(width), "h long").groupBy("h").count().filter(F.col("count") >= FREQUENT).select("h").toArrow()
+    part = F.pmod(F.xxhash64("row", F.lit(5)), F.lit(ONE_IN)) == 0
+    often = scratch.settle(texts.filter(part).select("text").mapInArrow(_hashes(width), "h long").groupBy("h").count().filter(F.col("count") >= FREQUENT).select("h"), "often").toArrow()
     shared = spark.sparkContext.broadcast(np.sort(often.column(0).to_numpy().view(np.uint64)))
     shards = max(shuffle_partitions(spark), count // 2000) | 1
     blocks = texts.mapInArrow(_prefixes(shared, width, similarity, shards), "shard int, base long, block binary")
@@ -145,10 +184,19 @@ def similar_pairs(docs: DataFrame, row: str, text_col: str, scratch: Scratch, wi
     if only is not None:
         new = scratch.save(only.select(F.col("row").alias("new")).distinct(), "new")
         met = met.join(new, met.a == new.new, "left_semi").union(met.join(new, met.b == new.new, "left_semi")).distinct()
-    met = scratch.settle(met.withColumn("pair", F.monotonically_increasing_id()), "met")
-    both = met.join(texts.select(F.col("row").alias("a"), F.col("text").alias("one")), "a").join(texts.select(F.col("row").alias("b"), F.col("text").alias("two")), "b")
-    alike = scratch.settle(confirmed(both, "pair", "one", "two", width, similarity), "alike")
-    return met.join(alike, "pair").select("a", "b")
+    met = scratch.settle(met, "met")
+    marks = scratch.save(texts.mapInArrow(_parities(width), "row long, n int, bits binary"), "marks")
+    end = lambda of, row, *names: of.select(F.col("row").alias(row), *(F.col(x).alias(f"{row}_{x}") for x in names))
+    both = met.join(end(marks, "a", "n", "bits"), "a").join(end(marks, "b", "n", "bits"), "b").select("a", "b", "a_n", "a_bits", "b_n", "b_bits")
+    able = scratch.settle(both.mapInArrow(_able(similarity), "a long, b long").withColumn("pair", F.monotonically_increasing_id()), "able")
+    scratch.drop("marks")
+    # Texts of the few rows that are left; written first, so that their size decides how they are joined.
+    ends = scratch.save(able.select(F.col("a").alias("row")).union(able.select(F.col("b").alias("row"))).distinct(), "ends")
+    held = scratch.settle(texts.join(ends, "row", "left_semi"), "held")
+    both = able.join(end(held, "a", "text"), "a").join(end(held, "b", "text"), "b")
+    alike = scratch.settle(confirmed(both, "pair", "a_text", "b_text", width, similarity), "alike")
+    scratch.drop("held")
+    return able.join(alike, "pair").select("a", "b")
 
 
 def first_of(edges: DataFrame, scratch: Scratch) -> DataFrame:

@@ -169,3 +169,40 @@ def test_near_stage_thins_out_a_large_component(spark):
     assert sum(not alike(0, i) for i in range(260)) > corpus_pipeline.LARGE
     assert not [(i, j) for j in stays for i in stays if i < j and alike(i, j)]
     assert all(any(alike(i, j) for j in stays) for i in set(range(260)) - stays)
+
+
+def test_parities_rule_out_no_pair_that_is_alike():
+    """Parities differ in no more bits than sets differ in shingles, whatever their sizes."""
+    import numpy as np
+
+    from foliospark.llm import jaccard
+
+    sets = [jaccard.shingle_hashes(t.encode(), 5) for t in ["", "a b", *near_texts(random.Random(5), 150)]]
+    marks = [jaccard.parity(x) for x in sets]
+    apart = {(i, j): len(np.setxor1d(sets[i], sets[j])) for i in range(len(sets)) for j in range(i + 1)}
+    bits = {(i, j): jaccard.bits_apart(marks[i], marks[j]) for i, j in apart}
+    assert all(bits[p] <= apart[p] for p in apart)
+    unlike = [(i, j) for i, j in apart if len(sets[j]) >= 0.8 * len(sets[i]) >= 0.64 * len(sets[j]) and apart[i, j] > (len(sets[i]) + len(sets[j])) / 2]
+    assert len({len(m) for m in marks}) > 2 and len(unlike) > 100
+    assert sum(bits[i, j] > (len(sets[i]) + len(sets[j])) / 9 for i, j in unlike) > 0.99 * len(unlike)
+
+
+def test_texts_that_share_a_passage_do_not_meet(spark, monkeypatch):
+    """Passages of 30 texts each, in 80,000 texts: they are frequent at any size, and no texts are compared that cannot be alike."""
+    from foliospark.llm import jaccard
+    from foliospark.llm.common import Scratch
+
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    passages = [" ".join(word() for _ in range(8)) for _ in range(80_000 // 30)]
+    texts = [f"{passages[i % len(passages)]} {' '.join(word() for _ in range(6))}" for i in range(80_000)]
+    copies = [t + " end" for t in texts[:50]]
+    docs = spark.createDataFrame(list(enumerate(texts + copies)), "row long, text string").repartition(8)
+    compared = []
+    confirmed = jaccard.confirmed
+    monkeypatch.setattr(jaccard, "confirmed", lambda pairs, *a, **k: compared.append(pairs.count()) or confirmed(pairs, *a, **k))
+    scratch = Scratch(spark, "passages")
+    got = sorted(tuple(r) for r in jaccard.similar_pairs(docs, "row", "text", scratch).collect())
+    met = spark.read.parquet(f"{scratch.root}/met").count()
+    assert got == [(i, 80_000 + i) for i in range(50)]
+    assert met < 80_000 and sum(compared) < 1000
