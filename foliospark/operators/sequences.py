@@ -40,13 +40,19 @@ def first_wins(df: DataFrame, key: str, order: list[str], alias: str) -> DataFra
     return agg.select(key, *[F.col(f"_row.{c}").alias(c) for c in order], "aliases", "n_rows")
 
 
+def _with_preference(candidates: DataFrame, key: str, preference: DataFrame) -> DataFrame:
+    """Candidates with what their key prefers; a null key is a key like any other."""
+    named = preference.withColumnRenamed(key, "_key")
+    return candidates.join(named, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
+
+
 def preference_dedupe(candidates: DataFrame, key: str, choice: str, preference: DataFrame) -> DataFrame:
     """One candidate for each key: the only one, or the one that ``preference`` (key, preferred) names.
 
     Keys with several candidates of which none is preferred give no row here but one of ``preference_faults``, which must be empty for a whole result.
     """
     sized = candidates.withColumn("n_candidates", F.count("*").over(Window.partitionBy(key)))
-    joined = sized.join(preference, key, "left")
+    joined = _with_preference(sized, key, preference)
     kept = joined.filter((F.col("n_candidates") == 1) | (F.col(choice) == F.col("preferred")))
     return kept.withColumn("selection_basis", F.when(F.col("n_candidates") == 1, "only-candidate").otherwise("explicit-preference")).withColumn("alternates", F.col("n_candidates") - 1).drop("n_candidates", "preferred")
 
@@ -54,7 +60,7 @@ def preference_dedupe(candidates: DataFrame, key: str, choice: str, preference:
 def preference_faults(candidates: DataFrame, key: str, choice: str, preference: DataFrame) -> DataFrame:
     """Keys with several candidates and not exactly one that ``preference`` names: their candidates and how many are named."""
     chosen = F.count_if(F.coalesce(F.col(choice) == F.col("preferred"), F.lit(False)))
-    out = candidates.join(preference, key, "left").groupBy(key).agg(F.count("*").alias("n_candidates"), chosen.alias("n_preferred"))
+    out = _with_preference(candidates, key, preference).groupBy(key).agg(F.count("*").alias("n_candidates"), chosen.alias("n_preferred"))
     return out.filter((F.col("n_candidates") > 1) & (F.col("n_preferred") != 1))
 
 

@@ -39,6 +39,14 @@ def test_unresolved_preferences_are_faults(spark):
     assert sorted((r.k, r.n_candidates, r.n_preferred) for r in S.preference_faults(rows, "k", "c", preferred).collect()) == [("c", 2, 0), ("d", 2, 0)]
 
 
+def test_a_null_key_is_kept_or_a_fault(spark):
+    rows = spark.createDataFrame([(None, "x"), (None, "y"), ("a", "x"), ("a", "y")], "k string, c string")
+    preferred = lambda c: spark.createDataFrame([(None, c), ("a", "y")], "k string, preferred string")
+    results = lambda c: [{(r.k, r.c) for r in S.preference_dedupe(rows, "k", "c", preferred(c)).collect()}, {tuple(r) for r in S.preference_faults(rows, "k", "c", preferred(c)).collect()}]
+    assert results("x") == [{(None, "x"), ("a", "y")}, set()]
+    assert results("z") == [{("a", "y")}, {(None, 2, 0)}]
+
+
 def test_latest_row_is_the_first_of_equal_dates(spark):
     rows = spark.createDataFrame([("k", "2024-01-02", 1, "a"), ("k", "2024-01-02", 2, "b"), ("k", "2024-01-01", 3, "c"), ("k", None, 4, "d"), ("m", "2024-01-01", 1, "a"), ("m", "2024-01-02", 2, "b")], "k string, d string, at long, v string")
     got = {r.k: (r.d, r["at"], r.v, r.in_order) for r in S.latest_first_among_ties(rows, ["k"], "d", "at", ["d", "at", "v"]).collect()}

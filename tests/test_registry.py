@@ -62,3 +62,12 @@ def test_preference_dedupe_reads_all_events(spark, tmp_path):
     got = sorted(tuple(r) for r in registry.QUERIES["preference_dedupe"](spark, str(tmp_path)).collect())
     only, chosen = "only-candidate", "explicit-preference"
     assert got == [(4, "click", 9, only, 0), (300, "click", 1, chosen, 1), (301, "view", 4, chosen, 1), (302, "signup", 6, only, 0)]
+
+
+def test_preference_dedupe_keeps_a_null_user(spark, tmp_path):
+    """Events without a user are one group, of which the preferred one stays, and no fault."""
+    rows = [(1, None, "click"), (2, None, "view"), (3, None, "view"), (4, None, "error"), (5, 7, "view"), (6, 7, "error"), (7, 8, "signup")]
+    spark.createDataFrame(rows, "event_id long, user_id long, event_type string").write.parquet(str(tmp_path / "events.parquet"))
+    got = {tuple(r) for r in registry.QUERIES["preference_dedupe"](spark, str(tmp_path)).collect()}
+    only, chosen = "only-candidate", "explicit-preference"
+    assert got == {(None, "view", 2, chosen, 2), (7, "view", 5, chosen, 1), (8, "signup", 7, only, 0)}
